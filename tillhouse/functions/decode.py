@@ -1,4 +1,4 @@
-"""Code -> label decodes and channel rules."""
+"""Code -> label decodes and channel rules. Arguments are column names or SQL expressions."""
 
 from __future__ import annotations
 
@@ -10,27 +10,26 @@ from pyspark.sql import functions as F
 from tillhouse.functions.contracts import AGE_RANGE, DAYPARTS, GENDER, NATIONALITY, NIGHT, PAYMENT_METHOD
 
 
-def label(code: Column, labels: Mapping[str, str], otherwise: Column | str = "") -> Column:
+def label(code: str, labels: Mapping[str, str], otherwise: str = "''") -> Column:
     """Look a code up by its text form, so numeric and text sources decode alike."""
-    table = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
-    default = F.lit(otherwise) if isinstance(otherwise, str) else otherwise
-    return F.coalesce(F.try_element_at(table, code.cast("string")), default)
+    table = ", ".join(f"'{key}', '{value}'" for key, value in labels.items())
+    return F.expr(f"coalesce(try_element_at(map({table}), cast({code} as string)), {otherwise})")
 
 
-def gender(code: Column) -> Column:
+def gender(code: str) -> Column:
     return label(code, GENDER)
 
 
-def age_range(code: Column, keep_unknown: bool = False) -> Column:
+def age_range(code: str, keep_unknown: bool = False) -> Column:
     """Unknown ages are blank for product sales and pass through for payment services."""
-    return label(code, AGE_RANGE, code.cast("string") if keep_unknown else "")
+    return label(code, AGE_RANGE, f"cast({code} as string)" if keep_unknown else "''")
 
 
-def nationality(code: Column) -> Column:
+def nationality(code: str) -> Column:
     return label(code, NATIONALITY)
 
 
-def demographics(gender_code: Column, age_code: Column, nationality_code: Column,
+def demographics(gender_code: str, age_code: str, nationality_code: str,
                  keep_unknown_age: bool = False) -> dict[str, Column]:
     return {
         "customer_gender": gender(gender_code),
@@ -39,38 +38,33 @@ def demographics(gender_code: Column, age_code: Column, nationality_code: Column
     }
 
 
-def payment_method(code: Column) -> Column:
-    return label(code, PAYMENT_METHOD, "unknown")
+def payment_method(code: str) -> Column:
+    return label(code, PAYMENT_METHOD, "'unknown'")
 
 
-def transaction_type(transaction_id: Column) -> Column:
-    return F.when(transaction_id.startswith("R"), "Refund").otherwise("Sale Transaction")
+def transaction_type(transaction_id: str) -> Column:
+    return F.expr(f"case when startswith({transaction_id}, 'R') then 'Refund' else 'Sale Transaction' end")
 
 
-def bill_channel(order_no: Column) -> Column:
+def bill_channel(order_no: str) -> Column:
     """Channel a bill tells by itself, before any delivery is known."""
-    return F.when(F.lower(F.coalesce(order_no, F.lit(""))).startswith("savyu"), "Savyu").otherwise("Store")
+    return F.expr(f"case when startswith(lower({order_no}), 'savyu') then 'Savyu' else 'Store' end")
 
 
-def delivery_channel(external_source: Column, order_id: Column) -> Column:
-    return (F.when(external_source != "", external_source)
-            .when(order_id.isNotNull(), "7Now")
-            .otherwise("Unknown"))
+def delivery_channel(external_source: str, order_id: str) -> Column:
+    return F.expr(f"""case when {external_source} <> '' then {external_source}
+                           when {order_id} is not null then '7Now' else 'Unknown' end""")
 
 
-def report_channel(source_7now: Column, channel_name: Column) -> Column:
+def report_channel(source_7now: str, channel_name: str) -> Column:
     """Channel as dashboards show it."""
-    filled = F.nullif(channel_name, F.lit(""))
-    upper = F.upper(channel_name)
-    return (F.when(F.nullif(source_7now, F.lit("")).isNotNull(), "7NOW")
-            .when(upper.contains("SAVYU"), "Savyu")
-            .when(upper.contains("7NOW"), "7NOW")
-            .otherwise(F.coalesce(filled, F.lit("Store"))))
-
-
-def daypart(hour: Column) -> Column:
-    (lo, hi, name), *rest = DAYPARTS
-    chosen = F.when(hour.between(lo, hi), name)
-    for lo, hi, name in rest:
-        chosen = chosen.when(hour.between(lo, hi), name)
-    return chosen.otherwise(NIGHT)
+    return F.expr(f"""case when {source_7now} <> '' then '7NOW'
+                           when contains(upper({channel_name}), 'SAVYU') then 'Savyu'
+                           when contains(upper({channel_name}), '7NOW') then '7NOW'
+                           when {channel_name} <> '' then {channel_name}
+                           else 'Store' end""")
+
+
+def daypart(hour: str) -> Column:
+    cases = " ".join(f"when {hour} between {lo} and {hi} then '{name}'" for lo, hi, name in DAYPARTS)
+    return F.expr(f"case {cases} else '{NIGHT}' end")

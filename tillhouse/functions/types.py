@@ -58,10 +58,16 @@ def cast_known(df: DataFrame, tokens: Mapping[str, str]) -> DataFrame:
 def conform(df: DataFrame, tokens: Mapping[str, str]) -> DataFrame:
     """Exactly the contract's columns, in order: present ones cast, absent ones filled."""
     present = set(df.columns)
-    return df.select(*[
-        (cast_value(F.col(name), token) if name in present else missing_value(token)).alias(name)
-        for name, token in tokens.items()
-    ])
+    return df.selectExpr(*[f"{_conform_sql(name, token, name in present)} as {name}" for name, token in tokens.items()])
+
+
+def _conform_sql(name: str, token: str, is_present: bool) -> str:
+    target = token_type(token)
+    if not is_present:
+        return f"cast({'array()' if isinstance(target, T.ArrayType) else 'null'} as {target.simpleString()})"
+    if token == "list_from_str":
+        return f"split(coalesce(try_cast({name} as string), ''), ',')"
+    return f"try_cast({name} as {target.simpleString()})"
 
 
 def void_to_string(df: DataFrame) -> DataFrame:

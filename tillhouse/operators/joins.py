@@ -23,12 +23,12 @@ def broadcast_if_small(dim: DataFrame, wanted: bool = True, limit: int = BROADCA
 
 def first_of(*sources: str) -> Column:
     """First non-null source, in priority order."""
-    return F.coalesce(*[F.col(s) for s in sources])
+    return F.expr(f"coalesce({', '.join(sources)})")
 
 
 def prefixed(df: DataFrame, prefix: str, key: str, columns: Sequence[str]) -> DataFrame:
     """Key plus the chosen columns under a source prefix, so several sources can meet in one row."""
-    return df.select(key, *[F.col(c).alias(f"{prefix}_{c}") for c in columns])
+    return df.selectExpr(key, *[f"{c} as {prefix}_{c}" for c in columns])
 
 
 def left_join_spread(left: DataFrame, right: DataFrame, key: str, spread_by: str, salts: int = 64) -> DataFrame:
@@ -72,7 +72,7 @@ def _covering(left: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str, sta
     span = span or time_span(left, ts) or (datetime(1970, 1, 1), datetime(1970, 1, 1))
     lo = F.lit(span[0]).cast("timestamp_ntz")
     pieces = sliced(dim, start, end, span, bucket_days)
-    pieces = pieces.select(*[F.col(c).alias(f"_d_{c}") for c in pieces.columns])
+    pieces = pieces.selectExpr(*[f"{c} as _d_{c}" for c in pieces.columns])
     moment = F.col(ts)
     inside = (F.col(f"_d_{start}") <= moment) & (moment < F.col(f"_d_{end}"))
     if null_start_matches:
@@ -99,7 +99,7 @@ def range_join_effective(fact: DataFrame, dim: DataFrame, keys: Sequence[str], t
     known = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_t_{k}") for k in keys])
     joined = joined.join(broadcast_if_small(has_timeline, broadcast), known, "left")
     kept = joined.where(F.col(f"_d_{keys[0]}").isNotNull() | F.col("_timeline").isNull())
-    return kept.select(*fact.columns, *[F.col(f"_d_{c}").alias(c) for c in dim.columns if c not in keys])
+    return kept.selectExpr(*fact.columns, *[f"_d_{c} as {c}" for c in dim.columns if c not in keys])
 
 
 def as_of_join(left: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str, *,
@@ -113,7 +113,7 @@ def as_of_join(left: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str, *,
     versions = dim.select(*keys, *attributes, "valid_from", "valid_to")
     joined = _covering(left, versions, keys, ts, "valid_from", "valid_to", span, bucket_days, broadcast,
                        null_start_matches=False)
-    return joined.select(*left.columns, *[F.col(f"_d_{c}").alias(c) for c in attributes])
+    return joined.selectExpr(*left.columns, *[f"_d_{c} as {c}" for c in attributes])
 
 
 def timeline_overlaps(dim: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:

@@ -100,36 +100,36 @@ def business_day(lake):
 
 @query
 def daypart(lake):
-    hour = F.hour(cal.local_time(F.col("ts")))
-    return lake.landing.raw("events").select("event_id", hour.alias("hour"), decode.daypart(hour).alias("daypart"))
+    local = lake.landing.raw("events").select("event_id", F.hour(cal.local_time(F.col("ts"))).alias("hour"))
+    return local.withColumn("daypart", decode.daypart("hour"))
 
 
 @query
 def channel_decode(lake):
-    k = F.col("o_orderkey")
-    source = F.when(k % 11 == 0, "app").when(k % 11 == 1, "")
-    name = (F.when(k % 5 == 0, "Savyu Web").when(k % 5 == 1, "via 7now").when(k % 5 == 2, "GrabFood")
-            .when(k % 5 == 3, ""))
-    external = F.when(k % 3 == 0, "GrabFood").when(k % 3 == 1, "")
-    return lake.landing.orders().select(
-        "o_orderkey", decode.bill_channel(F.col("delivery_no")).alias("bill_channel"),
-        decode.delivery_channel(external, F.when(k % 7 != 0, k)).alias("delivery_channel"),
-        decode.report_channel(source, name).alias("report_channel"))
+    rows = lake.landing.orders().selectExpr(
+        "o_orderkey", "delivery_no", "case o_orderkey % 11 when 0 then 'app' when 1 then '' end as source_7now",
+        """case o_orderkey % 5 when 0 then 'Savyu Web' when 1 then 'via 7now' when 2 then 'GrabFood' when 3 then '' end
+           as channel_name""",
+        "case o_orderkey % 3 when 0 then 'GrabFood' when 1 then '' end as external_source",
+        "if(o_orderkey % 7 <> 0, o_orderkey, null) as order_id")
+    return rows.select("o_orderkey", decode.bill_channel("delivery_no").alias("bill_channel"),
+                       decode.delivery_channel("external_source", "order_id").alias("delivery_channel"),
+                       decode.report_channel("source_7now", "channel_name").alias("report_channel"))
 
 
 @query
 def payment_decode(lake):
     return lake.landing.orders().select("o_orderkey", "pay_code",
-                                        decode.payment_method(F.col("pay_code")).alias("payment_method_name"))
+                                        decode.payment_method("pay_code").alias("payment_method_name"))
 
 
 @query
 def demographics(lake):
     """The same codes as numbers and as text; unknown ages blank or passed through."""
-    c, n = F.col("c_custkey"), F.col("c_nationkey") % 5
-    kept = decode.demographics((c % 3).cast("string"), c % 6, n.cast("string"), keep_unknown_age=True)
+    blank = decode.demographics("c_custkey % 3", "cast(c_custkey % 6 as string)", "c_nationkey % 5")
+    kept = decode.demographics("cast(c_custkey % 3 as string)", "c_custkey % 6", "cast(c_nationkey % 5 as string)", True)
     return lake.landing.raw("customer").select(
-        "c_custkey", *[col.alias(name) for name, col in decode.demographics(c % 3, (c % 6).cast("string"), n).items()],
+        "c_custkey", *[col.alias(name) for name, col in blank.items()],
         *[col.alias(f"{name}_kept") for name, col in kept.items()])
 
 
@@ -269,9 +269,8 @@ def stored_orders(lake):
 
 @query
 def identity_coalesce(lake):
-    chosen = facts.identity(fixture.FLIP_DATE)
-    found = lake.gathered(lake.bill_heads()).withColumns(chosen)
-    return found.select("transaction_id", "report_date", *chosen)
+    found = facts.resolved(lake.gathered(lake.bill_heads()), fixture.FLIP_DATE)
+    return found.select("transaction_id", "report_date", *facts.identity(fixture.FLIP_DATE))
 
 
 # ---- versioned dimensions -------------------------------------------------------------------------
@@ -360,7 +359,7 @@ def idempotent_rerun(lake):
 def backfill_equals_daily(lake):
     """Customers and sales per day for the whole range in one job, on both sides of the identity flip."""
     def build():
-        bills = lake.gathered(lake.bill_heads()).withColumn("customer_id", facts.identity(fixture.FLIP_DATE)["customer_id"])
+        bills = facts.resolved(lake.gathered(lake.bill_heads()), fixture.FLIP_DATE)
         return bills.groupBy("report_date").agg(
             F.count_distinct("transaction_id").alias("bills"), F.count_distinct("customer_id").alias("customers"),
             exact_sum(F.col("bill_amount")).alias("amount")).withColumn("month_key", cal.month_key(F.col("report_date")))

@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillhouse.operators.joins import time_span
 from tillhouse.operators.scd import scd2_from_snapshots, scd2_initial
@@ -18,7 +19,7 @@ from tillhouse.streaming.live import latest, sale_messages, serving_view
 from tillhouse.sources.landing import BATCH_BOUND, stream_values
 
 # Marts other queries read, written once per application and input folder.
-_stored: dict[tuple[str, str, str], str] = {}
+_stored: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 class Lakehouse:
@@ -39,12 +40,12 @@ class Lakehouse:
     def stored(self, name: str, build, partition: str) -> DataFrame:
         """A mart as a table in the shared folder: readers scan it instead of repeating the joins behind it."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        frame = build()
-        if key not in _stored or not exists(self.spark, _stored[key]):
-            path = scratch_path(self.spark, name)
+        if key not in _stored or not exists(self.spark, _stored[key][0]):
+            frame, path = build(), scratch_path(self.spark, name)
             frame.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
-            _stored[key] = path
-        return self.spark.read.schema(frame.schema).parquet(_stored[key]).select(*frame.columns)
+            _stored[key] = path, frame.schema
+        path, schema = _stored[key]
+        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
     # ---- typed tables -----------------------------------------------------------------------------
     def sale_lines(self) -> DataFrame:
@@ -80,13 +81,15 @@ class Lakehouse:
     def bill_heads(self) -> DataFrame:
         return lines.bill_header(self.landing.bill_heads(), is_return=False)
 
-    def gathered(self, base: DataFrame) -> DataFrame:
-        return facts.gather_sources(base, self.promotions(), self.deliveries(), self.transactions(), self.points())
+    def gathered(self, bills: DataFrame) -> DataFrame:
+        return facts.gather_sources(bills, self.promotions(), self.deliveries(), self.transactions(), self.points())
 
     def completed(self) -> DataFrame:
-        merged = facts.merged_lines(self.gathered(self.sale_lines()), self.brands(), self.stores(), self.prices(),
-                                    FLIP_DATE, self.span)
-        return facts.with_cart_positions(merged, self.cart_positions())
+        """Bill-level joins first, on one row per bill; only products and prices are joined per line."""
+        bills = lines.numbered_bills(self.landing.sale_bill(), self.landing.sale_return_bill())
+        bills = facts.at_store(facts.resolved(self.gathered(bills), FLIP_DATE), self.stores(), self.span)
+        rows = lines.unfold(bills).join(self.brands(), "product_id", "left")
+        return facts.with_cart_positions(facts.priced(rows, self.prices(), self.span), self.cart_positions())
 
     def cart_positions(self) -> DataFrame:
         return facts.cart_positions(self.landing.delivery_orders(), self.landing.delivery_order_details())

@@ -17,22 +17,19 @@ from tillhouse.operators.scd import current_slice
 def sales_mart(fact: DataFrame, excluded: Sequence[str] = EXCLUDED_STORES,
                excluded_prefix: str = EXCLUDED_STORE_PREFIX) -> DataFrame:
     """Completed sales of reported stores, one row per line, with calendar, channel and customer columns."""
-    blank = lambda name: F.nullif(F.col(name), F.lit(""))
     day, hour = F.col("report_date"), F.hour("transaction_time")
     scope = ((F.col("delivery_status") == "completed") & (F.col("transaction_type") == "Sale Transaction")
              & ~F.col("store_id").isin(*excluded) & ~F.col("store_id").startswith(excluded_prefix))
-    return fact.where(scope).select(
+    return fact.where(scope).withColumn("txn_hour", hour).select(
         day, F.year(day).alias("year"), month_key(day).alias("month_key"), week_start(day).alias("week_start"),
         F.date_format(day, "EEE").alias("day_name"), is_weekend(day).cast("int").alias("is_weekend"),
-        hour.alias("txn_hour"), decode.daypart(hour).alias("daypart"),
-        decode.report_channel(F.col("transaction_7now_source"), F.col("channel_name")).alias("channel"),
+        "txn_hour", decode.daypart("txn_hour").alias("daypart"),
+        decode.report_channel("transaction_7now_source", "channel_name").alias("channel"),
         "store_id", "store_name", "store_type", "transaction_id", "product_id", "quantity",
-        F.col("final_amount_no_tax").alias("revenue_net"), F.col("final_amount").alias("revenue_gross"),
-        "customer_code", blank("customer_code").isNotNull().cast("int").alias("is_identified_customer"),
-        "customer_id", blank("customer_gender").alias("customer_gender"),
-        blank("customer_age_range").alias("customer_age_range"),
-        blank("customer_nationality").alias("customer_nationality"), "rating",
-        (F.col("purchase_price_without_tax") * F.col("quantity")).alias("cogs"))
+        F.expr("final_amount_no_tax as revenue_net"), F.expr("final_amount as revenue_gross"), "customer_code",
+        F.expr("if(customer_code <> '', 1, 0) as is_identified_customer"), "customer_id",
+        *[F.expr(f"nullif({c}, '') as {c}") for c in ("customer_gender", "customer_age_range", "customer_nationality")],
+        "rating", F.expr("purchase_price_without_tax * quantity as cogs"))
 
 
 def sales_daily(mart: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tillhouse.functions import decode
 from tillhouse.functions.contracts import ORDER_INFO, SERVICE_FACT, SERVICE_ITEMS
@@ -50,20 +49,18 @@ MART_COLUMNS = ("report_date", "service_name", "provider_id", "order_type", "sto
 
 
 def _collection_lines(docs: DataFrame, items_field: str) -> DataFrame:
-    heads = docs.select(
-        *[F.col(field).alias(name) for field, name in DOCUMENT_FIELDS.items()],
-        read_nested(docs, "orderInfo", ORDER_INFO).alias("_order"),
-        read_nested(docs, items_field, SERVICE_ITEMS).alias("_items"))
-    plain = heads.withColumns({
-        **decode.demographics(F.col("customer_gender"), F.col("customer_age_range"), F.col("customer_nationality"),
-                              keep_unknown_age=True),
-        **{name: F.col(f"_order.{field}") for field, name in ORDER_FIELDS.items()},
-        "skip_validate_over_50_percent_by_int": F.col("skip_validate_over_50_percent").cast("int"),
-        "report_date": F.to_date("transaction_time"),
-    })
-    head = [c for c in plain.columns if c not in ("_order", "_items")]
-    return (plain.select(*head, F.explode_outer("_items").alias("_item"))
-            .select(*head, *[F.col(f"_item.{field}").alias(name) for field, name in SERVICE_ITEM_FIELDS.items()]))
+    typed = docs.withColumns({"_order": read_nested(docs, "orderInfo", ORDER_INFO),
+                              "_items": read_nested(docs, items_field, SERVICE_ITEMS)})
+    heads = typed.selectExpr(
+        *[f"{field} as {name}" for field, name in DOCUMENT_FIELDS.items()],
+        *[f"_order.{field} as {name}" for field, name in ORDER_FIELDS.items()],
+        "cast(skipValidateOver50Percent as int) as skip_validate_over_50_percent_by_int",
+        "to_date(transactionTime) as report_date", "_items")
+    heads = heads.withColumns(decode.demographics("customer_gender", "customer_age_range", "customer_nationality",
+                                                  keep_unknown_age=True))
+    head = [c for c in heads.columns if c != "_items"]
+    return (heads.selectExpr(*head, "explode_outer(_items) as _item")
+            .selectExpr(*head, *[f"_item.{field} as {name}" for field, name in SERVICE_ITEM_FIELDS.items()]))
 
 
 def service_lines(collections: dict[str, DataFrame]) -> DataFrame:

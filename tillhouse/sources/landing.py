@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillhouse.operators.skew import running_sums
 
@@ -28,12 +29,96 @@ LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extende
               "l_returnflag", "l_linestatus", "l_shipdate")
 
 
-def table_path(sf_dir: str, name: str) -> str:
-    return os.path.join(sf_dir, f"{name}.parquet")
+# The bill's items, promotions and header as expressions over the given columns.
+ITEM = """struct(
+    cast(l_partkey as string) as productCode, p_name as productName, 'EA' as uom, cast(p_size as bigint) as uomSize,
+    l_quantity as quantity, l_extendedprice as totalAmount, l_extendedprice * (1 - l_tax) as totalAmountWithoutTax,
+    l_extendedprice * (1 - l_discount) as totalAmountByPromotion,
+    l_extendedprice * (1 - l_discount) * (1 - l_tax) as totalAmountWithoutTaxByPromotion,
+    l_discount >= 0.05D as winPromotion,
+    cast(substr(p_brand, 7) as bigint) as productGroupId, p_brand as productGroup,
+    p_partkey % 12 as productSubCategoryId, concat(p_type, '/', p_partkey % 12) as productSubCategory,
+    cast(length(p_type) as bigint) as productCategoryId, p_type as productCategory,
+    p_partkey % 4 as productUomId, p_retailprice as retailSellingPrice,
+    concat('RBT', p_size % 3) as retailBusinessType,
+    cast(null as double) as purchasePriceWithTax, cast(null as double) as purchasePriceWithoutTax,
+    concat('V', cast(round(l_tax * 100) as int)) as outputVatCode)"""
+PROMOTIONS = """case when o_orderkey % 3 <> 0 then array(
+    struct(concat('PR', o_orderkey % 7) as promotionCode, concat('Promo ', o_orderkey % 7) as promotionName,
+           5.25D as totalDiscountAmount, o_orderkey % 4 as voucherType,
+           case when o_orderkey % 2 = 0 then concat('VC', o_orderkey % 13) end as voucherCode,
+           case when o_orderkey % 5 = 0 then '95010032,1' else '1,2' end as products),
+    struct(concat('PR', o_orderkey % 5) as promotionCode,
+           case when o_orderkey % 4 <> 1 then concat('Promo ', o_orderkey % 5) end as promotionName,
+           2.5D as totalDiscountAmount, 0L as voucherType,
+           case when o_orderkey % 6 = 4 then concat('VD', o_orderkey % 3) end as voucherCode,
+           cast(null as string) as products)) end"""
+HEADER = (
+    "o_orderkey", "concat('T', o_orderkey) as _id", "o_orderdate as documentDate",
+    "o_orderdate + interval 1 hour as postingDate", "cast(pay_code as bigint) as paymentMethod",
+    "delivery_no as deliveryOrderNo", "cast(c_nationkey as string) as storeCode", "n_name as storeName",
+    "concat('Type', n_regionkey % 2) as storeType",
+    "case when pay_code = 0 then o_totalprice end as cash", "case when pay_code = 2 then o_totalprice end as voucher",
+    "case when pay_code = 1 then o_totalprice end as receivableAmount",
+    "case when pay_code >= 3 then o_totalprice end as cashAtBank",
+    "c_custkey % 3 as customerGender", "cast(c_custkey % 6 as string) as customerAgeRange",
+    "cast(c_nationkey % 5 as bigint) as customerNationality",
+    "concat('s', o_custkey % 50) as staffId", "concat('Staff ', o_custkey % 50) as staffName",
+    "case o_orderkey % 3 when 1 then '' when 2 then concat('V', o_orderkey % 7, ',W', o_orderkey % 5) end"
+    " as originalVoucherCode",
+)
+RETURN_HEADER = (
+    "o_orderkey", "concat('R', o_orderkey) as _id", "documentDate + interval 3 days as documentDate",
+    "postingDate + interval 3 days as postingDate", "paymentMethod", "cast(null as string) as deliveryOrderNo",
+    "storeCode", "storeName", "storeType", "cash", "voucher", "receivableAmount", "cashAtBank",
+    "concat('SUP', o_orderkey % 9) as supplierCode", "concat('Supplier ', o_orderkey % 9) as supplierName",
+    "_id as customerNote",
+)
+SERVICE_ITEM = """cast(l_partkey as string) as productCode, concat('Service ', l_partkey % 20) as productName,
+    cast(l_partkey % 4 as string) as productUomId, cast(l_suppkey as string) as supplierCode,
+    concat('Supplier ', l_suppkey) as supplierName, cast(l_quantity as bigint) as quantity,
+    l_extendedprice as totalAmount, concat('RBT', l_partkey % 3) as retailBusinessType,
+    l_discount * 100 as commissionOnVnd, l_extendedprice * l_discount as totalCommission"""
+SERVICE_COST = """l_extendedprice * 0.7D as purchasePriceWithTax, l_extendedprice * 0.63D as purchasePriceWithoutTax"""
+SERVICE_HEADER = (
+    "concat('S', o_orderkey, '-', translate(serviceName, ' ', '')) as transactionId",
+    "o_orderdate + make_interval(0, 0, 0, 0, cast(o_orderkey % 24 as int)) as transactionTime",
+    "o_orderdate + make_interval(0, 0, 0, 0, cast(o_orderkey % 24 + 1 as int)) as postingTime",
+    "cast(c_nationkey as string) as storeId", "n_name as storeName", "concat('Type', n_regionkey % 2) as storeType",
+    "o_orderkey % 3 as movementType", "cast(o_orderkey % 2 as int) as hasInvoice",
+    "cast(c_custkey % 6 as string) as customerAgeRange", "cast(c_nationkey % 5 as string) as customerNationality",
+    "c_custkey % 3 as customerGender", "o_orderkey % 4 as edcType", "o_totalprice as cash", "serviceName",
+    "o_totalprice * 0.9D as amountBeforeVat", "o_totalprice * 0.1D as amountVat",
+    "o_totalprice as totalAmountWithoutPromotion", "concat('s', o_custkey % 50) as staffId",
+    "concat('Staff ', o_custkey % 50) as staffName", "concat('pos', o_orderkey % 7) as posId",
+    "cast(pay_code as bigint) as paymentMethod", "o_totalprice as paymentMethodValue",
+    "o_orderdate as transactionRecordStartTime", "o_orderdate as transactionRecordEndTime",
+    "cast(null as double) as promotionTotalAmount", "cast(null as double) as totalProductPromotionAmountWithoutTax",
+    "cast(null as double) as totalVoucherPromotionAmountWithoutTax",
+    "cast(null as double) as totalBillPromotionAmountWithoutTax",
+    "o_orderkey % 10 as serviceFee", "o_orderkey % 5 as customerServiceFee",
+    "o_orderkey % 2 = 0 as skipValidateOver50Percent", "o_totalprice as receivableAmount",
+    "o_orderkey % 5 = 0 as prePaid", "case when o_orderkey % 9 <> 0 then 'done' end as syncedSapStatus",
+    "case when o_orderkey % 9 <> 0 then o_orderdate end as syncedSapTime",
+)
+SERVICE_ORDER = """concat('SO-', o_orderkey) as orderNo, concat('prov', o_orderkey % 3) as providerId,
+    concat('type', o_orderkey % 2) as orderType"""
+PAY_BILL_ORDER = "concat('svc', o_orderkey % 4) as serviceId, cast(c_custkey as string) as customerId"
+PRODUCT = (
+    "cast(p_partkey as string) as product_id", "case when p_partkey % 17 = 0 then 0 else 1 end as status", "is_base_unit",
+    "case when is_base_unit = 1 then 'EA' else 'BOX' end as product_uom_code", "p_name as product_name",
+    "cast(p_size as bigint) as product_uom_size", "p_partkey % 4 as product_uom_id",
+    "cast(substr(p_brand, 7) as bigint) as product_group_id", "p_brand as product_group_name",
+    "cast(length(p_type) as bigint) as product_category_id", "p_type as product_category_name",
+    "p_partkey % 12 as product_sub_category_id", "concat(p_type, '/', p_partkey % 12) as product_sub_category_name",
+    "concat('RBT', p_size % 3) as retail_business_type",
+)
+
+_schemas: dict[tuple[str, str], T.StructType] = {}
 
 
-def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+def table_path(sf_dir: str, name: str) -> str:
+    return os.path.join(sf_dir, f"{name}.parquet")
 
 
 class Landing:
@@ -41,99 +126,51 @@ class Landing:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return raw(self.spark, self.sf_dir, name)
+        """A given table. Its schema is read from the footer once per application."""
+        if name not in self._read:
+            path = table_path(self.sf_dir, name)
+            key = (self.spark.sparkContext.applicationId, path)
+            reader = self.spark.read if key not in _schemas else self.spark.read.schema(_schemas[key])
+            self._read[name] = reader.parquet(path)
+            _schemas[key] = self._read[name].schema
+        return self._read[name]
 
     # ---- bills ------------------------------------------------------------------------------------
     def orders(self) -> DataFrame:
-        k = F.col("o_orderkey")
-        return self.raw("orders").withColumns({
-            "pay_code": F.substring("o_orderpriority", 1, 1).cast("int") - 1,
-            "is_delivery": k % 4 == 0,
-            "delivery_no": F.when(k % 16 == 0, F.concat(F.lit("SAVYU-"), k))
-                            .when(k % 8 == 0, F.concat(F.lit("DO-"), k)),
-        })
+        return self.raw("orders").selectExpr(
+            "*", "cast(substr(o_orderpriority, 1, 1) as int) - 1 as pay_code", "o_orderkey % 4 = 0 as is_delivery",
+            """case when o_orderkey % 16 = 0 then concat('SAVYU-', o_orderkey)
+                    when o_orderkey % 8 = 0 then concat('DO-', o_orderkey) end as delivery_no""")
 
     def billed_orders(self) -> DataFrame:
         """Every order except deliveries still open, which surface as canceled orders."""
-        return self.orders().where(~(F.col("is_delivery") & (F.col("o_orderstatus") == "O")))
-
-    def _line_items(self, lines: DataFrame) -> DataFrame:
-        """Lines as sale items in pages of PAGE_LINES per order, in line order."""
-        part = self.raw("part")
-        price, off, tax = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")
-        item = F.struct(
-            F.col("l_partkey").cast("string").alias("productCode"), F.col("p_name").alias("productName"),
-            F.lit("EA").alias("uom"), F.col("p_size").cast("long").alias("uomSize"),
-            F.col("l_quantity").alias("quantity"), price.alias("totalAmount"),
-            (price * (1 - tax)).alias("totalAmountWithoutTax"),
-            (price * (1 - off)).alias("totalAmountByPromotion"),
-            (price * (1 - off) * (1 - tax)).alias("totalAmountWithoutTaxByPromotion"),
-            (off >= 0.05).alias("winPromotion"),
-            F.substring("p_brand", 7, 4).cast("long").alias("productGroupId"), F.col("p_brand").alias("productGroup"),
-            (F.col("p_partkey") % 12).alias("productSubCategoryId"),
-            F.concat(F.col("p_type"), F.lit("/"), F.col("p_partkey") % 12).alias("productSubCategory"),
-            F.length("p_type").cast("long").alias("productCategoryId"), F.col("p_type").alias("productCategory"),
-            (F.col("p_partkey") % 4).alias("productUomId"), F.col("p_retailprice").alias("retailSellingPrice"),
-            F.concat(F.lit("RBT"), F.col("p_size") % 3).alias("retailBusinessType"),
-            F.lit(None).cast("double").alias("purchasePriceWithTax"),
-            F.lit(None).cast("double").alias("purchasePriceWithoutTax"),
-            F.concat(F.lit("V"), F.round(tax * 100).cast("int")).alias("outputVatCode"))
-        placed = running_sums(lines, ["l_orderkey"], LINE_ORDER, before="line_no")
-        paged = (placed.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-                 .select("l_orderkey", F.floor(F.col("line_no") / PAGE_LINES).alias("doc_page"),
-                         F.struct("line_no", item.alias("item")).alias("entry")))
-        return (paged.groupBy("l_orderkey", "doc_page").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
-                .select("l_orderkey", "doc_page", F.transform("entries", lambda e: e["item"]).alias("saleNormalItems")))
+        return self.orders().where("not (is_delivery and o_orderstatus = 'O')")
 
-    def _stores(self) -> DataFrame:
-        return self.raw("nation").select(
-            F.col("n_nationkey").alias("s_key"), F.col("n_name").alias("storeName"),
-            F.concat(F.lit("Type"), F.col("n_regionkey") % 2).alias("storeType"))
+    def _with_store(self, orders: DataFrame) -> DataFrame:
+        stores = self.raw("customer").join(self.raw("nation"), F.expr("c_nationkey = n_nationkey"), "left")
+        return orders.join(stores, F.expr("o_custkey = c_custkey"), "left")
 
-    def _bill_header(self) -> DataFrame:
-        k, c = F.col("o_orderkey"), F.col("c_custkey")
-        amount, pay = F.col("o_totalprice"), F.col("pay_code")
-        return (self.billed_orders()
-                .join(self.raw("customer"), F.col("o_custkey") == c, "left")
-                .join(self._stores(), F.col("c_nationkey") == F.col("s_key"), "left")
-                .select(
-                    "o_orderkey", F.concat(F.lit("T"), k).alias("_id"), F.col("o_orderdate").alias("documentDate"),
-                    F.timestamp_add("HOUR", F.lit(1), F.col("o_orderdate")).alias("postingDate"),
-                    pay.cast("long").alias("paymentMethod"), F.col("delivery_no").alias("deliveryOrderNo"),
-                    F.col("c_nationkey").cast("string").alias("storeCode"), "storeName", "storeType",
-                    F.when(pay == 0, amount).alias("cash"), F.when(pay == 2, amount).alias("voucher"),
-                    F.when(pay == 1, amount).alias("receivableAmount"), F.when(pay >= 3, amount).alias("cashAtBank"),
-                    (c % 3).alias("customerGender"), (c % 6).cast("string").alias("customerAgeRange"),
-                    (F.col("c_nationkey") % 5).cast("long").alias("customerNationality"),
-                    F.concat(F.lit("s"), F.col("o_custkey") % 50).alias("staffId"),
-                    F.concat(F.lit("Staff "), F.col("o_custkey") % 50).alias("staffName"),
-                    F.when(k % 3 == 1, F.lit("")).when(k % 3 == 2, F.concat(F.lit("V"), k % 7, F.lit(",W"), k % 5))
-                     .alias("originalVoucherCode")))
+    def _pages(self, lines: DataFrame, keys: list[str], item: str, name: str) -> DataFrame:
+        """Lines as item arrays per key, in line order, in pages of PAGE_LINES: no array grows without bound."""
+        placed = running_sums(lines, keys, LINE_ORDER, before="line_no")
+        return self._gather_pages(placed, keys, item, name)
 
     @staticmethod
-    def _promotions() -> Column:
-        k = F.col("o_orderkey")
-        return F.when(k % 3 != 0, F.array(
-            F.struct(F.concat(F.lit("PR"), k % 7).alias("promotionCode"),
-                     F.concat(F.lit("Promo "), k % 7).alias("promotionName"),
-                     F.lit(5.25).alias("totalDiscountAmount"), (k % 4).alias("voucherType"),
-                     F.when(k % 2 == 0, F.concat(F.lit("VC"), k % 13)).alias("voucherCode"),
-                     F.when(k % 5 == 0, F.lit("95010032,1")).otherwise(F.lit("1,2")).alias("products")),
-            F.struct(F.concat(F.lit("PR"), k % 5).alias("promotionCode"),
-                     F.when(k % 4 != 1, F.concat(F.lit("Promo "), k % 5)).alias("promotionName"),
-                     F.lit(2.5).alias("totalDiscountAmount"), F.lit(0).cast("long").alias("voucherType"),
-                     F.when(k % 6 == 4, F.concat(F.lit("VD"), k % 3)).alias("voucherCode"),
-                     F.lit(None).cast("string").alias("products"))))
+    def _gather_pages(placed: DataFrame, keys: list[str], item: str, name: str) -> DataFrame:
+        return (placed.selectExpr(*keys, f"line_no div {PAGE_LINES} as doc_page", f"struct(line_no, {item} as item) as entry")
+                .groupBy(*keys, "doc_page").agg(F.expr(f"array_sort(collect_list(entry)).item as {name}")))
 
-    def sale_bill(self) -> DataFrame:
-        items = self._line_items(self.raw("lineitem")).withColumnRenamed("l_orderkey", "o_orderkey")
-        page = F.coalesce(F.col("doc_page"), F.lit(0))
-        return (self._bill_header().join(items, "o_orderkey", "left")
-                .withColumn("doc_page", page)
-                .withColumn("transactionPromotions", F.when(F.col("doc_page") == 0, self._promotions()))
-                .drop("o_orderkey"))
+    def _sale_items(self, lines: DataFrame) -> DataFrame:
+        """The product is looked up after numbering, on rows already grouped by order, when it fits a broadcast."""
+        placed = running_sums(lines, ["l_orderkey"], LINE_ORDER, before="line_no")
+        known = placed.join(self.raw("part"), F.expr("l_partkey = p_partkey"), "left")
+        return self._gather_pages(known, ["l_orderkey"], ITEM, "saleNormalItems").withColumnRenamed("l_orderkey", "o_orderkey")
+
+    def _bill_header(self) -> DataFrame:
+        return self._with_store(self.billed_orders()).selectExpr(*HEADER)
 
     def bill_heads(self) -> DataFrame:
         """The bills without their items, for what needs bill-level fields only."""
@@ -141,225 +178,133 @@ class Landing:
 
     def bill_promotions(self) -> DataFrame:
         """Ids and promotions of the bills; no line is read for it."""
-        return self.billed_orders().select(F.concat(F.lit("T"), F.col("o_orderkey")).alias("_id"),
-                                           self._promotions().alias("transactionPromotions"))
+        return self.billed_orders().selectExpr("concat('T', o_orderkey) as _id", f"{PROMOTIONS} as transactionPromotions")
+
+    def sale_bill(self) -> DataFrame:
+        bills = self._bill_header().join(self._sale_items(self.raw("lineitem")), "o_orderkey", "left")
+        keep = [c for c in bills.columns if c not in ("o_orderkey", "doc_page")]
+        return bills.selectExpr(*keep, "coalesce(doc_page, 0L) as doc_page",
+                                f"case when coalesce(doc_page, 0L) = 0 then {PROMOTIONS} end as transactionPromotions")
 
     def sale_return_bill(self) -> DataFrame:
-        returned = self._line_items(self.raw("lineitem").where(F.col("l_returnflag") == "R"))
-        header = self._bill_header().select(
-            "o_orderkey", F.concat(F.lit("R"), F.col("o_orderkey")).alias("_id"),
-            F.timestamp_add("DAY", F.lit(3), F.col("documentDate")).alias("documentDate"),
-            F.timestamp_add("DAY", F.lit(3), F.col("postingDate")).alias("postingDate"),
-            "paymentMethod", F.lit(None).cast("string").alias("deliveryOrderNo"), "storeCode", "storeName",
-            "storeType", "cash", "voucher", "receivableAmount", "cashAtBank",
-            F.concat(F.lit("SUP"), F.col("o_orderkey") % 9).alias("supplierCode"),
-            F.concat(F.lit("Supplier "), F.col("o_orderkey") % 9).alias("supplierName"),
-            F.col("_id").alias("customerNote"))
-        return (header.join(returned.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
-                .drop("o_orderkey"))
+        returned = self._sale_items(self.raw("lineitem").where("l_returnflag = 'R'"))
+        return self._bill_header().selectExpr(*RETURN_HEADER).join(returned, "o_orderkey").drop("o_orderkey")
 
     # ---- relational sources -----------------------------------------------------------------------
     def delivery_orders(self) -> DataFrame:
-        k = F.col("o_orderkey")
-        base = (self.orders().where("is_delivery")
-                .join(self.raw("customer").select("c_custkey", "c_nationkey"),
-                      F.col("o_custkey") == F.col("c_custkey"), "left"))
-        # a second delivery row for some orders, under its own order id
-        copies = F.when(k % 40 == 0, F.array(F.lit(0), F.lit(1_000_000_000))).otherwise(F.array(F.lit(0)))
-        return (base.withColumn("shift", F.explode(copies)).select(
-            (k + F.col("shift")).alias("order_id"), F.concat(F.lit("T"), k).alias("transaction_no"),
-            F.when(k % 12 != 0, F.col("o_custkey")).alias("user_id"),
-            F.when(k % 5 == 0, "GrabFood").when(k % 5 == 1, "").alias("external_source"),
-            F.timestamp_add("HOUR", (k % 24).cast("int"), F.col("o_orderdate")).alias("created_at"),
-            F.concat(F.lit("P"), k).alias("partner_order_no"),
-            (F.col("c_nationkey") % 6).cast("string").alias("partner_store_id"),
-            F.concat(F.lit("X"), k).alias("external_order_id"),
-            F.concat(F.lit("note "), k % 9).alias("delivery_note"), F.col("delivery_no").alias("order_no"),
-            F.when(F.col("o_orderstatus") == "F", 8).when(F.col("o_orderstatus") == "P", 7).otherwise(5)
-             .cast("long").alias("status"),
-            F.col("o_totalprice").alias("total_price_amount"), F.col("pay_code").cast("long").alias("payment_method"),
-            F.when(F.col("o_orderstatus") == "O", F.concat(F.lit("reason "), k % 3)).otherwise("")
-             .alias("canceled_reason")))
+        """A tenth of the deliveries has a second row under its own order id; a third is anonymous."""
+        orders = self.orders().where("is_delivery").join(
+            self.raw("customer").select("c_custkey", "c_nationkey"), F.expr("o_custkey = c_custkey"), "left")
+        copies = orders.selectExpr(
+            "*", "explode(case when o_orderkey % 40 = 0 then array(0L, 1000000000L) else array(0L) end) as shift")
+        return copies.selectExpr(
+            "o_orderkey + shift as order_id", "concat('T', o_orderkey) as transaction_no",
+            "case when o_orderkey % 12 <> 0 then o_custkey end as user_id",
+            "case o_orderkey % 5 when 0 then 'GrabFood' when 1 then '' end as external_source",
+            "o_orderdate + make_interval(0, 0, 0, 0, cast(o_orderkey % 24 as int)) as created_at",
+            "concat('P', o_orderkey) as partner_order_no", "cast(c_nationkey % 6 as string) as partner_store_id",
+            "concat('X', o_orderkey) as external_order_id", "concat('note ', o_orderkey % 9) as delivery_note",
+            "delivery_no as order_no", "cast(case o_orderstatus when 'F' then 8 when 'P' then 7 else 5 end as bigint) as status",
+            "o_totalprice as total_price_amount", "cast(pay_code as bigint) as payment_method",
+            "case when o_orderstatus = 'O' then concat('reason ', o_orderkey % 3) else '' end as canceled_reason")
 
     def delivery_order_details(self) -> DataFrame:
-        k = F.col("l_orderkey")
-        return self.raw("lineitem").where(k % 4 == 0).select(
-            k.alias("order_id"), F.col("l_partkey").cast("string").alias("product_id"),
-            F.when(k % 5 != 0, F.col("l_linenumber") % 2).alias("put_in_cart_order"))
+        return self.raw("lineitem").where("l_orderkey % 4 = 0").selectExpr(
+            "l_orderkey as order_id", "cast(l_partkey as string) as product_id",
+            "case when l_orderkey % 5 <> 0 then l_linenumber % 2 end as put_in_cart_order")
 
     def delivery_order_audits(self) -> DataFrame:
-        kind = F.col("event_type")
-        return self.raw("events").select(
-            F.col("user_id").alias("order_id"),
-            F.when(kind == "signup", 1).when(kind == "error", 5).when(kind == "click", 6).when(kind == "view", 7)
-             .when(kind == "purchase", 8).cast("long").alias("status"),
-            F.col("ts").alias("created_at"))
+        return self.raw("events").selectExpr(
+            "user_id as order_id", """cast(case event_type when 'signup' then 1 when 'error' then 5 when 'click' then 6
+                                      when 'view' then 7 when 'purchase' then 8 end as bigint) as status""",
+            "ts as created_at")
 
     def users(self) -> DataFrame:
-        c = F.col("c_custkey")
-        return self.raw("customer").select(
-            c.alias("user_id"), F.concat(F.lit("09"), F.lpad(c.cast("string"), 8, "0")).alias("phone"),
-            F.col("c_name").alias("full_name"),
-            F.when(c % 4 != 0, F.concat(F.lit("C"), c)).otherwise("").alias("customer_code"))
+        return self.raw("customer").selectExpr(
+            "c_custkey as user_id", "concat('09', lpad(cast(c_custkey as string), 8, '0')) as phone", "c_name as full_name",
+            "case when c_custkey % 4 <> 0 then concat('C', c_custkey) else '' end as customer_code")
 
     def sale_transactions(self) -> DataFrame:
-        k = F.col("o_orderkey")
-        return self.raw("orders").where(k % 2 == 0).select(
-            F.concat(F.lit("T"), k).alias("transaction_id"), (F.col("o_custkey") + 1).alias("user_id"),
-            F.col("o_orderdate").alias("created_at"), (1 + k % 5).cast("int").alias("rating"),
-            F.concat(F.lit("comment "), k % 11).alias("comment"))
+        return self.raw("orders").where("o_orderkey % 2 = 0").selectExpr(
+            "concat('T', o_orderkey) as transaction_id", "o_custkey + 1 as user_id", "o_orderdate as created_at",
+            "cast(1 + o_orderkey % 5 as int) as rating", "concat('comment ', o_orderkey % 11) as comment")
 
     def point_histories(self) -> DataFrame:
-        k = F.col("o_orderkey")
-        yes, no = F.lit("true").alias("is_captured"), F.lit("false").alias("is_captured")
-        cashier, app = F.lit("CASHIER").alias("user_type"), F.lit("APP").alias("user_type")
-        audits = (F.when(k % 15 == 0, None)
-                  .when(k % 9 == 0, F.array().cast("array<struct<is_captured:string,user_type:string>>"))
-                  .when(k % 2 == 0, F.array(F.struct(yes, cashier), F.struct(no, app)))
-                  .otherwise(F.array(F.struct(no, cashier), F.struct(yes, app))))
-        return self.raw("orders").where(k % 3 == 0).select(
-            F.concat(F.lit("T"), k).alias("reference_id"), (F.col("o_custkey") + 2).alias("user_id"),
-            F.timestamp_add("DAY", F.lit(1), F.col("o_orderdate")).alias("created_at"),
-            audits.alias("action_audits"))
+        audit = lambda captured, who: f"struct('{captured}' as is_captured, '{who}' as user_type)"
+        return self.raw("orders").where("o_orderkey % 3 = 0").selectExpr(
+            "concat('T', o_orderkey) as reference_id", "o_custkey + 2 as user_id", "o_orderdate + interval 1 day as created_at",
+            f"""case when o_orderkey % 15 = 0 then null
+                     when o_orderkey % 9 = 0 then cast(array() as array<struct<is_captured:string,user_type:string>>)
+                     when o_orderkey % 2 = 0 then array({audit('true', 'CASHIER')}, {audit('false', 'APP')})
+                     else array({audit('false', 'CASHIER')}, {audit('true', 'APP')}) end as action_audits""")
 
     def partner_store(self) -> DataFrame:
-        return self.raw("nation").where("n_nationkey < 6").select(
-            F.col("n_nationkey").cast("string").alias("partner_store_id"),
-            (F.col("n_nationkey") % 3).cast("string").alias("partner_source"))
+        return self.raw("nation").where("n_nationkey < 6").selectExpr(
+            "cast(n_nationkey as string) as partner_store_id", "cast(n_nationkey % 3 as string) as partner_source")
 
     def partner_sources(self) -> DataFrame:
-        return self.raw("region").where("r_regionkey < 2").select(
-            F.col("r_regionkey").cast("string").alias("partner_source"), F.col("r_name").alias("name"))
+        return self.raw("region").where("r_regionkey < 2").selectExpr(
+            "cast(r_regionkey as string) as partner_source", "r_name as name")
 
     # ---- dimensions -------------------------------------------------------------------------------
     def product_uom_upc(self) -> DataFrame:
-        p = F.col("p_partkey")
-        units = F.when(p % 3 == 0, F.array(F.lit(1), F.lit(0))).otherwise(F.array(F.lit(1)))
-        return self.raw("part").withColumn("is_base_unit", F.explode(units)).select(
-            p.cast("string").alias("product_id"), F.when(p % 17 == 0, 0).otherwise(1).alias("status"), "is_base_unit",
-            F.when(F.col("is_base_unit") == 1, "EA").otherwise("BOX").alias("product_uom_code"),
-            F.col("p_name").alias("product_name"), F.col("p_size").cast("long").alias("product_uom_size"),
-            (p % 4).alias("product_uom_id"),
-            F.substring("p_brand", 7, 4).cast("long").alias("product_group_id"), F.col("p_brand").alias("product_group_name"),
-            F.length("p_type").cast("long").alias("product_category_id"), F.col("p_type").alias("product_category_name"),
-            (p % 12).alias("product_sub_category_id"),
-            F.concat(F.col("p_type"), F.lit("/"), p % 12).alias("product_sub_category_name"),
-            F.concat(F.lit("RBT"), F.col("p_size") % 3).alias("retail_business_type"))
+        units = "explode(case when p_partkey % 3 = 0 then array(1, 0) else array(1) end) as is_base_unit"
+        return self.raw("part").selectExpr("*", units).selectExpr(*PRODUCT)
 
     def oms_product(self) -> DataFrame:
-        p = F.col("p_partkey")
-        copies = F.when(p % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-        return self.raw("part").withColumn("copy", F.explode(copies)).select(
-            p.cast("string").alias("product_id"), F.col("p_brand").alias("product_brand_name"),
-            F.concat(F.lit("Maker "), F.col("p_size") % 5).alias("product_manufacturer_name"))
+        copies = "explode(case when p_partkey % 50 = 0 then array(1, 2) else array(1) end) as copy"
+        return self.raw("part").selectExpr("*", copies).selectExpr(
+            "cast(p_partkey as string) as product_id", "p_brand as product_brand_name",
+            "concat('Maker ', p_size % 5) as product_manufacturer_name")
 
     def oms_store(self) -> DataFrame:
-        return self.raw("nation").select(
-            F.col("n_nationkey").cast("string").alias("store_id"), F.col("n_name").alias("store_name"),
-            F.concat(F.lit("Type"), F.col("n_regionkey") % 2).alias("store_type"))
+        return self.raw("nation").selectExpr("cast(n_nationkey as string) as store_id", "n_name as store_name",
+                                             "concat('Type', n_regionkey % 2) as store_type")
 
     def dict_stores(self) -> DataFrame:
-        return self.raw("nation").where("n_nationkey <> 11").select(
-            F.col("n_nationkey").cast("string").alias("store_id"),
-            F.concat(F.lit("T"), F.col("n_nationkey") % 3).alias("tier_store"),
-            F.col("n_regionkey").cast("int").alias("sale_area_id"))
+        return self.raw("nation").where("n_nationkey <> 11").selectExpr(
+            "cast(n_nationkey as string) as store_id", "concat('T', n_nationkey % 3) as tier_store",
+            "cast(n_regionkey as int) as sale_area_id")
 
     def mapping_payment_method(self) -> DataFrame:
-        return self.orders().select(
-            F.col("pay_code").cast("long").alias("payment_method_id"),
-            F.concat(F.lit("Pay supplier "), F.col("pay_code")).alias("payment_supplier_name")).distinct()
+        return self.orders().selectExpr("cast(pay_code as bigint) as payment_method_id",
+                                        "concat('Pay supplier ', pay_code) as payment_supplier_name").distinct()
 
     def purchase_price_timeline(self) -> DataFrame:
-        p, year = F.col("p_partkey"), F.col("year")
         first, last = PRICE_YEARS
-        cost = F.col("p_retailprice") * 0.7 * (1 + 0.01 * (year - first))
-        return (self.raw("part").where(p % 10 != 0)
-                .withColumn("sale_area_id", F.explode(F.sequence(F.lit(0), F.lit(4))))
-                .withColumn("year", F.explode(F.sequence(F.lit(first), F.lit(last))))
-                .where(~((p % 7 == 0) & (year >= 2000)))
-                .select(p.cast("string").alias("product_id"), "sale_area_id",
-                        F.make_date(year, F.lit(1), F.lit(1)).cast("timestamp_ntz")
-                         .alias("purchase_price_effective_date"),
-                        F.make_date(year + 1, F.lit(1), F.lit(1)).cast("timestamp_ntz")
-                         .alias("next_purchase_price_effective_date"),
-                        (cost * 1.1).alias("purchase_price_with_tax"), cost.alias("purchase_price_without_tax")))
+        cost = f"p_retailprice * 0.7D * (1 + 0.01D * (year - {first}))"
+        return (self.raw("part").where("p_partkey % 10 <> 0")
+                .selectExpr("p_partkey", "p_retailprice", "explode(sequence(0, 4)) as sale_area_id")
+                .selectExpr("*", f"explode(sequence({first}, {last})) as year")
+                .where("not (p_partkey % 7 = 0 and year >= 2000)")
+                .selectExpr("cast(p_partkey as string) as product_id", "sale_area_id",
+                            "cast(make_date(year, 1, 1) as timestamp_ntz) as purchase_price_effective_date",
+                            "cast(make_date(year + 1, 1, 1) as timestamp_ntz) as next_purchase_price_effective_date",
+                            f"{cost} * 1.1D as purchase_price_with_tax", f"{cost} as purchase_price_without_tax"))
 
     def store_snapshots(self) -> DataFrame:
         """The store master as read on four days: tiers move, one store appears, one disappears."""
-        n, k = F.col("n_nationkey"), F.col("snap")
-        days = F.array(*[F.lit(d) for d in SNAPSHOT_DAYS])
-        return (self.raw("nation").select("*", F.posexplode(days).alias("snap", "snapshot_day"))
-                .where(~((n == 3) & (k == 3)) & ~((n == 5) & (k < 1)))
-                .select(n.cast("string").alias("store_id"), F.col("n_name").alias("store_name"),
-                        F.when(~((n == 7) & (k == 1)), F.floor((n + k) / 10).cast("int")).alias("tier"),
-                        F.when((n == 11) & (k >= 2), (F.col("n_regionkey") + 1) % 5).otherwise(F.col("n_regionkey"))
-                         .cast("int").alias("sale_area_id"),
-                        F.col("snapshot_day").cast("date").alias("snapshot_day")))
+        days = ", ".join(f"'{d}'" for d in SNAPSHOT_DAYS)
+        return (self.raw("nation").selectExpr("*", f"posexplode(array({days})) as (snap, day)")
+                .where("not (n_nationkey = 3 and snap = 3) and not (n_nationkey = 5 and snap < 1)")
+                .selectExpr("cast(n_nationkey as string) as store_id", "n_name as store_name",
+                            "case when not (n_nationkey = 7 and snap = 1) then cast((n_nationkey + snap) div 10 as int) end as tier",
+                            """cast(case when n_nationkey = 11 and snap >= 2 then (n_regionkey + 1) % 5 else n_regionkey end
+                               as int) as sale_area_id""", "cast(day as date) as snapshot_day"))
 
     # ---- payment services -------------------------------------------------------------------------
-    def _service_docs(self, status: str, items_field: str) -> DataFrame:
-        ln = self.raw("lineitem").where(F.col("l_linestatus") == status)
-        kind = (F.lit("Pay Bill") if status == "F"
-                else F.when(F.col("l_partkey") % 2 == 0, "Top Up").otherwise("Pay Card"))
-        price = F.col("l_extendedprice")
-        ln = ln.withColumn("serviceName", kind)
-        placed = running_sums(ln, ["l_orderkey", "serviceName"], LINE_ORDER, before="line_no")
-        item = [F.col("l_partkey").cast("string").alias("productCode"),
-                F.concat(F.lit("Service "), F.col("l_partkey") % 20).alias("productName"),
-                (F.col("l_partkey") % 4).cast("string").alias("productUomId"),
-                F.col("l_suppkey").cast("string").alias("supplierCode"),
-                F.concat(F.lit("Supplier "), F.col("l_suppkey")).alias("supplierName"),
-                F.col("l_quantity").cast("long").alias("quantity"), price.alias("totalAmount"),
-                F.concat(F.lit("RBT"), F.col("l_partkey") % 3).alias("retailBusinessType"),
-                (F.col("l_discount") * 100).alias("commissionOnVnd"),
-                (price * F.col("l_discount")).alias("totalCommission")]
-        if status == "O":
-            item += [(price * 0.7).alias("purchasePriceWithTax"), (price * 0.63).alias("purchasePriceWithoutTax")]
-        docs = (placed.select("l_orderkey", "serviceName", F.floor(F.col("line_no") / PAGE_LINES).alias("doc_page"),
-                              F.struct("line_no", F.struct(*item).alias("item")).alias("entry"))
-                .groupBy("l_orderkey", "serviceName", "doc_page")
-                .agg(F.transform(F.sort_array(F.collect_list("entry")), lambda e: e["item"]).alias(items_field)))
-        k, c = F.col("o_orderkey"), F.col("c_custkey")
-        amount = F.col("o_totalprice")
-        bill = status == "F"
-        info = [F.concat(F.lit("SO-"), k).alias("orderNo"), F.concat(F.lit("prov"), k % 3).alias("providerId"),
-                F.concat(F.lit("type"), k % 2).alias("orderType")]
-        if bill:
-            info += [F.concat(F.lit("svc"), k % 4).alias("serviceId"), c.cast("string").alias("customerId")]
-        return (docs.join(self.orders(), F.col("l_orderkey") == k)
-                .join(self.raw("customer"), F.col("o_custkey") == c, "left")
-                .join(self._stores(), F.col("c_nationkey") == F.col("s_key"), "left")
-                .select(
-                    F.concat(F.lit("S"), k, F.lit("-"), F.translate(F.col("serviceName"), " ", "")).alias("transactionId"),
-                    F.timestamp_add("HOUR", (k % 24).cast("int"), F.col("o_orderdate")).alias("transactionTime"),
-                    F.timestamp_add("HOUR", (k % 24 + 1).cast("int"), F.col("o_orderdate")).alias("postingTime"),
-                    F.col("c_nationkey").cast("string").alias("storeId"), "storeName", "storeType",
-                    (k % 3).alias("movementType"), (k % 2).cast("int").alias("hasInvoice"),
-                    (c % 6).cast("string").alias("customerAgeRange"),
-                    (F.col("c_nationkey") % 5).cast("string").alias("customerNationality"),
-                    (c % 3).alias("customerGender"), (k % 4).alias("edcType"), amount.alias("cash"), "serviceName",
-                    (amount * 0.9).alias("amountBeforeVat"), (amount * 0.1).alias("amountVat"),
-                    amount.alias("totalAmountWithoutPromotion"),
-                    F.concat(F.lit("s"), F.col("o_custkey") % 50).alias("staffId"),
-                    F.concat(F.lit("Staff "), F.col("o_custkey") % 50).alias("staffName"),
-                    F.concat(F.lit("pos"), k % 7).alias("posId"), F.col("pay_code").cast("long").alias("paymentMethod"),
-                    amount.alias("paymentMethodValue"),
-                    F.col("o_orderdate").alias("transactionRecordStartTime"),
-                    F.col("o_orderdate").alias("transactionRecordEndTime"),
-                    *[F.lit(None).cast("double").alias(n) for n in (
-                        "promotionTotalAmount", "totalProductPromotionAmountWithoutTax",
-                        "totalVoucherPromotionAmountWithoutTax", "totalBillPromotionAmountWithoutTax")],
-                    (k % 10).alias("serviceFee"), (k % 5).alias("customerServiceFee"),
-                    (k % 2 == 0).alias("skipValidateOver50Percent"), amount.alias("receivableAmount"),
-                    (k % 5 == 0).alias("prePaid"), F.when(k % 9 != 0, "done").alias("syncedSapStatus"),
-                    F.when(k % 9 != 0, F.col("o_orderdate")).alias("syncedSapTime"),
-                    F.struct(*info).alias("orderInfo"), items_field))
+    def _service_docs(self, status: str, kind: str, item: str, order: str, items_field: str) -> DataFrame:
+        sold = self.raw("lineitem").where(F.col("l_linestatus") == status).selectExpr("*", f"{kind} as serviceName")
+        docs = self._pages(sold, ["l_orderkey", "serviceName"], f"struct({item})", items_field)
+        whole = docs.join(self.orders(), F.expr("l_orderkey = o_orderkey"))
+        return self._with_store(whole).selectExpr(*SERVICE_HEADER, f"struct({order}) as orderInfo", items_field)
 
     def pay_bill_transaction(self) -> DataFrame:
-        return self._service_docs("F", "paybillItems")
+        return self._service_docs("F", "'Pay Bill'", SERVICE_ITEM, f"{SERVICE_ORDER}, {PAY_BILL_ORDER}", "paybillItems")
 
     def top_up_transaction(self) -> DataFrame:
-        return self._service_docs("O", "topUpItems")
+        kind = "case when l_partkey % 2 = 0 then 'Top Up' else 'Pay Card' end"
+        return self._service_docs("O", kind, f"{SERVICE_ITEM}, {SERVICE_COST}", SERVICE_ORDER, "topUpItems")
 
     # ---- event stream -----------------------------------------------------------------------------
     def event_stream(self) -> DataFrame:
@@ -371,38 +316,35 @@ class Landing:
         return reader.parquet(path)
 
 
+# The message of one sale, as an expression over an event.
+MESSAGE = """to_json(struct(
+    case when event_type = 'purchase' then 'SALE_TRANSACTION' else upper(event_type) end as stream_type, 'POS' as source,
+    struct(cast(user_id % 20 as string) as store_code, concat('Store ', user_id % 20) as store_name,
+        array(struct(
+            concat('E', event_id) as transaction_id, concat('s', event_id % 30) as staff_id,
+            concat('Staff ', event_id % 30) as staff_name, sent_ms as document_date, sent_ms + 1000 as posting_date,
+            event_id % 5 as payment_method, price as total_amount, event_id % 3 as customer_gender,
+            case when event_id % 90 <> 0 then array(struct(
+                cast(event_id % 40 as string) as product_code, concat('Item ', event_id % 40) as product_name, 'EA' as uom,
+                case when event_id % 70 <> 0 then event_id % 4 end as product_uom_id, 1L as uom_size,
+                1 + event_id % 3 as quantity, price as retail_selling_price, price as total_amount,
+                price * 0.9D as total_amount_without_tax, price * 0.7D as purchase_price_with_tax,
+                price * 0.63D as purchase_price_without_tax,
+                event_id % 10 as product_group_id, concat('Group ', event_id % 10) as product_group,
+                event_id % 20 as product_sub_category_id, concat('Sub ', event_id % 20) as product_sub_category,
+                event_id % 5 as product_category_id, concat('Category ', event_id % 5) as product_category,
+                concat('RBT', event_id % 3) as retail_business_type, concat('SUP', event_id % 6) as supplier_code,
+                concat('Supplier ', event_id % 6) as supplier_name)) end as sale_normal_items)) as sale_transaction)
+    as payload)) as value"""
+
+
 def stream_values(events: DataFrame) -> DataFrame:
     """Events as message text: purchases are sale envelopes, all other types are noise on the same topic.
 
     Every 50th event is sent again a minute later with a corrected amount, every 70th has no unit id, every
     90th has no items.
     """
-    e = F.col("event_id")
-    ms = F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts"))
-    again = F.when(e % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    price = F.col("value") + F.col("again")
-    item = F.struct(
-        (e % 40).cast("string").alias("product_code"), F.concat(F.lit("Item "), e % 40).alias("product_name"),
-        F.lit("EA").alias("uom"), F.when(e % 70 != 0, e % 4).alias("product_uom_id"), F.lit(1).cast("long").alias("uom_size"),
-        (1 + e % 3).alias("quantity"), price.alias("retail_selling_price"), price.alias("total_amount"),
-        (price * 0.9).alias("total_amount_without_tax"), (price * 0.7).alias("purchase_price_with_tax"),
-        (price * 0.63).alias("purchase_price_without_tax"),
-        (e % 10).alias("product_group_id"), F.concat(F.lit("Group "), e % 10).alias("product_group"),
-        (e % 20).alias("product_sub_category_id"), F.concat(F.lit("Sub "), e % 20).alias("product_sub_category"),
-        (e % 5).alias("product_category_id"), F.concat(F.lit("Category "), e % 5).alias("product_category"),
-        F.concat(F.lit("RBT"), e % 3).alias("retail_business_type"),
-        F.concat(F.lit("SUP"), e % 6).alias("supplier_code"), F.concat(F.lit("Supplier "), e % 6).alias("supplier_name"))
-    sent = ms + F.col("again") * 60_000
-    sale = F.struct(
-        F.concat(F.lit("E"), e).alias("transaction_id"), F.concat(F.lit("s"), e % 30).alias("staff_id"),
-        F.concat(F.lit("Staff "), e % 30).alias("staff_name"), sent.alias("document_date"),
-        (sent + 1000).alias("posting_date"), (e % 5).alias("payment_method"), price.alias("total_amount"),
-        (e % 3).alias("customer_gender"),
-        F.when(e % 90 != 0, F.array(item)).alias("sale_normal_items"))
-    kind = F.when(F.col("event_type") == "purchase", "SALE_TRANSACTION").otherwise(F.upper("event_type"))
-    payload = F.struct((F.col("user_id") % 20).cast("string").alias("store_code"),
-                       F.concat(F.lit("Store "), F.col("user_id") % 20).alias("store_name"),
-                       F.array(sale).alias("sale_transaction"))
-    return (events.withColumn("again", F.explode(again))
-            .select(F.to_json(F.struct(kind.alias("stream_type"), F.lit("POS").alias("source"),
-                                       payload.alias("payload"))).alias("value")))
+    sent = events.selectExpr("*", "explode(case when event_id % 50 = 0 then array(0, 1) else array(0) end) as again")
+    return sent.selectExpr(
+        "event_id", "user_id", "event_type", "value + again as price",
+        "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) + again * 60000 as sent_ms").selectExpr(MESSAGE)

@@ -37,20 +37,18 @@ def sale_messages(messages: DataFrame) -> DataFrame:
     """
     kind = F.get_json_object("value", "$.stream_type")
     parsed = messages.where(kind == SALE).select(F.from_json("value", STREAM_ENVELOPE).alias("e"))
-    sold = parsed.select("e.payload.store_code", "e.payload.store_name",
-                         F.explode("e.payload.sale_transaction").alias("t"))
-    items = sold.select("store_code", "store_name", F.col("t").dropFields("sale_normal_items").alias("t"),
-                        F.explode("t.sale_normal_items").alias("i"))
-    moment = local_time(from_epoch_ms(F.col("t.document_date")))
-    lines = items.select(
-        F.col("t.transaction_id"), F.to_date(moment).alias("report_date"), moment.alias("transaction_time"),
-        moment.alias("sale_bill_time"), local_time(from_epoch_ms(F.col("t.posting_date"))).alias("posting_time"),
-        F.col("store_code").alias("store_id"), "store_name", F.col("t.staff_id"), F.col("t.staff_name"),
-        F.col("t.payment_method").alias("payment_method_id"),
-        *[F.col(f"i.{field}").alias(name) for field, name in MESSAGE_ITEM.items()],
-        F.col("i.total_amount").alias("final_amount"), F.col("i.total_amount_without_tax").alias("final_amount_no_tax"),
-        decode.gender(F.col("t.customer_gender")).alias("customer_gender"),
-        F.lit("Sale Transaction").alias("transaction_type"), F.lit("completed").alias("delivery_status"))
+    sold = parsed.selectExpr("e.payload.store_code as store_id", "e.payload.store_name as store_name",
+                             "explode(e.payload.sale_transaction) as t")
+    items = sold.selectExpr("store_id", "store_name", "t", "explode(t.sale_normal_items) as i").withColumns({
+        "transaction_time": local_time(from_epoch_ms(F.col("t.document_date"))),
+        "posting_time": local_time(from_epoch_ms(F.col("t.posting_date"))),
+        "customer_gender": decode.gender("t.customer_gender")})
+    lines = items.selectExpr(
+        "t.transaction_id", "to_date(transaction_time) as report_date", "transaction_time",
+        "transaction_time as sale_bill_time", "posting_time", "store_id", "store_name", "t.staff_id", "t.staff_name",
+        "t.payment_method as payment_method_id", *[f"i.{field} as {name}" for field, name in MESSAGE_ITEM.items()],
+        "i.total_amount as final_amount", "i.total_amount_without_tax as final_amount_no_tax", "customer_gender",
+        "'Sale Transaction' as transaction_type", "'completed' as delivery_status")
     return conform(lines, LIVE_FACT)
 
 
