@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.functions.types import void_to_string
+from tillhouse.operators.scd import is_versioned, scd2_apply, scd2_initial
 
 
 def _fs(spark: SparkSession, path: str):
@@ -66,39 +67,36 @@ def append(df: DataFrame, path: str) -> None:
 class SnapshotTable:
     """A table replaced as a whole, whose next state may be computed from its current one.
 
-    Every state is written to its own folder; a one-line pointer file then names it. Readers keep the state
-    they started with, the schema may change from one state to the next, and a failed write leaves nothing visible.
+    Every state is a numbered folder; the newest one Spark has marked complete is the table. Readers keep the
+    state they started with, the schema may change from one state to the next, and a failed write is never seen.
     """
 
-    POINTER = "_CURRENT"
-
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
+    def _states(self) -> list[str]:
+        fs, root = _fs(self.spark, self.path)
+        if not fs.exists(root):
+            return []
+        return sorted(f.getPath().getName() for f in fs.listStatus(root) if f.getPath().getName().startswith("state-"))
+
     def current(self) -> str | None:
-        pointer = f"{self.path}/{self.POINTER}"
-        if not exists(self.spark, pointer):
-            return None
-        return self.spark.read.text(pointer).first()["value"]
+        complete = [name for name in self._states() if exists(self.spark, f"{self.path}/{name}/_SUCCESS")]
+        return complete[-1] if complete else None
 
     def read(self) -> DataFrame | None:
         name = self.current()
         return None if name is None else self.spark.read.parquet(f"{self.path}/{name}")
 
     def replace(self, df: DataFrame) -> DataFrame:
-        name = f"state-{uuid.uuid4().hex}"
-        void_to_string(df).write.parquet(f"{self.path}/{name}")
-        self._publish(name)
-        return self.spark.read.parquet(f"{self.path}/{name}")
-
-    def _publish(self, name: str) -> None:
-        fs, pointer = _fs(self.spark, f"{self.path}/{self.POINTER}")
-        _, draft = _fs(self.spark, f"{self.path}/{self.POINTER}.{name}")
-        out = fs.create(draft, True)
-        try:
-            out.write(bytearray(name.encode()))
-        finally:
-            out.close()
-        fs.delete(pointer, False)
-        if not fs.rename(draft, pointer):
-            raise OSError(f"could not publish {name}")
+        states = self._states()
+        number = int(states[-1].removeprefix("state-")) + 1 if states else 0
+        void_to_string(df).write.parquet(f"{self.path}/state-{number:08d}")
+        return self.read()
+
+
+def advance_dimension(table: SnapshotTable, incoming: DataFrame, keys: Sequence[str], day: str | date) -> DataFrame:
+    """Next state of a versioned dimension. A missing table, or one without version columns, is started afresh."""
+    state = table.read()
+    versioned = state is not None and is_versioned(state)
+    return table.replace(scd2_apply(state, incoming, keys, day) if versioned else scd2_initial(incoming))
