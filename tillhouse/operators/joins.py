@@ -9,7 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.operators.skew import spread_salt
 from tillhouse.session import fits_one_task
 
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -31,13 +30,15 @@ def prefixed(df: DataFrame, prefix: str, key: str, columns: Sequence[str]) -> Da
     return df.selectExpr(key, *[f"{c} as {prefix}_{c}" for c in columns])
 
 
-def left_join_spread(left: DataFrame, right: DataFrame, key: str, spread_by: str, salts: int = 64) -> DataFrame:
+def left_join_spread(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
     """Left join whose null-key rows do not meet in one partition.
 
-    Null keys match nothing, so they may go anywhere: they get a salt, all real keys get salt 0.
+    Null keys match nothing, so they may go anywhere: the join gets the key's hash as a second key, and rows
+    without a key take the hash of `spread_by` there. A stable hash, so a retried task sends them the same way.
     """
-    salted = left.withColumn("_salt", F.when(F.col(key).isNull(), spread_salt(spread_by, salts)).otherwise(0))
-    return salted.join(right.withColumn("_salt", F.lit(0)), [key, "_salt"], "left").drop("_salt")
+    spread = F.when(F.col(key).isNull(), F.xxhash64(spread_by)).otherwise(F.xxhash64(key))
+    return (left.withColumn("_spread", spread)
+            .join(right.withColumn("_spread", F.xxhash64(key)), [key, "_spread"], "left").drop("_spread"))
 
 
 def days_bucket(moment: Column, bucket_days: int) -> Column:

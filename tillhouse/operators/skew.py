@@ -50,12 +50,13 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
 
 
 def _by_window(df, keys, order, before, total):
-    group = Window.partitionBy(*keys)
-    earlier = group.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = df.withColumn(before, F.coalesce(F.sum("_weight").over(earlier), F.lit(0)))
+    group = Window.partitionBy(*keys).orderBy(*order)
+    earlier = group.rowsBetween(Window.unboundedPreceding, -1)
+    sums = {before: F.coalesce(F.sum("_weight").over(earlier), F.lit(0))}
     if total:
-        out = out.withColumn(total, F.sum("_weight").over(group))
-    return out
+        # the same ordered window, so both sums come out of one pass
+        sums[total] = F.sum("_weight").over(group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return df.withColumns(sums)
 
 
 def _by_ranges(df, keys, order, before, total):
@@ -88,8 +89,3 @@ def _by_ranges(df, keys, order, before, total):
     if total:
         out = out.withColumn(total, F.col("_total"))
     return out.drop("_tie", "_range", "_o_range", "_inside", "_earlier", "_total", *[f"_o_{k}" for k in keys])
-
-
-def spread_salt(spread_by: str, salts: int = 64) -> Column:
-    """A stable small number per value; unlike a random one it is the same when a task is retried."""
-    return F.pmod(F.xxhash64(F.lit(salts), F.col(spread_by)), F.lit(salts)).cast("int")

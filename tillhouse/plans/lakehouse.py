@@ -128,7 +128,9 @@ class Lakehouse:
 
     # ---- speed layer ------------------------------------------------------------------------------
     def live_lines(self) -> DataFrame:
-        return latest(sale_messages(stream_values(self.landing.raw("events"))))
+        """Upserted lines as a table: the batch and the live side of the view both read it."""
+        return self.stored("live_lines", lambda: latest(sale_messages(stream_values(self.landing.raw("events")))),
+                           "report_date")
 
     def batch_lines(self) -> DataFrame:
         return self.live_lines().where(F.col("report_date") <= F.lit(date.fromisoformat(BATCH_BOUND)))

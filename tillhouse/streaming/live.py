@@ -37,8 +37,10 @@ def sale_messages(messages: DataFrame) -> DataFrame:
     """
     kind = F.get_json_object("value", "$.stream_type")
     parsed = messages.where(kind == SALE).select(F.from_json("value", STREAM_ENVELOPE).alias("e"))
+    # the outer form keeps Spark from testing the array ahead of time, which would parse every message twice;
+    # a message without sales still ends at the inner explode
     sold = parsed.selectExpr("e.payload.store_code as store_id", "e.payload.store_name as store_name",
-                             "explode(e.payload.sale_transaction) as t")
+                             "explode_outer(e.payload.sale_transaction) as t")
     items = sold.selectExpr("store_id", "store_name", "t", "explode(t.sale_normal_items) as i").withColumns({
         "transaction_time": local_time(from_epoch_ms(F.col("t.document_date"))),
         "posting_time": local_time(from_epoch_ms(F.col("t.posting_date"))),
