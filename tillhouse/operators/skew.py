@@ -7,45 +7,47 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillhouse.session import cut_lineage, estimated_bytes, fits_one_task
+from tillhouse.session import cut_lineage, fits_one_task
 
 # A group above this many rows is spread over several tasks.
 HOT_ROWS = 2_000_000
 # Size of the frequent-item sketch; any group above ~rows/SKETCH_ITEMS is certain to be reported.
 SKETCH_ITEMS = 16_384
 REPORTED = 256
-HOT_TASK_BYTES = 64 * 1024 * 1024
+# Rows of a hot group one task sums.
+RANGE_ROWS = 500_000
 
 
-def heavy_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the groups above `hot_rows`: one map-side-combined pass over the keys, at most REPORTED values.
+def heavy_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> dict[int, int]:
+    """Hashes and sizes of the groups above `hot_rows`: one map-side-combined pass over the keys, at most REPORTED.
 
     The list only chooses how a group is computed, never what: a group it misses goes the ordinary way.
     """
     found = (df.select(F.xxhash64(*keys).alias("h"))
              .agg(F.expr(f"approx_top_k(h, {REPORTED}, {SKETCH_ITEMS})").alias("top"))
              .first()["top"])
-    return [item["item"] for item in found or [] if item["count"] > hot_rows]
+    return {item["item"]: item["count"] for item in found or [] if item["count"] > hot_rows}
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], weight: Column | int = 1, *,
                  before: str, total: str | None = None, hot_rows: int = HOT_ROWS,
-                 check_bytes: int | None = None) -> DataFrame:
+                 check_bytes: int | None = None, sizes_from: DataFrame | None = None) -> DataFrame:
     """Add `before`, the weight of all earlier rows of the group, and optionally the group's `total`.
 
     With weight 1, `before + 1` is row_number(). Small inputs go straight to a window. Larger ones first look
     for groups above `hot_rows`; those alone are range-partitioned on (keys, order), summed per partition and
-    stitched together with the partition offsets.
+    stitched together with the partition offsets. `sizes_from` names a cheaper frame with the same keys to look
+    for them in, such as the table the groups come from before it was joined.
     """
     small = fits_one_task(df) if check_bytes is None else fits_one_task(df, check_bytes)
     weight = F.lit(weight) if isinstance(weight, int) else weight
     df = df.withColumn("_weight", weight.cast("long"))
-    hot = [] if small else heavy_groups(df, keys, hot_rows)
+    hot = {} if small else heavy_groups(df if sizes_from is None else sizes_from, keys, hot_rows)
     if not hot:
         return _by_window(df, keys, order, before, total).drop("_weight")
-    is_hot = F.xxhash64(*keys).isin(hot)
+    is_hot = F.xxhash64(*keys).isin(list(hot))
     ordinary = _by_window(df.where(~is_hot), keys, order, before, total)
-    spread = _by_ranges(df.where(is_hot), keys, order, before, total)
+    spread = _by_ranges(df.where(is_hot), keys, order, before, total, sum(hot.values()))
     return ordinary.unionByName(spread).drop("_weight")
 
 
@@ -59,12 +61,10 @@ def _by_window(df, keys, order, before, total):
     return df.withColumns(sums)
 
 
-def _by_ranges(df, keys, order, before, total):
+def _by_ranges(df, keys, order, before, total, rows):
     # copies of one row share every order column; the tie-break lets them land in different ranges
     tied = df.withColumn("_tie", F.monotonically_increasing_id())
-    size = estimated_bytes(df) or 0
-    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(shuffle, size // HOT_TASK_BYTES)
+    ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // RANGE_ROWS + 1)
     sorted_order = [F.col(o) if isinstance(o, str) else o for o in order]
     placed = (tied.repartitionByRange(ranges, *[F.col(k) for k in keys], *sorted_order, "_tie")
               .withColumn("_range", F.spark_partition_id()))
