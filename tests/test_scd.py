@@ -2,7 +2,6 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from tillhouse.operators.scd import current_slice, is_versioned, scd2_apply, scd2_from_snapshots, scd2_initial
 

@@ -358,14 +358,13 @@ def idempotent_rerun(lake):
 @query
 def backfill_equals_daily(lake):
     """Customers and sales per day for the whole range in one job, on both sides of the identity flip."""
-    def build():
-        bills = facts.resolved(lake.gathered(lake.bill_heads()), fixture.FLIP_DATE)
-        return bills.groupBy("report_date").agg(
-            F.count_distinct("transaction_id").alias("bills"), F.count_distinct("customer_id").alias("customers"),
-            exact_sum(F.col("bill_amount")).alias("amount")).withColumn("month_key", cal.month_key(F.col("report_date")))
+    bills = facts.resolved(lake.gathered(lake.bill_heads()), fixture.FLIP_DATE)
+    daily = bills.groupBy("report_date").agg(
+        F.count_distinct("transaction_id").alias("bills"), F.count_distinct("customer_id").alias("customers"),
+        exact_sum(F.col("bill_amount")).alias("amount")).withColumn("month_key", cal.month_key(F.col("report_date")))
     path = scratch_path(lake.spark, "backfill")
-    runs.backfill(build, path, "month_key", lake.months())
-    return read_slices(lake.spark, path, build().schema).select("report_date", "bills", "customers", "amount")
+    runs.backfill(lambda: daily, path, "month_key", lake.months())
+    return read_slices(lake.spark, path, daily.schema).select("report_date", "bills", "customers", "amount")
 
 
 def _run_log(lake):

@@ -8,7 +8,6 @@ from __future__ import annotations
 import re
 
 MONEY = "decimal(18,6)"
-_day = "CAST({} AS DATE)"
 
 
 def _total(expression: str) -> str:
@@ -273,7 +272,6 @@ CTES["mart"] = f"""SELECT report_date, CAST(year(report_date) AS INT) AS year, s
 CTES["dim"] = """SELECT product_id, product_name, product_category_name AS product_category, product_group_name AS product_group,
     product_sub_category_name AS product_sub_category, retail_business_type, product_brand_name AS brand,
     product_manufacturer_name AS manufacturer FROM products LEFT JOIN brands USING (product_id)"""
-CTES["last"] = "SELECT max(report_date) AS d FROM mart"
 
 
 def _calendar(source, day):
@@ -487,7 +485,6 @@ _q["mart_dim_product"] = "SELECT * FROM dim"
 _q["mart_dim_date"] = _calendar("mart", "report_date")
 _q["service_mart"] = f"SELECT {_svc_mart} FROM service_fact"
 
-CTES["facts_by"] = "SELECT 1"
 _measures = {
     "revenue": _rev, "units": "CAST(sum(quantity) AS BIGINT)", "total_cogs": _total("cogs"), "baskets": "count(DISTINCT transaction_id)",
     "store_days": "count(DISTINCT row(report_date, store_id))",
@@ -518,7 +515,6 @@ _q["metric_rating"] = _sales(["avg_rating"], ["channel"])
 _q["metric_channel_share"] = f"""SELECT month_key, channel, revenue, revenue / nullif(whole, 0) AS share FROM
     (SELECT *, CAST(sum(CAST(revenue AS decimal(28,6))) OVER (PARTITION BY month_key) AS DOUBLE) AS whole FROM
      (SELECT month_key, channel, {_rev} AS revenue FROM mart GROUP BY ALL))"""
-CTES["days"] = f"SELECT report_date, channel, {_rev} AS revenue FROM mart GROUP BY ALL"
 
 
 def _shifted(axis, name, step, by, base, change):
@@ -602,5 +598,4 @@ _q["mart_realtime"] = """SELECT transaction_id, product_id, report_date, transac
     payment_method_id, product_name, product_group_name, product_category_name, retail_business_type, quantity, product_price,
     total_amount, total_amount_no_tax, final_amount, customer_gender FROM serving WHERE report_date >= DATE '2024-01-24'"""
 
-del CTES["facts_by"], CTES["last"], CTES["days"]
 ORACLES: dict[str, str] = {name: _sql(body) for name, body in _q.items()}
