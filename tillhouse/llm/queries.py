@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillhouse.llm.common import documents
 from tillhouse.llm.mixing import mix
 from tillhouse.llm.packing import pack
+from tillhouse.llm.quality import judge
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,9 +20,14 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
