@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillhouse.llm.common import documents
+from tillhouse.llm.linededup import dedup_lines
 from tillhouse.llm.mixing import mix
 from tillhouse.llm.packing import pack
 from tillhouse.llm.quality import judge
@@ -16,6 +18,14 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (dedup_lines(documents(spark, sf_dir))
+            .select("doc_id", "text", F.col("removed.chunks").alias("n_removed_chunks"),
+                    F.col("removed.lines").alias("n_removed_lines"), F.array_join(F.transform(
+                        "removed.spans", lambda s: F.concat(s.line.cast("string"), F.lit("+"), s.n_lines.cast("string"))),
+                        ",").alias("removed_spans")))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
@@ -26,6 +36,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op5_line_dedup": op5_line_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
 }
@@ -64,4 +75,35 @@ ORACLES: dict[str, str] = {
         lateral (select cast(least(2, p.passes + case when c.upto - c.words + c.words / 2
                                    <= p.target - p.passes * p.source_size then 1 else 0 end) as integer) as copies) k
     """,
+    "op5_line_dedup": r"""
+        with l as (
+          select doc_id, text, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+        h as (select *, list_transform(lines, x -> md5(x)) as h from l),
+        r as (
+          select *, list_transform(range(1, len(h) + 1), i -> md5(coalesce(h[i - 1], '') || h[i])) as r from h),
+        s as (
+          select *, list_filter(range(1, len(h) + 1), i -> i = 1 or (i > 2 and r[i - 1] < r[i - 2] and r[i - 1] <= r[i]))
+                 as starts from r),
+        c as (
+          select doc_id, unnest(range(1, len(starts) + 1)) as nth, starts, lines from s),
+        k as (
+          select doc_id, nth, starts[nth] - 1 as line,
+                 coalesce(starts[nth + 1], len(lines) + 1) - starts[nth] as n_lines,
+                 array_to_string(list_slice(lines, starts[nth], coalesce(starts[nth + 1], len(lines) + 1) - 1), chr(10))
+                 as chunk from c),
+        g as (
+          select *, n_lines >= 2 and regexp_matches(chunk, '[^\x20\x09-\x0D]')
+                    and row_number() over (partition by chunk, n_lines >= 2 order by doc_id nulls last, nth) > 1 as gone
+          from k),
+        t as (
+          select doc_id, count(*) filter (gone) as n,
+                 string_agg(chunk, chr(10) order by nth) filter (not gone) as kept,
+                 coalesce(sum(n_lines) filter (gone), 0) as n_lines,
+                 coalesce(string_agg(line || '+' || n_lines, ',' order by nth) filter (gone), '') as spans
+          from g group by doc_id)
+        select d.doc_id, case when t.n > 0 then coalesce(t.kept, '') else d.text end as text,
+               cast(t.n as integer) as n_removed_chunks, cast(t.n_lines as integer) as n_removed_lines,
+               t.spans as removed_spans
+        from documents d join t on d.doc_id is not distinct from t.doc_id
+    """,
 }
