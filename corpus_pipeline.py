@@ -4,31 +4,56 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillhouse.llm.common import documents
+from tillhouse.llm.common import documents, stored
+from tillhouse.llm.linededup import dedup_lines
 from tillhouse.llm.mixing import mixed_documents
 from tillhouse.llm.packing import pack
+from tillhouse.llm.quality import kept_documents
+from tillhouse.llm.simhash import one_per_group
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or are outliers of their language and source go."""
+    return kept_documents(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts lose the multi-line chunks that another document, or an earlier place, has too."""
+    return dedup_lines(docs).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints stays."""
+    return one_per_group(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix uses it."""
     return mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces with their sequences and offsets."""
     return pack(docs)
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
     ("mix_sources", mix_sources),
     ("pack_sequences", pack_sequences),
 ]
 
-# Tokenization and packing have no SQL form; tests compare run() with a brute-force version.
+# Robust estimates, fingerprint groups and tokenization have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over the whole documents table."""
+    """The stages over the whole documents table, each written to the shared folder and read again by the next."""
     docs = documents(spark, sf_dir)
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = stored(docs, f"pipeline-{name}")
     return docs

@@ -12,6 +12,7 @@ from tillhouse.llm.linededup import dedup_lines
 from tillhouse.llm.mixing import mix
 from tillhouse.llm.packing import pack
 from tillhouse.llm.quality import judge
+from tillhouse.llm.simhash import near_duplicates
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         ",").alias("removed_spans")))
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
@@ -37,6 +42,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op5_line_dedup": op5_line_dedup,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
 }
@@ -78,11 +84,11 @@ ORACLES: dict[str, str] = {
     "op5_line_dedup": r"""
         with l as (
           select doc_id, text, string_split(coalesce(text, ''), chr(10)) as lines from documents),
-        h as (select *, list_transform(lines, x -> md5(x)) as h from l),
+        h as (select *, list_transform(lines, lambda x: md5(x)) as h from l),
         r as (
-          select *, list_transform(range(1, len(h) + 1), i -> md5(coalesce(h[i - 1], '') || h[i])) as r from h),
+          select *, list_transform(range(1, len(h) + 1), lambda i: md5(coalesce(h[i - 1], '') || h[i])) as r from h),
         s as (
-          select *, list_filter(range(1, len(h) + 1), i -> i = 1 or (i > 2 and r[i - 1] < r[i - 2] and r[i - 1] <= r[i]))
+          select *, list_filter(range(1, len(h) + 1), lambda i: i = 1 or (i > 2 and r[i - 1] < r[i - 2] and r[i - 1] <= r[i]))
                  as starts from r),
         c as (
           select doc_id, unnest(range(1, len(starts) + 1)) as nth, starts, lines from s),
