@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.llm.common import documents
+from tillhouse.llm.fingerprints import fingerprint_documents
 from tillhouse.llm.linededup import dedup_lines
 from tillhouse.llm.mixing import mix
 from tillhouse.llm.packing import pack
 from tillhouse.llm.quality import judge
+from tillhouse.llm.sharding import shard
 from tillhouse.llm.simhash import near_duplicates
 
 
@@ -19,6 +21,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(documents(spark, sf_dir))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (dedup_lines(documents(spark, sf_dir))
             .select("doc_id", "text", F.col("removed.chunks").alias("n_removed_chunks"),
@@ -39,12 +45,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(documents(spark, sf_dir))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op4_document_fingerprints": op4_document_fingerprints,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_sharding": op9_sharding,
 }
 
 ORACLES: dict[str, str] = {
