@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.llm.common import documents
 from tillhouse.llm.fingerprints import fingerprint_documents
+from tillhouse.llm.licenses import scan_licenses
 from tillhouse.llm.linededup import dedup_lines
 from tillhouse.llm.mixing import mix
 from tillhouse.llm.packing import pack
@@ -49,6 +50,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op4_document_fingerprints": op4_document_fingerprints,
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {
