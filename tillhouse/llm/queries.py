@@ -16,12 +16,17 @@ from tillhouse.llm.packing import pack
 from tillhouse.llm.quality import judge
 from tillhouse.llm.sharding import shard
 from tillhouse.llm.simhash import near_duplicates
+from tillhouse.llm.toxicity import score_toxicity
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(documents(spark, sf_dir))
 
@@ -56,6 +61,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_toxicity": op3_toxicity,
     "op4_document_fingerprints": op4_document_fingerprints,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
