@@ -11,6 +11,7 @@ from tillhouse.llm.common import documents
 from tillhouse.llm.fingerprints import fingerprint_documents
 from tillhouse.llm.licenses import scan_licenses
 from tillhouse.llm.linededup import dedup_lines
+from tillhouse.llm.lm import score_texts
 from tillhouse.llm.mixing import mix
 from tillhouse.llm.packing import pack
 from tillhouse.llm.quality import judge
@@ -23,6 +24,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(documents(spark, sf_dir))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -61,6 +66,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_toxicity": op3_toxicity,
     "op4_document_fingerprints": op4_document_fingerprints,
     "op5_line_dedup": op5_line_dedup,
