@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tillhouse.operators.dedup import one_per_key
 from tillhouse.operators.joins import (
-    as_of_join, broadcast_if_small, left_join_spread, range_join_effective, time_span, timeline_overlaps,
+    as_of_join, broadcast_if_small, left_join_spread, range_join_effective, sliced, time_span, timeline_overlaps,
 )
-from tillhouse.operators.skew import heavy_groups, running_sums
+from tillhouse.operators.skew import running_sums
 
 PRICE = "product string, area int, eff timestamp_ntz, nxt timestamp_ntz, price double"
 FACT = "line int, product string, area int, ts timestamp_ntz"
@@ -103,14 +103,8 @@ def skewed(spark):
                                         "1 + id % 3 as w").repartition(6)
 
 
-def test_heavy_groups_are_the_big_ones(spark, skewed):
-    want = [r.h for r in skewed.where("k = 'hot'").select(F.xxhash64("k").alias("h")).limit(1).collect()]
-    assert list(heavy_groups(skewed, ["k"], 1000)) == want
-    assert heavy_groups(skewed, ["k"], 5000) == {}
-
-
 def test_numbering_of_a_hot_group_is_exact(skewed):
-    spread = running_sums(skewed, ["k"], ["o"], before="b", total="n", hot_rows=500, check_bytes=0)
+    spread = running_sums(skewed, ["k"], ["o"], before="b", total="n")
     rows = spread.collect()
     assert len(rows) == 6000
     for key in ("hot", "k1"):
@@ -121,12 +115,50 @@ def test_numbering_of_a_hot_group_is_exact(skewed):
 
 
 def test_running_weight_matches_a_window(skewed):
-    # a total order, so both ways must agree row by row
     unique = skewed.withColumn("u", F.row_number().over(Window.orderBy("k", "o", "w")))
-    spread = running_sums(unique, ["k"], ["o", "u"], F.col("w"), before="b", total="n", hot_rows=500, check_bytes=0)
-    plain = running_sums(unique, ["k"], ["o", "u"], F.col("w"), before="b", total="n")
-    key = lambda df: sorted(map(tuple, df.select("k", "u", "b", "n").collect()))
-    assert key(spread) == key(plain)
+    for slices in (1, 2):
+        spread = running_sums(unique, ["k"], ["o", "u"], F.col("w"), before="b", total="n", slices=slices)
+        w = Window.partitionBy("k").orderBy("o", "u")
+        plain = unique.withColumn("b", F.sum("w").over(w) - F.col("w")).withColumn("n", F.sum("w").over(Window.partitionBy("k")))
+        key = lambda df: sorted(map(tuple, df.select("k", "u", "b", "n").collect()))
+        assert key(spread) == key(plain)
+
+
+def test_many_hot_groups_are_exact_and_spread(spark):
+    rows = spark.range(60_000).selectExpr("if(id % 3 = 0, null, id % 300) as k", "id div 300 as o", "id % 7 as x")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = running_sums(rows, ["k"], ["o"], before="b", total="n")
+        held = out.where("k is null").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        bad = out.groupBy("k").agg(F.count("*").alias("c"), F.min("b").alias("lo"), F.max("b").alias("hi"),
+                                   F.count_distinct("b").alias("d"), F.max("n").alias("n"))
+        assert bad.where("c <> n or lo <> 0 or hi <> n - 1 or d <> n").count() == 0 and bad.count() == 201
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(held) == 8 and max(r["count"] for r in held) < 5000
+
+
+def test_lines_and_versions_outside_the_span_still_meet(spark):
+    spans = [None, (at("2020-01-01"), at("2021-01-01")), (at("2040-01-01"), at("2041-01-01")), (at("1990-01-01"), at("1990-01-02"))]
+    dim = spark.createDataFrame([("p", 1, at("2020-01-01"), at("2030-01-01"), 1.0), ("q", 1, at("2000-01-01"), at("2001-01-01"), 2.0),
+                                 ("r", 1, None, None, 3.0), ("s", 1, at("2010-01-01"), at("2011-01-01"), 4.0),
+                                 ("s", 1, at("2012-01-01"), at("2013-01-01"), 5.0)], PRICE)
+    fact = spark.createDataFrame([(i, p, 1, t) for i, (p, t) in enumerate(
+        [(p, t) for p in "pqrsz" for t in (None, at("1950-01-01"), at("2000-06-01"), at("2010-06-01"), at("2011-06-01"),
+                                           at("2012-06-01"), at("2024-01-01"), at("2035-01-01"))])], FACT)
+    results = [sorted((r[0], r.price) for r in range_join_effective(
+        fact, dim, ["product", "area"], "ts", "eff", "nxt", span=span, bucket_days=90).collect()) for span in spans]
+    assert all(r == results[0] for r in results[1:]) and len(results[0]) == 8 + 8 + 1 + 1 + 2
+    versions = dim.selectExpr("product", "price", "eff as valid_from", "nxt as valid_to")
+    found = [sorted((r[0], r.price) for r in as_of_join(fact, versions, ["product"], "ts", span=span).collect()) for span in spans]
+    assert all(f == found[0] for f in found[1:]) and sum(p is not None for _, p in found[0]) == 4
+
+
+def test_a_large_exploded_side_gets_no_hint(spark):
+    dim = spark.range(100).selectExpr("id as k", "timestamp_ntz'1900-01-01' as s", "timestamp_ntz'2100-01-01' as e")
+    pieces = sliced(dim, "s", "e", (at("1900-01-01"), at("2100-01-01")), 1)
+    assert "ResolvedHint" not in broadcast_if_small(pieces, limit=10_000_000)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in broadcast_if_small(dim, limit=10_000_000)._jdf.queryExecution().analyzed().toString()
 
 
 def test_null_keys_are_spread(spark):

@@ -30,7 +30,7 @@ def expected(spark):
 
 
 def test_stream_equals_batch_and_restart_reads_nothing_twice(spark, tmp_path, messages, expected):
-    table = live.LiveTable(spark, str(tmp_path / "live"))
+    table = live.LiveTable(spark, str(tmp_path / "live"), newest=live.EVENT_TIME)
     assert table.read().count() == 0
     for _ in range(2):
         source = spark.readStream.option("maxFilesPerTrigger", "1").text(messages)
@@ -41,7 +41,7 @@ def test_stream_equals_batch_and_restart_reads_nothing_twice(spark, tmp_path, me
 def test_any_file_order_and_replays_give_the_same_table(spark, tmp_path, messages, expected):
     files = [f for f in spark.read.text(messages).inputFiles()]
     for n, order in enumerate(itertools.islice(itertools.permutations(files), 0, None, 2)):
-        table = live.LiveTable(spark, str(tmp_path / f"live{n}"))
+        table = live.LiveTable(spark, str(tmp_path / f"live{n}"), newest=live.EVENT_TIME)
         for batch_id, file in enumerate(order):
             table.upsert(spark.read.text(file), batch_id)
         table.upsert(spark.read.text(order[1]), 1)  # redelivered after a crash
@@ -56,6 +56,43 @@ def test_null_unit_ids_are_one_key(spark):
     assert [(r.product_uom_id, r.total_amount) for r in out] == [(None, 7.0)]
 
 
+SALE = ('{"stream_type":"SALE_TRANSACTION","payload":{"store_code":"1","sale_transaction":[{"transaction_id":"%s",%s'
+        '"sale_normal_items":[{"product_code":"p","total_amount":%d}]}]}}')
+
+
+def sale(name, amount, ms=None):
+    return (SALE % (name, "" if ms is None else f'"document_date":{ms},', amount),)
+
+
+def test_a_new_checkpoint_replaces_no_rows(spark, tmp_path):
+    table = live.LiveTable(spark, str(tmp_path / "live"))
+    for n, names in enumerate(("AB", "CD")):
+        topic = str(tmp_path / f"topic{n}")
+        spark.createDataFrame([sale(x, n, 1000) for x in names], "value string").write.text(topic)
+        for _ in range(2):  # the same checkpoint again reads nothing twice
+            live.run_upserts(spark.readStream.text(topic), table, str(tmp_path / f"check{n}")).awaitTermination()
+    assert sorted(r.transaction_id for r in table.read().collect()) == list("ABCD")
+
+
+def test_the_later_arrival_wins_even_with_an_older_date(spark, tmp_path):
+    frames = [spark.createDataFrame([sale("A", v, t)], "value string") for v, t in ((5, 9000), (7, 1000))]
+    for newest, amount in ((live.ARRIVAL, 7.0), (live.EVENT_TIME, 5.0)):
+        table = live.LiveTable(spark, str(tmp_path / newest), newest=newest)
+        for n, frame in enumerate(frames):
+            table.upsert(frame, n)
+        assert [r.total_amount for r in table.read().collect()] == [amount]
+    both = spark.createDataFrame([(*sale("A", 5, 9000), 1), (*sale("A", 7, 1000), 2)], "value string, offset long")
+    table = live.LiveTable(spark, str(tmp_path / "offsets"))
+    table.upsert(both, 0)
+    assert [r.total_amount for r in table.read().collect()] == [7.0]
+
+
+def test_retention_keeps_lines_of_unknown_age(spark):
+    lines = live.sale_messages(spark.createDataFrame([sale("A", 1), sale("B", 2, 0), sale("C", 3, 1705700000000)], "value string"))
+    kept = live.retained(lines, datetime(2024, 1, 20)).collect()
+    assert sorted(r.transaction_id for r in kept) == ["A", "C"]
+
+
 def test_noise_bad_text_and_itemless_sales_give_no_lines(spark):
     df = spark.createDataFrame([("{",), ('{"stream_type":"VIEW"}',), (None,),
                                 ('{"stream_type":"SALE_TRANSACTION","payload":{"sale_transaction":[{"transaction_id":"A"}]}}',)], "value string")

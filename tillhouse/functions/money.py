@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EXACT = "decimal(18,6)"
+EXACT = "decimal(28,6)"
 
 
 def exact_sum(amount: Column) -> Column:

@@ -6,18 +6,18 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillhouse.session import fits_one_task
+from tillhouse.session import fits
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 VERSION_COLUMNS = ("valid_from", "valid_to", "is_current")
 
 
 def broadcast_if_small(dim: DataFrame, wanted: bool = True, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only below a checked size; above it Spark shuffles and adapts."""
-    return F.broadcast(dim) if wanted and fits_one_task(dim, limit) else dim
+    """Broadcast hint only below a size that was counted; above it Spark shuffles and adapts."""
+    return F.broadcast(dim) if wanted and fits(dim, limit) else dim
 
 
 def first_of(*sources: str) -> Column:
@@ -51,56 +51,88 @@ def time_span(df: DataFrame, ts: str) -> tuple[datetime, datetime] | None:
     return None if row["lo"] is None else (row["lo"], row["hi"])
 
 
+def _edges(span: tuple[datetime, datetime], bucket_days: int) -> tuple[Column, Column]:
+    return tuple(days_bucket(F.lit(moment).cast("timestamp_ntz"), bucket_days) for moment in span)
+
+
 def sliced(dim: DataFrame, start: str, end: str, span: tuple[datetime, datetime], bucket_days: int) -> DataFrame:
-    """One row per version and time bucket it touches inside the span; open-ended versions are clipped to it.
+    """One row per version and time bucket it touches. A version that starts at null is in force always.
 
-    A version that starts at null is in force always.
+    What lies before or after the span is in the first or last bucket, for versions and for lines alike; a wrong
+    span costs speed and no row.
     """
-    lo, hi = F.lit(span[0]).cast("timestamp_ntz"), F.lit(span[1]).cast("timestamp_ntz")
-    first = F.greatest(F.coalesce(F.col(start).cast("timestamp_ntz"), lo), lo)
-    last = F.when(F.col(start).isNull(), hi).otherwise(F.least(F.col(end).cast("timestamp_ntz"), hi))
-    buckets = F.sequence(days_bucket(first, bucket_days), days_bucket(last, bucket_days))
-    return dim.where(first <= last).withColumn("_bucket", F.explode(buckets))
+    lo, hi = _edges(span, bucket_days)
+    at = lambda name: F.greatest(F.least(days_bucket(F.col(name).cast("timestamp_ntz"), bucket_days), hi), lo)
+    first = F.when(F.col(start).isNull(), lo).otherwise(at(start))
+    last = F.when(F.col(start).isNull() | F.col(end).isNull(), hi).otherwise(at(end))
+    return dim.where(first <= last).withColumn("_bucket", F.explode(F.sequence(first, last)))
 
 
 def _covering(left: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str, start: str, end: str,
               span: tuple[datetime, datetime] | None, bucket_days: int, broadcast: bool,
-              null_start_matches: bool) -> DataFrame:
-    """Left join on keys, time bucket and start <= ts < end; dim columns come back as `_d_<name>`.
+              always: Column) -> DataFrame:
+    """Left join on keys, time bucket and start <= ts < end, or where `always` holds; dim columns are `_d_<name>`.
 
-    The bucket in the key keeps a line from meeting every version of its key, and splits a hot key over time.
+    The bucket in the key keeps a line from meeting every version of its key, and splits a hot key over time. Lines
+    without a moment are in the last bucket.
     """
     span = span or time_span(left, ts) or (datetime(1970, 1, 1), datetime(1970, 1, 1))
-    lo = F.lit(span[0]).cast("timestamp_ntz")
     pieces = sliced(dim, start, end, span, bucket_days)
     pieces = pieces.selectExpr(*[f"{c} as _d_{c}" for c in pieces.columns])
     moment = F.col(ts)
-    inside = (F.col(f"_d_{start}") <= moment) & (moment < F.col(f"_d_{end}"))
-    if null_start_matches:
-        inside = inside | F.col(f"_d_{start}").isNull()
-    left = left.withColumn("_bucket", days_bucket(F.coalesce(moment.cast("timestamp_ntz"), lo), bucket_days))
+    inside = ((F.col(f"_d_{start}") <= moment) & (moment < F.col(f"_d_{end}"))) | always
+    lo, hi = _edges(span, bucket_days)
+    bucket = F.greatest(F.least(days_bucket(moment.cast("timestamp_ntz"), bucket_days), hi), lo)
+    left = left.withColumn("_bucket", F.when(moment.isNull(), hi).otherwise(bucket))
     match = [F.col(k) == F.col(f"_d_{k}") for k in keys]
     match += [F.col("_bucket") == F.col("_d__bucket"), inside]
     return left.join(broadcast_if_small(pieces, broadcast), reduce(lambda a, b: a & b, match), "left").drop("_bucket")
 
 
+FIRST_MOMENT, LAST_MOMENT = "0001-01-01 00:00:00", "9999-12-31 23:59:59.999999"
+
+
+def with_gaps(dim: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """The versions, and between, before and after them the times of a key without one, marked by `_gap`.
+
+    `_gap` is null for versions, 1 for gaps, 2 for the last gap of a key. A key with a version that starts at null has
+    no gap.
+    """
+    edge = lambda moment: F.lit(moment).cast("timestamp_ntz")
+    known = dim.select(*keys, F.col(start).cast("timestamp_ntz").alias("_from"), F.col(end).cast("timestamp_ntz").alias("_to"),
+                       F.col(start).isNull().alias("_always"))
+    marks = known.select(*keys, "_always", F.explode(F.array(
+        F.struct(F.col("_from").alias("at"), F.when(F.col("_to") > F.col("_from"), F.col("_to")).alias("upto")),
+        F.struct(edge(FIRST_MOMENT).alias("at"), edge(FIRST_MOMENT).alias("upto")),
+        F.struct(edge(LAST_MOMENT).alias("at"), edge(LAST_MOMENT).alias("upto")))).alias("m")).select(*keys, "_always", "m.*")
+    group = Window.partitionBy(*keys)
+    earlier = group.orderBy("at", "upto").rowsBetween(Window.unboundedPreceding, -1)
+    gaps = (marks.withColumn("_covered", F.max("_always").over(group)).withColumn("_reached", F.max("upto").over(earlier))
+            .where(~F.col("_covered") & (F.col("at") > F.col("_reached")))
+            .select(*keys, F.col("_reached").alias("_from"), F.col("at").alias("_to"),
+                    F.when(F.col("at") == edge(LAST_MOMENT), 2).otherwise(1).alias("_gap")))
+    kinds = {f.name: f.dataType for f in dim.schema.fields}
+    shaped = gaps.select(*[F.col(c) if c in keys else F.col("_from").cast(kinds[c]).alias(c) if c == start
+                           else F.col("_to").cast(kinds[c]).alias(c) if c == end
+                           else F.lit(None).cast(kinds[c]).alias(c) for c in dim.columns], "_gap")
+    return dim.withColumn("_gap", F.lit(None).cast("int")).unionByName(shaped)
+
+
 def range_join_effective(fact: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str, start: str, end: str, *,
                          span: tuple[datetime, datetime] | None = None, bucket_days: int = 90,
                          broadcast: bool = True) -> DataFrame:
     """Attributes in force at `ts`, under the price-timeline rule:
 
     a line whose key has no timeline at all stays with null attributes, a line whose key has one but none of
-    its ranges covers `ts` is dropped. `span` bounds the fact's `ts`; without it one pass over the fact finds it.
+    its ranges covers `ts` is dropped. The times a timeline leaves open are pieces of their own, so one join tells the
+    two apart. `span` says where most of the fact's `ts` lie; without it one pass over the fact finds out.
     """
     clash = (set(dim.columns) - set(keys)) & set(fact.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    joined = _covering(fact, dim, keys, ts, start, end, span, bucket_days, broadcast, null_start_matches=True)
-    has_timeline = dim.select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.lit(True).alias("_timeline")).distinct()
-    known = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_t_{k}") for k in keys])
-    joined = joined.join(broadcast_if_small(has_timeline, broadcast), known, "left")
-    kept = joined.where(F.col(f"_d_{keys[0]}").isNotNull() | F.col("_timeline").isNull())
-    return kept.selectExpr(*fact.columns, *[f"_d_{c} as {c}" for c in dim.columns if c not in keys])
+    always = F.col(f"_d_{start}").isNull() | ((F.col("_d__gap") == 2) & F.col(ts).isNull())
+    joined = _covering(fact, with_gaps(dim, keys, start, end), keys, ts, start, end, span, bucket_days, broadcast, always)
+    return joined.where("_d__gap is null").selectExpr(*fact.columns, *[f"_d_{c} as {c}" for c in dim.columns if c not in keys])
 
 
 def as_of_join(left: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str, *,
@@ -112,14 +144,12 @@ def as_of_join(left: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str, *,
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     versions = dim.select(*keys, *attributes, "valid_from", "valid_to")
-    joined = _covering(left, versions, keys, ts, "valid_from", "valid_to", span, bucket_days, broadcast,
-                       null_start_matches=False)
+    joined = _covering(left, versions, keys, ts, "valid_from", "valid_to", span, bucket_days, broadcast, F.lit(False))
     return joined.selectExpr(*left.columns, *[f"_d_{c} as {c}" for c in attributes])
 
 
 def timeline_overlaps(dim: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
     """Keys whose ranges overlap: each would multiply fact lines in a range join."""
-    from pyspark.sql import Window
     earlier = Window.partitionBy(*keys).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
     return (dim.withColumn("_seen", F.max(end).over(earlier))
             .where(F.col(start) < F.col("_seen"))

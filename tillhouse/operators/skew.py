@@ -7,85 +7,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillhouse.session import cut_lineage, fits_one_task
-
-# A group above this many rows is spread over several tasks.
-HOT_ROWS = 2_000_000
-# Size of the frequent-item sketch; any group above ~rows/SKETCH_ITEMS is certain to be reported.
-SKETCH_ITEMS = 16_384
-REPORTED = 256
-# Rows of a hot group one task sums.
-RANGE_ROWS = 500_000
-
-
-def heavy_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> dict[int, int]:
-    """Hashes and sizes of the groups above `hot_rows`: one map-side-combined pass over the keys, at most REPORTED.
-
-    The list only chooses how a group is computed, never what: a group it misses goes the ordinary way.
-    """
-    found = (df.select(F.xxhash64(*keys).alias("h"))
-             .agg(F.expr(f"approx_top_k(h, {REPORTED}, {SKETCH_ITEMS})").alias("top"))
-             .first()["top"])
-    return {item["item"]: item["count"] for item in found or [] if item["count"] > hot_rows}
-
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], weight: Column | int = 1, *,
-                 before: str, total: str | None = None, hot_rows: int = HOT_ROWS,
-                 check_bytes: int | None = None, sizes_from: DataFrame | None = None) -> DataFrame:
+                 before: str, total: str | None = None, slices: int = 1) -> DataFrame:
     """Add `before`, the weight of all earlier rows of the group, and optionally the group's `total`.
 
-    With weight 1, `before + 1` is row_number(). Small inputs go straight to a window. Larger ones first look
-    for groups above `hot_rows`; those alone are range-partitioned on (keys, order), summed per partition and
-    stitched together with the partition offsets. `sizes_from` names a cheaper frame with the same keys to look
-    for them in, such as the table the groups come from before it was joined.
+    With weight 1, `before + 1` is row_number(). A group is cut into slices by its first `slices` order columns: rows
+    are summed up inside their slice, slices inside their group, and each row adds the two. So no task holds more rows
+    of a group than have equal leading columns, or more than one row per slice, whatever the group holds; nothing is
+    looked up beforehand and small inputs go the same way. Rows equal in all order columns are told apart by a hash
+    of the whole row, so the order is total but for exact copies, which are interchangeable.
     """
-    small = fits_one_task(df) if check_bytes is None else fits_one_task(df, check_bytes)
     weight = F.lit(weight) if isinstance(weight, int) else weight
-    df = df.withColumn("_weight", weight.cast("long"))
-    hot = {} if small else heavy_groups(df if sizes_from is None else sizes_from, keys, hot_rows)
-    if not hot:
-        return _by_window(df, keys, order, before, total).drop("_weight")
-    is_hot = F.xxhash64(*keys).isin(list(hot))
-    ordinary = _by_window(df.where(~is_hot), keys, order, before, total)
-    spread = _by_ranges(df.where(is_hot), keys, order, before, total, sum(hot.values()))
-    return ordinary.unionByName(spread).drop("_weight")
-
-
-def _by_window(df, keys, order, before, total):
-    group = Window.partitionBy(*keys).orderBy(*order)
-    earlier = group.rowsBetween(Window.unboundedPreceding, -1)
-    sums = {before: F.coalesce(F.sum("_weight").over(earlier), F.lit(0))}
-    if total:
-        # the same ordered window, so both sums come out of one pass
-        sums[total] = F.sum("_weight").over(group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return df.withColumns(sums)
-
-
-def _by_ranges(df, keys, order, before, total, rows):
-    # copies of one row share every order column; the tie-break lets them land in different ranges
-    tied = df.withColumn("_tie", F.monotonically_increasing_id())
-    ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // RANGE_ROWS + 1)
-    sorted_order = [F.col(o) if isinstance(o, str) else o for o in order]
-    placed = (tied.repartitionByRange(ranges, *[F.col(k) for k in keys], *sorted_order, "_tie")
-              .withColumn("_range", F.spark_partition_id()))
-    # the range of a row must be the same in both uses below, also after an executor is lost
-    placed = cut_lineage(placed)
-    # hot groups x ranges rows: both are bounded, whatever the table holds
+    places = [f"_o{i}" for i in range(len(order))]
+    columns = {p: F.col(o) if isinstance(o, str) else o for p, o in zip(places, order, strict=True)}
+    rows = df.withColumns({**columns, "_tie": F.xxhash64(*df.columns), "_weight": weight.cast("long")})
+    cut, rest = places[:slices], places[slices:]
+    inside = Window.partitionBy(*keys, *cut).orderBy(*rest, "_tie").rowsBetween(Window.unboundedPreceding, -1)
     group = Window.partitionBy(*keys)
-    offsets = (placed.groupBy("_range", *keys).agg(F.sum("_weight").alias("_sum"))
-               .withColumn("_earlier", F.coalesce(
-                   F.sum("_sum").over(group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .withColumn("_total", F.sum("_sum").over(group))
-               .select(F.col("_range").alias("_o_range"), *[F.col(k).alias(f"_o_{k}") for k in keys],
-                       "_earlier", "_total"))
-    inside = (Window.partitionBy("_range", *keys).orderBy(*order, "_tie")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    same = F.col("_range") == F.col("_o_range")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    out = (placed.withColumn("_inside", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
-           .join(offsets, same)
-           .withColumn(before, F.col("_earlier") + F.col("_inside")))
-    if total:
-        out = out.withColumn(total, F.col("_total"))
-    return out.drop("_tie", "_range", "_o_range", "_inside", "_earlier", "_total", *[f"_o_{k}" for k in keys])
+    sums = rows.groupBy(*keys, *cut).agg(F.sum("_weight").alias("_sum")).select(
+        *[F.col(c).alias(f"_s_{c}") for c in (*keys, *cut)],
+        F.coalesce(F.sum("_sum").over(group.orderBy(*cut).rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_earlier"),
+        *([F.sum("_sum").over(group.orderBy(*cut).rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing)).alias("_total")] if total else []))
+    same = F.lit(True)
+    for c in (*keys, *cut):
+        same = same & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
+    out = rows.withColumn("_inside", F.coalesce(F.sum("_weight").over(inside), F.lit(0))).join(sums, same)
+    return out.select(*df.columns, (F.col("_earlier") + F.col("_inside")).alias(before),
+                      *([F.col("_total").alias(total)] if total else []))

@@ -257,14 +257,37 @@ def priced_lines(lake):
                                 "next_purchase_price_effective_date", span=lake.span, bucket_days=365)
 
 
-@named("as_of_join")
-def stored_orders(lake):
-    """Every order with its store's attributes of that day."""
+def _half_span(lake):
+    """Half the time the data covers: what lies outside must be joined all the same."""
+    lo, hi = lake.span
+    return lo, lo + (hi - lo) / 2
+
+
+@query
+def range_join_outside_span(lake):
+    """The same join told that the lines end half-way."""
+    return range_join_effective(_priced_lines(lake), lake.landing.purchase_price_timeline(),
+                                ["product_id", "sale_area_id"], "sold_at", "purchase_price_effective_date",
+                                "next_purchase_price_effective_date", span=_half_span(lake), bucket_days=365)
+
+
+def _stored_orders(lake):
     land = lake.landing
     orders = (land.raw("orders").join(land.raw("customer"), F.col("o_custkey") == F.col("c_custkey"))
               .select("o_orderkey", F.col("c_nationkey").cast("string").alias("store_id"),
                       cal.local_time(F.col("o_orderdate")).alias("sold_at")))
-    return as_of_join(orders, lake.stores(), ["store_id"], "sold_at", span=lake.span)
+    return orders
+
+
+@named("as_of_join")
+def stored_orders(lake):
+    """Every order with its store's attributes of that day."""
+    return as_of_join(_stored_orders(lake), lake.stores(), ["store_id"], "sold_at", span=lake.span)
+
+
+@query
+def as_of_outside_span(lake):
+    return as_of_join(_stored_orders(lake), lake.stores(), ["store_id"], "sold_at", span=_half_span(lake))
 
 
 @query
@@ -602,13 +625,34 @@ def stream_conform(lake):
 @query
 def stream_upsert(lake):
     """The events as a stream, upserted in micro-batches until the source is empty."""
-    table = live.LiveTable(lake.spark, scratch_path(lake.spark, "live"))
+    table = live.LiveTable(lake.spark, scratch_path(lake.spark, "live"), newest=live.EVENT_TIME)
     run = live.run_upserts(fixture.stream_values(lake.landing.event_stream()), table,
                            scratch_path(lake.spark, "live-checkpoint"))
     run.awaitTermination()
     return table.read()
 
 
+@query
+def stream_restart(lake):
+    """Two halves of the events, each under a checkpoint of its own; the second replaces nothing of the first."""
+    table = live.LiveTable(lake.spark, scratch_path(lake.spark, "live"), newest=live.EVENT_TIME)
+    for half in (0, 1):
+        events = lake.landing.event_stream().where(F.col("event_id") % 2 == half)
+        live.run_upserts(fixture.stream_values(events), table, scratch_path(lake.spark, "live-checkpoint")).awaitTermination()
+    return table.read()
+
+
+@query
+def stream_correction(lake):
+    """All events, then a third of them again, dated a day earlier and ten dearer: what arrives later holds."""
+    table = live.LiveTable(lake.spark, scratch_path(lake.spark, "live"))
+    events = lake.landing.event_stream()
+    again = events.where("event_id % 3 = 0").withColumns({"ts": F.expr("ts - interval 1 day"), "value": F.expr("value + 10")})
+    for part in (events, again):
+        live.run_upserts(fixture.stream_values(part), table, scratch_path(lake.spark, "live-checkpoint")).awaitTermination()
+    return table.read()
+
+
 @query
 def retention_filter(lake):
     return live.retained(lake.live_lines(), AS_OF).select("transaction_id", "product_id", "product_uom_id",

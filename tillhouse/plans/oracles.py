@@ -413,9 +413,11 @@ _q["range_join_effective"] = """SELECT f.*, purchase_price_effective_date, next_
      o_orderdate + INTERVAL 7 HOUR AS sold_at, l_quantity FROM lineitem JOIN oc ON l_orderkey = k) f
     LEFT JOIN prices d ON d.product_id = f.product_id AND d.sale_area_id = f.sale_area_id
     WHERE purchase_price_effective_date IS NULL OR (purchase_price_effective_date <= sold_at AND sold_at < next_purchase_price_effective_date)"""
+_q["range_join_outside_span"] = _q["range_join_effective"]
 _q["as_of_join"] = """SELECT f.*, store_name, tier, sale_area_id FROM
     (SELECT o_orderkey, CAST(c_nationkey AS VARCHAR) AS store_id, o_orderdate + INTERVAL 7 HOUR AS sold_at FROM oc) f
     LEFT JOIN stores s ON s.store_id = f.store_id AND valid_from <= sold_at AND sold_at < valid_to"""
+_q["as_of_outside_span"] = _q["as_of_join"]
 _q["identity_coalesce"] = f"""SELECT transaction_id, report_date, customer_id, customer_phone, user_name, customer_code, dom_created_at,
     external_order_id, delivery_note, short_order_id, order_id, {', '.join(_times)}, channel_name, partner_store FROM heads_resolved"""
 _q["scd2_initial"] = """SELECT CAST(n_nationkey AS VARCHAR) AS store_id, n_name AS store_name, 'Type' || (n_regionkey % 2) AS store_type,
@@ -591,6 +593,17 @@ _q["dash_realtime_category"] = _live(["revenue", "units", "lines"], ["product_ca
 _q["dash_realtime_hour"] = _live(["revenue", "transactions"], ["hour"], "(SELECT *, date_trunc('hour', transaction_time) AS hour FROM recent)")
 _q["stream_conform"] = "SELECT * FROM messages"
 _q["stream_upsert"] = "SELECT * FROM live"
+_q["stream_restart"] = _q["stream_upsert"]
+# what arrived later is the corrected message; within one arrival the later event time wins
+_q["stream_correction"] = """SELECT * EXCLUDE (p) REPLACE (
+        CASE WHEN CAST(substr(transaction_id, 2) AS BIGINT) % 3 = 0 THEN report_date - 1 ELSE report_date END AS report_date,
+        CASE WHEN CAST(substr(transaction_id, 2) AS BIGINT) % 3 = 0 THEN transaction_time - INTERVAL 1 DAY ELSE transaction_time END AS transaction_time,
+        CASE WHEN CAST(substr(transaction_id, 2) AS BIGINT) % 3 = 0 THEN sale_bill_time - INTERVAL 1 DAY ELSE sale_bill_time END AS sale_bill_time,
+        CASE WHEN CAST(substr(transaction_id, 2) AS BIGINT) % 3 = 0 THEN posting_time - INTERVAL 1 DAY ELSE posting_time END AS posting_time,
+        p AS product_price, p AS total_amount, p AS final_amount, p * 0.9::DOUBLE AS total_amount_no_tax,
+        p * 0.9::DOUBLE AS final_amount_no_tax, p * 0.7::DOUBLE AS purchase_price_with_tax, p * 0.63::DOUBLE AS purchase_price_without_tax)
+    FROM (SELECT l.*, CASE WHEN e.event_id % 3 = 0 THEN (e.value + 10) + (CASE WHEN e.event_id % 50 = 0 THEN 1 ELSE 0 END)
+        ELSE l.total_amount END AS p FROM live l JOIN events e ON l.transaction_id = 'E' || e.event_id)"""
 _q["retention_filter"] = """SELECT transaction_id, product_id, product_uom_id, report_date, transaction_time, total_amount FROM live
     WHERE transaction_time >= TIMESTAMP '2024-01-28'"""
 _q["lambda_union"] = "SELECT * FROM serving"

@@ -54,7 +54,7 @@ def _collection_lines(docs: DataFrame, items_field: str) -> DataFrame:
     heads = typed.selectExpr(
         *[f"{field} as {name}" for field, name in DOCUMENT_FIELDS.items()],
         *[f"_order.{field} as {name}" for field, name in ORDER_FIELDS.items()],
-        "cast(skipValidateOver50Percent as int) as skip_validate_over_50_percent_by_int",
+        "try_cast(skipValidateOver50Percent as int) as skip_validate_over_50_percent_by_int",
         "to_date(transactionTime) as report_date", "_items")
     heads = heads.withColumns(decode.demographics("customer_gender", "customer_age_range", "customer_nationality",
                                                   keep_unknown_age=True))

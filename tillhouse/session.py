@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -19,8 +21,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-# Inputs estimated below this are safe in a single task, whatever their key distribution.
-SINGLE_TASK_BYTES = 256 * 1024 * 1024
+# Bytes a fixed-width value takes in a row at most, when rows are measured.
+FIXED_WIDTH = 16
 
 _own_root: str | None = None
 
@@ -34,11 +36,17 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach: the cluster's checkpoint dir, or our own when it names none."""
+    """The folder every executor can reach: the cluster's checkpoint dir.
+
+    A single-machine session without one gets a temporary folder; on a cluster that would be a different disk for
+    every executor, so it is an error there.
+    """
     global _own_root
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that the driver and all executors share")
     if _own_root is None:
         _own_root = tempfile.mkdtemp(prefix="tillhouse-")
     return _own_root
@@ -57,14 +65,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate, or None where the session does not expose the plan."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return None
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def measured_bytes(df: DataFrame, limit: int) -> int:
+    """Bytes of a frame as counted by running it, or some number above `limit`; it is read no further than that.
+
+    Catalyst's own estimate does not grow over explode and is a product over joins, so it decides nothing here.
+    """
+    width = FIXED_WIDTH * max(1, len(df.columns))
+    texts = [F.octet_length(f.name) for f in df.schema.fields if f.dataType.typeName() == "string"]
+    size = F.lit(width)
+    for text in texts:
+        size = size + F.coalesce(text, F.lit(0))
+    return df.limit(limit // width + 1).agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
 
 
-def fits_one_task(df: DataFrame, limit: int = SINGLE_TASK_BYTES) -> bool:
-    size = estimated_bytes(df)
-    return size is not None and size <= limit
+def fits(df: DataFrame, limit: int) -> bool:
+    return measured_bytes(df, limit) <= limit

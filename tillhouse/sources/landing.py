@@ -6,13 +6,12 @@ for business constants outside the data's range are listed first.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.operators.skew import running_sums
+from tillhouse.sources.sinks import is_file
 
 # Fixed values of the fixture.
 FLIP_DATE = "1998-01-01"
@@ -118,7 +117,7 @@ _schemas: dict[tuple[str, str], T.StructType] = {}
 
 
 def table_path(sf_dir: str, name: str) -> str:
-    return os.path.join(sf_dir, f"{name}.parquet")
+    return f"{sf_dir.rstrip("/")}/{name}.parquet"
 
 
 class Landing:
@@ -311,8 +310,8 @@ class Landing:
         """The events as a file stream; one file or a folder of files."""
         path = table_path(self.sf_dir, "events")
         reader = self.spark.readStream.schema(self.raw("events").schema)
-        if os.path.isfile(path):
-            return reader.option("pathGlobFilter", os.path.basename(path)).parquet(self.sf_dir)
+        if is_file(self.spark, path):
+            return reader.option("pathGlobFilter", path.rpartition("/")[2]).parquet(self.sf_dir)
         return reader.parquet(path)
 
 

@@ -24,6 +24,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names of the folders below a path that begin with a prefix, without it."""
+    fs, target = _fs(spark, path)
+    if not fs.exists(target):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(target) if f.isDirectory()]
+    return [name.removeprefix(prefix) for name in names if name.startswith(prefix)]
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, target = _fs(spark, path)
+    return fs.exists(target) and fs.getFileStatus(target).isFile()
+
+
 def write_slices(df: DataFrame, path: str, column: str, slices: Iterable[date | str]) -> set[str]:
     """Replace exactly the named slices of a partitioned table; safe to repeat. Returns the slices that got rows.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,9 +15,11 @@ from tillhouse.functions.contracts import (
     LIVE_FACT, LIVE_KEY, LIVE_MART_COLUMNS, LIVE_MART_DAYS, RETENTION_HOURS, STREAM_ENVELOPE,
 )
 from tillhouse.functions.types import conform
-from tillhouse.sources.sinks import exists
+from tillhouse.sources.sinks import exists, folders
 
 SALE = "SALE_TRANSACTION"
+OFFSET = "offset"
+ARRIVAL, EVENT_TIME = "arrival", "event_time"
 # Message item field -> column.
 MESSAGE_ITEM = {
     "product_code": "product_id", "product_name": "product_name", "uom": "product_uom",
@@ -36,12 +39,13 @@ def sale_messages(messages: DataFrame) -> DataFrame:
     Other message types are dropped on their type field before the whole envelope is parsed.
     """
     kind = F.get_json_object("value", "$.stream_type")
-    parsed = messages.where(kind == SALE).select(F.from_json("value", STREAM_ENVELOPE).alias("e"))
+    parsed = messages.where(kind == SALE).select(F.from_json("value", STREAM_ENVELOPE).alias("e"), *_offset(messages))
     # the outer form keeps Spark from testing the array ahead of time, which would parse every message twice;
     # a message without sales still ends at the inner explode
+    offset = _offset(messages)
     sold = parsed.selectExpr("e.payload.store_code as store_id", "e.payload.store_name as store_name",
-                             "explode_outer(e.payload.sale_transaction) as t")
-    items = sold.selectExpr("store_id", "store_name", "t", "explode(t.sale_normal_items) as i").withColumns({
+                             "explode_outer(e.payload.sale_transaction) as t", *offset)
+    items = sold.selectExpr("store_id", "store_name", "t", "explode(t.sale_normal_items) as i", *offset).withColumns({
         "transaction_time": local_time(from_epoch_ms(F.col("t.document_date"))),
         "posting_time": local_time(from_epoch_ms(F.col("t.posting_date"))),
         "customer_gender": decode.gender("t.customer_gender")})
@@ -50,69 +54,95 @@ def sale_messages(messages: DataFrame) -> DataFrame:
         "transaction_time as sale_bill_time", "posting_time", "store_id", "store_name", "t.staff_id", "t.staff_name",
         "t.payment_method as payment_method_id", *[f"i.{field} as {name}" for field, name in MESSAGE_ITEM.items()],
         "i.total_amount as final_amount", "i.total_amount_without_tax as final_amount_no_tax", "customer_gender",
-        "'Sale Transaction' as transaction_type", "'completed' as delivery_status")
-    return conform(lines, LIVE_FACT)
+        "'Sale Transaction' as transaction_type", "'completed' as delivery_status", *offset)
+    return conform(lines, {**LIVE_FACT, **{name: "int" for name in offset}})
 
 
-def latest(lines: DataFrame, batch: str | None = None) -> DataFrame:
-    """One line per key: the newest by event time, then by batch. Null key parts are equal to each other.
+def _offset(frame: DataFrame) -> list[str]:
+    """The source's own message number, where it gives one."""
+    return [OFFSET] if OFFSET in frame.columns else []
 
-    Spark prunes to one row per key and task before the shuffle, so copies of one key stay cheap.
+
+def latest(lines: DataFrame, arrival: Sequence[str] = (), newest: str = EVENT_TIME) -> DataFrame:
+    """One line per key. Null key parts are equal to each other.
+
+    `newest` says what a later version is: the one that arrived later, by the `arrival` columns and the source's
+    offset, or the one with the later event time; the other decides ties. Spark prunes to one row per key and task
+    before the shuffle, so copies of one key stay cheap.
     """
-    order = [F.col("transaction_time").desc_nulls_last(), F.col("posting_time").desc_nulls_last()]
-    order += [F.col(batch).desc()] if batch else []
+    came = [F.col(name).desc_nulls_last() for name in (*arrival, *_offset(lines))]
+    happened = [F.col("transaction_time").desc_nulls_last(), F.col("posting_time").desc_nulls_last()]
+    order = came + happened if newest == ARRIVAL else happened + came
     order += [F.col(name).asc_nulls_last() for name in LIVE_FACT if name not in LIVE_KEY]
     ranked = lines.withColumn("_rank", F.row_number().over(Window.partitionBy(*LIVE_KEY).orderBy(*order)))
     return ranked.where("_rank = 1").drop("_rank")
 
 
 class LiveTable:
-    """Upserted live lines as one folder per micro-batch, merged when read.
+    """Upserted live lines as one folder per run and micro-batch, merged when read.
 
-    A batch writes only its own rows and a repeated batch overwrites its own folder, so redelivery after a lost
-    executor or driver changes nothing. Reading keeps the newest row per key; retention bounds what is read,
-    and `compact` folds the older batches into one.
+    A run is one checkpoint: its batches are numbered from 0, and those of a new checkpoint go to a new folder, so
+    they replace nothing. A batch writes only its own rows and a repeated batch overwrites its own folder, so
+    redelivery after a lost executor or driver changes nothing. Reading keeps the newest row per key, by arrival or
+    by event time; `compact` folds all batches into one.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, newest: str = ARRIVAL):
+        self.spark, self.path, self.newest = spark, path, newest
+
+    def run_folder(self, identity: str) -> str:
+        """Folder name of a run; runs sort in the order in which they first wrote."""
+        known = sorted(folders(self.spark, self.path, "run="))
+        for name in known:
+            if name.endswith(f"-{identity}"):
+                return name
+        return f"{len(known):06d}-{identity}"
 
-    def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        lines = latest(sale_messages(batch))
-        lines.write.mode("overwrite").partitionBy("report_date").parquet(f"{self.path}/batch={batch_id}")
+    def upsert(self, batch: DataFrame, batch_id: int, run: str = "direct") -> None:
+        lines = latest(sale_messages(batch), newest=self.newest)
+        (lines.write.mode("overwrite").partitionBy("report_date")
+         .parquet(f"{self.path}/run={self.run_folder(run)}/batch={batch_id}"))
 
-    def read(self) -> DataFrame:
-        stored = self._stored()
-        return latest(stored, "batch").select(*LIVE_FACT)
+    def read(self, as_of: datetime | None = None, hours: int = RETENTION_HOURS) -> DataFrame:
+        """The newest line per key; with `as_of`, without those that retention has deleted by then."""
+        lines = latest(self._stored(), ("run", "batch"), self.newest).select(*LIVE_FACT)
+        return lines if as_of is None else retained(lines, as_of, hours)
 
     def _stored(self) -> DataFrame:
-        schema = conform(self.spark.createDataFrame([], "x int"), LIVE_FACT).schema
-        with_batch = schema.add("batch", "long")
+        schema = conform(self.spark.createDataFrame([], "x int"), {**LIVE_FACT, OFFSET: "int"}).schema
+        with_batch = schema.add("run", "string").add("batch", "long")
         if not exists(self.spark, self.path):
             return self.spark.createDataFrame([], with_batch)
         return self.spark.read.schema(with_batch).parquet(self.path)
 
     def compact(self, as_of: datetime, target: str) -> LiveTable:
-        """The merged rows still under retention, as batch -1 of a new table; the old one stays readable."""
-        (retained(self.read(), as_of).write.mode("overwrite").partitionBy("report_date")
-         .parquet(f"{target}/batch=-1"))
-        return LiveTable(self.spark, target)
+        """The merged rows still under retention, as the first run of a new table; the old one stays readable."""
+        (self.read(as_of).write.mode("overwrite").partitionBy("report_date").parquet(f"{target}/run=000000-compact/batch=0"))
+        return LiveTable(self.spark, target, self.newest)
 
 
 def run_upserts(messages: DataFrame, table: LiveTable, checkpoint: str) -> StreamingQuery:
-    """Process what has arrived, then stop; the checkpoint remembers how far the source was read."""
-    return (messages.writeStream.foreachBatch(table.upsert).option("checkpointLocation", checkpoint)
+    """Process what has arrived, then stop; the checkpoint remembers how far the source was read, and names the run."""
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        # Spark writes the query's id there before the first batch, and keeps it over restarts
+        identity = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
+        table.upsert(batch, batch_id, identity)
+
+    return (messages.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 def retained(lines: DataFrame, as_of: datetime, hours: int = RETENTION_HOURS) -> DataFrame:
-    """Lines of the last `hours` of local business time before an explicit local moment.
+    """Lines of the last `hours` of local business time before an explicit local moment, and those without a time.
 
-    The day filter prunes whole partitions; the exact moment filters inside the first one.
+    Deleting what is older deletes no line of unknown age. The day filter prunes whole partitions; the exact moment
+    filters inside the first one.
     """
     bound = as_of - timedelta(hours=hours)
-    return lines.where((F.col("report_date") >= F.lit(bound.date())) &
-                       (F.col("transaction_time") >= F.lit(str(bound)).cast("timestamp_ntz")))
+    day, moment = F.col("report_date"), F.col("transaction_time")
+    return lines.where((day.isNull() | (day >= F.lit(bound.date()))) &
+                       (moment.isNull() | (moment >= F.lit(str(bound)).cast("timestamp_ntz"))))
 
 
 def serving_view(batch: DataFrame, live: DataFrame, prefer: str = "batch") -> DataFrame:
@@ -124,7 +154,7 @@ def serving_view(batch: DataFrame, live: DataFrame, prefer: str = "batch") -> Da
     batch = batch.select(*LIVE_FACT, F.lit("eod").alias("source"))
     live = live.select(*LIVE_FACT, F.lit("rlt").alias("source"))
     if prefer == "latest":
-        return latest(batch.unionByName(live), "source").select(*LIVE_FACT, "source")
+        return latest(batch.unionByName(live), ("source",)).select(*LIVE_FACT, "source")
     bound = batch.agg(F.max("report_date")).scalar()
     known = batch.where(F.col("report_date").isNotNull())
     return known.unionByName(live.where(F.col("report_date") > F.coalesce(bound, F.lit("1900-01-01").cast("date"))))
