@@ -20,18 +20,18 @@ DIGITS = 10           # hex digits of a kept hash that the text form shows
 
 def sketch_steps(text: str, name: str) -> dict[str, Column]:
     """Columns that lead from the text column `text` to the sorted array `name` of kept hashes."""
-    words, hashes, least = F.col(f"{name}_words"), F.col(f"{name}_hashes"), F.col(f"{name}_least")
+    words, hashes, last = F.col(f"{name}_words"), F.col(f"{name}_hashes"), F.col(f"{name}_last")
     # hashes as non-negative longs: the top bit is dropped
     value = lambda *parts: F.shiftrightunsigned(F.xxhash64(*parts), 1)
     shingles = F.transform(F.slice(words, WORDS, F.greatest(F.size(words) - WORDS + 1, F.lit(0))), lambda last, i: value(
         *[F.get(words, i + k) for k in range(WORDS - 1)], last))
     short = F.when(F.size(words) > 0, F.array(value(words))).otherwise(F.array().cast("array<bigint>"))
-    limit = (1 << 63) // FRACTION
     return {
         f"{name}_words": words_of(F.col(text)),
         f"{name}_hashes": F.when(F.size(words) >= WORDS, shingles).otherwise(short),
-        f"{name}_least": F.array_min(hashes),
-        name: F.sort_array(F.array_distinct(F.filter(hashes, lambda h: (h < limit) | (h == least)))),
+        f"{name}_last": F.greatest(F.array_min(hashes), F.lit((1 << 63) // FRACTION - 1)),
+        # named twice: a column that is named once would be written out inside the filter, and run for every hash
+        name: F.when(last >= 0, F.sort_array(F.array_distinct(F.filter(hashes, lambda h: h <= last)))),
     }
 
 

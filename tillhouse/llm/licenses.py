@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 K = 3
 WINDOW = 2
-BAND = 8
+BAND = 8               # of long templates; short ones have a narrower band, so that repeats stay apart
 MIN_COVERAGE = 0.7
 
 # License notices and texts, as their publishers word them.
@@ -86,6 +86,7 @@ class Index:
         self.vocabulary = {w: i for i, w in enumerate(sorted({w for ws in words.values() for w in ws}))}
         self.names = sorted(words)
         self.tokens = [np.array([self.vocabulary[w] for w in words[n]], dtype=np.int64) for n in self.names]
+        self.bands = [min(BAND, 1 + len(tokens) // 4) for tokens in self.tokens]
         postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for t, tokens in enumerate(self.tokens):
             codes = self.codes(tokens)
@@ -136,10 +137,10 @@ class Index:
             for t, inside in self.postings[int(codes[at])]:
                 diagonal = at - inside
                 for region in reversed(open_[t]):
-                    if at - region[1] > len(self.tokens[t]) + BAND:
+                    if at - region[1] > len(self.tokens[t]) + self.bands[t]:
                         region = None
                         break
-                    if abs(diagonal - region[0]) <= BAND:
+                    if abs(diagonal - region[0]) <= self.bands[t]:
                         region[1] = at
                         break
                 else:
@@ -179,7 +180,7 @@ def find_licenses(index: Index, text: bytes, min_coverage: float) -> list[tuple]
     tokens = index.ids(text)
     found = []
     for t, diagonal in index.candidates(tokens):
-        pairs = align(index.tokens[t], tokens, diagonal)
+        pairs = align(index.tokens[t], tokens, diagonal, index.bands[t])
         if pairs and len(pairs) >= min_coverage * len(index.tokens[t]):
             found.append((t, pairs))
     if not found:

@@ -19,18 +19,18 @@ MIN_LINES = 2
 def _chunked(docs: DataFrame) -> DataFrame:
     """Replace `body` by its chunks: array of (line, n_lines, chunk), `line` being the first line's number from 0.
 
-    Every array that a later step looks up by place is a column of its own, so it is made once per text.
+    Every array that a later step looks up by place is a column of its own that is named more than once there, so Spark
+    makes it once per text and does not write it out inside the step.
     """
-    lines, hashes, rolling, ends, starts = (F.col(c) for c in ("lines", "hashes", "rolling", "ends", "starts"))
+    lines, hashes, rolling, starts = (F.col(c) for c in ("lines", "hashes", "rolling", "starts"))
     length = lambda s, k: F.coalesce(F.get(starts, k + 1), F.size(lines)) - s
     steps = {
         "lines": F.split(F.coalesce(F.col("body"), F.lit("")), "\n"),
         "hashes": F.transform(lines, lambda line: F.md5(line)),
         "rolling": F.transform(hashes, lambda h, i: F.md5(F.concat(F.coalesce(F.get(hashes, i - 1), F.lit("")), h))),
-        # line i ends a chunk if its rolling hash is below the one before and not above the one after
-        "ends": F.transform(rolling, lambda r, i: (i > 0) & (r < F.get(rolling, i - 1))
-                            & (r <= F.coalesce(F.get(rolling, i + 1), r))),
-        "starts": F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: (i == 0) | F.get(ends, i - 1)),
+        # a line begins a chunk if the rolling hash of the line before is below the one before that and not above its own
+        "starts": F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: (i == 0) | (
+            (F.get(rolling, i - 1) < F.get(rolling, i - 2)) & (F.get(rolling, i - 1) <= F.get(rolling, i)))),
         "chunks": F.transform(starts, lambda s, k: F.struct(
             s.alias("line"), length(s, k).alias("n_lines"),
             F.array_join(F.slice(lines, s + 1, length(s, k)), "\n").alias("chunk"))),
@@ -79,13 +79,14 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     out = out.join(gone, F.col("id").eqNullSafe(F.col("g_id")) & (F.col("key") == F.col("g_key")), "left")
     # only texts that lose something are cut again
     out = _chunked(out.withColumn("body", F.when(F.col("gone").isNotNull(), F.col("whole").getField(text))))
-    is_gone = lambda k: F.array_contains("gone", k)
     cut = F.col("gone").isNotNull()
-    spans = F.transform(F.filter("chunks", lambda c, k: is_gone(k)),
-                        lambda c: F.struct(c.line.alias("line"), c.n_lines.alias("n_lines")))
+    chunks = F.col("chunks")
+    spans = F.transform(F.sort_array("gone"), lambda k: F.struct(
+        F.get(chunks, k).line.alias("line"), F.get(chunks, k).n_lines.alias("n_lines")))
     none = F.array().cast("array<struct<line:int,n_lines:int>>")
     out = out.withColumn("spans", F.when(cut, spans).otherwise(none))
-    kept = F.transform(F.filter("chunks", lambda c, k: ~is_gone(k)), lambda c: c.chunk)
+    stays = F.array_except(F.sequence(F.lit(0), F.size(chunks) - 1), F.col("gone"))
+    kept = F.transform(stays, lambda k: F.get(chunks, k).chunk)
     left = F.when(cut, F.array_join(kept, "\n")).otherwise(F.col("whole").getField(text))
     removed = F.struct(F.size("spans").alias("chunks"), F.aggregate(
         "spans", F.lit(0), lambda a, s: a + s.n_lines).alias("lines"), "spans")

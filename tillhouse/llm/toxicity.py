@@ -110,7 +110,7 @@ class Network:
             "att": normal(2 * h, h, scale=.3), "att_v": normal(h, scale=.3), "out": normal(2 * h, scale=.3),
             "out_b": np.zeros(1, np.float32),
         }
-        self.scale, self.shift = 1.0, 0.0
+        self.scale, self.shift, self.clean = 1.0, 0.0, 0.0
 
     @classmethod
     def of(cls, parts: dict) -> Network:
@@ -121,6 +121,9 @@ class Network:
 
     def inputs(self, words: list[bytes]):
         """(input vectors, what is needed to pass gradients back to the embeddings)."""
+        if not words:
+            none = np.empty(0, np.int64)
+            return np.empty((0, WORD_DIM + CHAR_DIM + STATS), np.float32), (none, none, np.empty((0, 1), np.float32))
         whole, grams, first, length = _hash_words(words)
         number = np.diff(np.append(first, len(grams))).clip(1)[:, None].astype(np.float32)
         odds = self.char_odds[grams]
@@ -260,6 +263,9 @@ class Scorer:
 
         for i, text in enumerate(texts):
             words = words_of(text)
+            if not words:
+                scores[i] = self.network.clean  # nothing to read: as clean as clean texts are on average
+                continue
             if len(self.number) > CACHED:
                 flush()  # what is held refers to the words kept so far
             index = self.indexes(words)
@@ -293,7 +299,7 @@ class _Adam:
             self.weights[k] -= (fix * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)).astype(np.float32)
 
 
-def train(texts: list[bytes], labels: np.ndarray, base_rate: float, rounds: int = 3, passes: int = 2) -> Network:
+def train(texts: list[bytes], labels: np.ndarray, base_rate: float, rounds: int = 3, steps: int = 150) -> Network:
     """Multiple-instance training: each round, a text is represented by the window the network finds worst, clean
     texts by a random one besides; the first round takes the windows with the greatest log-odds."""
     rng = np.random.default_rng(SEED)
@@ -301,7 +307,7 @@ def train(texts: list[bytes], labels: np.ndarray, base_rate: float, rounds: int
     hashed = [_hash_words(d) if d else (np.empty(0, np.int64),) * 4 for d in docs]
     network = Network(_log_odds([x[0] for x in hashed], labels, 1 << WORD_BITS, 4),
                       _log_odds([x[1] for x in hashed], labels, 1 << CHAR_BITS, 8))
-    if labels.min(initial=1) == labels.max(initial=0):  # one label only, or no rows
+    if len(set(labels.tolist())) < 2:
         network.scale, network.shift = 0.0, float(np.log((base_rate + 1e-3) / (1 - base_rate + 1e-3)))
         return network
     adam = _Adam(network.w, 3e-3)
@@ -320,20 +326,20 @@ def train(texts: list[bytes], labels: np.ndarray, base_rate: float, rounds: int
                 worst = int(np.argmax(total[np.minimum(starts + WINDOW, len(doc))] - total[starts]))
             chosen = {worst} if label else {worst, int(rng.integers(len(starts)))}
             picked += [(doc[starts[c]:starts[c] + WINDOW], int(label)) for c in chosen]
-        picked += [([], 0)] * (1 + len(picked) // 20)  # what a text without words looks like
-        for _ in range(passes):
-            order = rng.permutation(len(picked))
-            for at in range(0, len(order), 128):
-                part = [picked[i] for i in order[at:at + 128]]
-                words = sorted({w for window, _ in part for w in window})
-                number = {w: i + 1 for i, w in enumerate(words)}
-                index = np.zeros((len(part), WINDOW), np.int64)
-                for i, (window, _) in enumerate(part):
-                    index[i, :len(window)] = [number[w] for w in window]
-                adam.apply(network.gradients(words, index, np.array([y for _, y in part], np.float32)))
+        order = np.concatenate([rng.permutation(len(picked)) for _ in range(-(-128 * steps // len(picked)))])
+        for at in range(0, 128 * steps, 128):
+            part = [picked[i] for i in order[at:at + 128]]
+            words = sorted({w for window, _ in part for w in window})
+            number = {w: i + 1 for i, w in enumerate(words)}
+            index = np.zeros((len(part), WINDOW), np.int64)
+            for i, (window, _) in enumerate(part):
+                index[i, :len(window)] = [number[w] for w in window]
+            adam.apply(network.gradients(words, index, np.array([y for _, y in part], np.float32)))
     # calibration: logistic regression on the text scores, weighted to the base rate
     raw = Scorer(network).raw(texts)
-    raw = np.where(np.isfinite(raw), raw, raw[np.isfinite(raw)].min(initial=0))
+    read = np.array([bool(d) for d in docs]) & (labels == 0)
+    network.clean = float(raw[read].mean()) if read.any() else float(raw.min())
+    raw[[not d for d in docs]] = network.clean
     share = labels.mean()
     weight = np.where(labels == 1, base_rate / share, (1 - base_rate) / (1 - share))
     a, b = 1.0, 0.0
@@ -348,8 +354,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id"
                    label: str = "toxic", max_per_label: int = MAX_PER_LABEL, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score (0 to 1), predicted: one row per row of `docs`.
 
-    Labels of held-out ids, null labels and labels without a document are not used. Null and blank texts get one
-    window of padding, so all score alike. Repeated rows score alike. Without usable labels every score is the same;
+    Labels of held-out ids, null labels and labels without a document are not used. Null and blank texts score
+    as the average clean text of the sample does. Repeated rows score alike. Without usable labels every score is the same;
     an empty table gives no rows. Other columns are ignored.
     """
     known = (labels.select(F.col(doc_id).alias("l_id"), F.col(label).cast("int").alias("y"))
