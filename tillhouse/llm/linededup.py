@@ -63,7 +63,8 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     repeated = stored(_multi_line(row).select("hash", place.alias("place")).groupBy("hash")
                       .agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first")).where("n > 1")
                       .select(F.col("hash").alias("r_hash"), "first"), "lines-repeated")
-    found = stored(_multi_line(row).join(repeated, F.col("hash") == F.col("r_hash"))
+    # merge: both joins move the texts at any size, in place of a broadcast that a larger corpus could not have
+    found = stored(_multi_line(row).join(repeated.hint("merge"), F.col("hash") == F.col("r_hash"))
                    .select("id", "key", "nth", "chunk", "hash", (place == F.col("first")).alias("is_first")),
                    "lines-found")
     # rows given twice have their first chunk twice
@@ -76,7 +77,7 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
 
     whole = F.struct(*[F.col(c) for c in docs.columns]).alias("whole")
     out = docs.select(whole, F.col(doc_id).alias("id"), F.xxhash64(text).alias("key"))
-    out = out.join(gone, F.col("id").eqNullSafe(F.col("g_id")) & (F.col("key") == F.col("g_key")), "left")
+    out = out.join(gone.hint("merge"), F.col("id").eqNullSafe(F.col("g_id")) & (F.col("key") == F.col("g_key")), "left")
     # only texts that lose something are cut again
     out = _chunked(out.withColumn("body", F.when(F.col("gone").isNotNull(), F.col("whole").getField(text))))
     cut = F.col("gone").isNotNull()

@@ -280,5 +280,5 @@ def one_per_group(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     kept = stored(kept, "simhash-kept")
     whole = table.select(F.struct(*docs.columns).alias("whole"), F.col("_metadata.file_name").alias("file"),
                          F.col("_metadata.row_index").alias("at"))
-    return (whole.join(kept, (F.col("file") == F.col("k_file")) & (F.col("at") == F.col("k_at")), "left_semi")
+    return (whole.join(kept.hint("merge"), (F.col("file") == F.col("k_file")) & (F.col("at") == F.col("k_at")), "left_semi")
             .select(*[F.col("whole").getField(c).alias(c) for c in docs.columns]))
