@@ -47,9 +47,11 @@ def by_store_channel(mart: DataFrame, where: Mapping | None = None) -> DataFrame
     return metrics.sales(mart, ("revenue",), ["store_id", "store_name", "channel"], where)
 
 
-def with_product(mart: DataFrame, products: DataFrame) -> DataFrame:
-    """Star join; lines of unknown products stay under a blank member."""
-    return mart.join(products.select("product_id", "product_name", "product_category", "product_group", "brand"),
+def with_product(mart: DataFrame, products: DataFrame, *keep: str) -> DataFrame:
+    """Lines folded per product and `keep`, then the star join; unknown products stay under a blank member."""
+    total = lambda name: F.sum(F.col(name).cast(EXACT)).alias(name)
+    folded = mart.groupBy("product_id", *keep).agg(total("revenue_net"), total("cogs"), F.sum("quantity").alias("quantity"))
+    return folded.join(products.select("product_id", "product_name", "product_category", "product_group", "brand"),
                      "product_id", "left")
 
 
@@ -64,7 +66,8 @@ def top_products(mart: DataFrame, products: DataFrame, n: int = 10, where: Mappi
     """The best sellers are chosen before names are looked up."""
     best = (metrics.sales(mart, ("revenue", "units"), ["product_id"], where)
             .orderBy(F.desc_nulls_last("revenue"), "product_id").limit(n))
-    return best.join(products.select("product_id", "product_name"), "product_id", "left")
+    return (best.join(products.select("product_id", "product_name"), "product_id", "left")
+            .orderBy(F.desc_nulls_last("revenue"), "product_id"))
 
 
 def category_channel_matrix(mart: DataFrame, products: DataFrame, channels: Sequence[str],
@@ -77,7 +80,7 @@ def category_channel_matrix(mart: DataFrame, products: DataFrame, channels: Sequ
         cells.append(F.sum(F.when(inside, money)).cast("double").alias(f"{channel}_revenue"))
         cells.append(F.sum(F.when(inside, F.col("quantity"))).alias(f"{channel}_units"))
     total = [F.sum(money).cast("double").alias("total_revenue"), F.sum("quantity").alias("total_units")]
-    rows = with_product(metrics.slice_rows(mart, where), products)
+    rows = with_product(metrics.slice_rows(mart, where), products, "channel")
     return (rows.rollup("product_category").agg(*cells, *total, F.grouping("product_category").alias("is_total"))
             .withColumn("is_total", F.col("is_total").cast("int")))
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillhouse.functions.money import exact_sum, ratio
+from tillhouse.functions.money import EXACT, exact_sum, ratio
 
 # Ratio metrics as (part, whole).
 SALES_RATIOS: dict[str, tuple[str, str]] = {
@@ -104,9 +104,36 @@ def _add(a: str, b: str, sign: int = 1) -> Column:
     return F.when(F.col(a).isNotNull() | F.col(b).isNotNull(), both)
 
 
+# What each distinct count of the sales measures counts.
+COUNTED = {"baskets": ("transaction_id",), "identified_baskets": ("transaction_id",),
+           "store_days": ("report_date", "store_id"), "unique_customers": ("customer_id",)}
+
+
+def _folded(rows: DataFrame, by: Sequence[str], counted: set[str]) -> DataFrame:
+    """Lines to one row per combination of what is counted; sums stay sums and flags stay flags.
+
+    Several distinct counts copy their input once each; after this they copy baskets, not lines.
+    """
+    keys = list(dict.fromkeys([*by, *[k for name in COUNTED if name in counted for k in COUNTED[name]]]))
+    exact = {"revenue_net": EXACT, "cogs": EXACT, "quantity": None}
+    out = [F.sum(F.col(name).cast(kind) if kind else F.col(name)).alias(name)
+           for name, kind in exact.items() if name in rows.columns and name not in keys]
+    if "is_identified_customer" in rows.columns and "is_identified_customer" not in keys:
+        out.append(F.max("is_identified_customer").alias("is_identified_customer"))
+    if "rating" in rows.columns and "rating" not in keys:
+        out += [F.sum("rating").alias("rating_sum"), F.count("rating").alias("rating_n")]
+    return rows.groupBy(*keys).agg(*out)
+
+
 def sales(mart: DataFrame, names: Sequence[str], by: Sequence[str] = (), where: Mapping | None = None) -> DataFrame:
     sums = {"gross_margin": (_add("revenue", "total_cogs", -1), ("revenue", "total_cogs"))}
-    return _measure(mart, by, names, _sales_measures(), SALES_RATIOS, sums, where)
+    measures = _sales_measures()
+    parts = {p for name in names for p in (name, *SALES_RATIOS.get(name, ()))}
+    counted = parts & set(COUNTED)
+    if len(counted) > 1:
+        mart, where = _folded(slice_rows(mart, where), by, counted), None
+        measures["avg_rating"] = F.try_divide(F.sum("rating_sum").cast("double"), F.sum("rating_n"))
+    return _measure(mart, by, names, measures, SALES_RATIOS, sums, where)
 
 
 def services(mart: DataFrame, names: Sequence[str], by: Sequence[str] = (), where: Mapping | None = None) -> DataFrame:
