@@ -6,157 +6,150 @@ labels are what upstream systems send and downstream readers expect.
 
 from __future__ import annotations
 
-
-def contract(text: str) -> dict[str, str]:
-    """Read 'name token' lines into an ordered mapping."""
-    pairs = (line.split() for line in text.strip().splitlines() if line.strip())
-    return {name: token for name, token in pairs}
-
-
 # ---- fixed values: product fact, one row per bill line -------------------------------------------
-PRODUCT_FACT = contract("""
-    transaction_id str
-    product_id str
-    report_date date
-    transaction_time date
-    product_name str
-    product_uom str
-    product_group_id int
-    product_group_name str
-    product_sub_category_id int
-    product_sub_category_name str
-    product_category_id int
-    product_category_name str
-    product_price float
-    product_brand_name str
-    product_manufacturer_name str
-    retail_business_type str
-    store_id str
-    store_name str
-    store_type str
-    supplier_id str
-    supplier_name str
-    product_uom_size int
-    quantity int
-    total_amount_no_tax float
-    total_amount float
-    final_amount_no_tax float
-    final_amount float
-    row_num_transaction_id int
-    sale_bill_time date
-    posting_time date
-    staff_id str
-    staff_name str
-    payment_method_id int
-    payment_method_name str
-    payment_supplier_id int
-    payment_supplier_name str
-    is_passive_capture int
-    order_no str
-    bill_amount float
-    voucher_amount float
-    customer_id int
-    customer_phone str
-    external_order_id str
-    dom_created_at date
-    partner_store str
-    user_name str
-    customer_code str
-    channel_name str
-    rating int
-    comment str
-    problem_label_by_llm str
-    delivery_created_time date
-    delivery_driver_booked_time date
-    delivery_picked_time date
-    delivery_canceled_time date
-    delivery_completed_time date
-    delivery_status str
-    delivery_partial_completed_time date
-    delivery_store_delivered_time date
-    order_id int
-    purchase_price_without_tax float
-    purchase_price_with_tax float
-    order_cancel_reason str
-    promotion_id_arr list
-    promotion_name_arr list
-    voucher_code_arr list
-    voucher_name_arr list
-    number_of_line_item int
-    total_voucher_amount float
-    capture_method str
-    customer_gender str
-    customer_age_range str
-    customer_nationality str
-    synced_sap_time date
-    refund_transaction_id str
-    product_uom_id int
-    transaction_type str
-    delivery_note str
-    short_order_id str
-    output_vat_code str
-    transaction_7now_source str
-    put_in_cart_order int
-    feedback_at date
-""")
+PRODUCT_FACT = {
+    "transaction_id": "str",
+    "product_id": "str",
+    "report_date": "date",
+    "transaction_time": "date",
+    "product_name": "str",
+    "product_uom": "str",
+    "product_group_id": "int",
+    "product_group_name": "str",
+    "product_sub_category_id": "int",
+    "product_sub_category_name": "str",
+    "product_category_id": "int",
+    "product_category_name": "str",
+    "product_price": "float",
+    "product_brand_name": "str",
+    "product_manufacturer_name": "str",
+    "retail_business_type": "str",
+    "store_id": "str",
+    "store_name": "str",
+    "store_type": "str",
+    "supplier_id": "str",
+    "supplier_name": "str",
+    "product_uom_size": "int",
+    "quantity": "int",
+    "total_amount_no_tax": "float",
+    "total_amount": "float",
+    "final_amount_no_tax": "float",
+    "final_amount": "float",
+    "row_num_transaction_id": "int",
+    "sale_bill_time": "date",
+    "posting_time": "date",
+    "staff_id": "str",
+    "staff_name": "str",
+    "payment_method_id": "int",
+    "payment_method_name": "str",
+    "payment_supplier_id": "int",
+    "payment_supplier_name": "str",
+    "is_passive_capture": "int",
+    "order_no": "str",
+    "bill_amount": "float",
+    "voucher_amount": "float",
+    "customer_id": "int",
+    "customer_phone": "str",
+    "external_order_id": "str",
+    "dom_created_at": "date",
+    "partner_store": "str",
+    "user_name": "str",
+    "customer_code": "str",
+    "channel_name": "str",
+    "rating": "int",
+    "comment": "str",
+    "problem_label_by_llm": "str",
+    "delivery_created_time": "date",
+    "delivery_driver_booked_time": "date",
+    "delivery_picked_time": "date",
+    "delivery_canceled_time": "date",
+    "delivery_completed_time": "date",
+    "delivery_status": "str",
+    "delivery_partial_completed_time": "date",
+    "delivery_store_delivered_time": "date",
+    "order_id": "int",
+    "purchase_price_without_tax": "float",
+    "purchase_price_with_tax": "float",
+    "order_cancel_reason": "str",
+    "promotion_id_arr": "list",
+    "promotion_name_arr": "list",
+    "voucher_code_arr": "list",
+    "voucher_name_arr": "list",
+    "number_of_line_item": "int",
+    "total_voucher_amount": "float",
+    "capture_method": "str",
+    "customer_gender": "str",
+    "customer_age_range": "str",
+    "customer_nationality": "str",
+    "synced_sap_time": "date",
+    "refund_transaction_id": "str",
+    "product_uom_id": "int",
+    "transaction_type": "str",
+    "delivery_note": "str",
+    "short_order_id": "str",
+    "output_vat_code": "str",
+    "transaction_7now_source": "str",
+    "put_in_cart_order": "int",
+    "feedback_at": "date",
+}
 
 # ---- fixed values: payment-service fact, one row per service item --------------------------------
-SERVICE_FACT = contract("""
-    report_date date
-    transaction_id str
-    transaction_time date
-    posting_time date
-    store_id str
-    store_name str
-    movement_type int
-    has_invoice bool
-    customer_age_range str
-    customer_nationality str
-    customer_gender str
-    edc_type int
-    cash int
-    store_type str
-    service_name str
-    amount_before_vat int
-    amount_vat int
-    total_amount_without_promotion int
-    staff_id str
-    staff_name str
-    pos_id str
-    payment_method int
-    payment_method_value int
-    transaction_record_start_time date
-    transaction_record_end_time date
-    promotion_total_amount int
-    total_product_promotion_amount_without_tax int
-    total_voucher_promotion_amount_without_tax int
-    total_bill_promotion_amount_without_tax int
-    service_fee int
-    customer_service_fee int
-    skip_validate_over_50_percent bool
-    skip_validate_over_50_percent_by_int int
-    receivable_amount int
-    pre_paid bool
-    synced_sap_status str
-    synced_sap_time date
-    order_no str
-    service_id str
-    provider_id str
-    customer_id str
-    order_type str
-    product_code str
-    product_name str
-    product_uom_id str
-    supplier_code str
-    supplier_name str
-    quantity int
-    purchase_price_with_tax int
-    purchase_price_without_tax int
-    total_amount int
-    retail_business_type str
-    commission_on_vnd int
-    total_commission int
-""")
+SERVICE_FACT = {
+    "report_date": "date",
+    "transaction_id": "str",
+    "transaction_time": "date",
+    "posting_time": "date",
+    "store_id": "str",
+    "store_name": "str",
+    "movement_type": "int",
+    "has_invoice": "bool",
+    "customer_age_range": "str",
+    "customer_nationality": "str",
+    "customer_gender": "str",
+    "edc_type": "int",
+    "cash": "int",
+    "store_type": "str",
+    "service_name": "str",
+    "amount_before_vat": "int",
+    "amount_vat": "int",
+    "total_amount_without_promotion": "int",
+    "staff_id": "str",
+    "staff_name": "str",
+    "pos_id": "str",
+    "payment_method": "int",
+    "payment_method_value": "int",
+    "transaction_record_start_time": "date",
+    "transaction_record_end_time": "date",
+    "promotion_total_amount": "int",
+    "total_product_promotion_amount_without_tax": "int",
+    "total_voucher_promotion_amount_without_tax": "int",
+    "total_bill_promotion_amount_without_tax": "int",
+    "service_fee": "int",
+    "customer_service_fee": "int",
+    "skip_validate_over_50_percent": "bool",
+    "skip_validate_over_50_percent_by_int": "int",
+    "receivable_amount": "int",
+    "pre_paid": "bool",
+    "synced_sap_status": "str",
+    "synced_sap_time": "date",
+    "order_no": "str",
+    "service_id": "str",
+    "provider_id": "str",
+    "customer_id": "str",
+    "order_type": "str",
+    "product_code": "str",
+    "product_name": "str",
+    "product_uom_id": "str",
+    "supplier_code": "str",
+    "supplier_name": "str",
+    "quantity": "int",
+    "purchase_price_with_tax": "int",
+    "purchase_price_without_tax": "int",
+    "total_amount": "int",
+    "retail_business_type": "str",
+    "commission_on_vnd": "int",
+    "total_commission": "int",
+}
 
 # ---- fixed values: nested document types ----------------------------------------------------------
 SALE_ITEMS = """array<struct<
@@ -203,43 +196,43 @@ STREAM_ENVELOPE = """struct<
                 retail_business_type: string, supplier_code: string, supplier_name: string>>>>>>"""
 
 # ---- fixed values: columns of the realtime fact ---------------------------------------------------
-LIVE_FACT = contract("""
-    transaction_id str
-    product_id str
-    report_date day
-    transaction_time date
-    sale_bill_time date
-    posting_time date
-    store_id str
-    store_name str
-    staff_id str
-    staff_name str
-    payment_method_id int
-    product_name str
-    product_uom str
-    product_uom_id int
-    product_group_id int
-    product_group_name str
-    product_sub_category_id int
-    product_sub_category_name str
-    product_category_id int
-    product_category_name str
-    retail_business_type str
-    supplier_id str
-    supplier_name str
-    product_uom_size int
-    quantity int
-    product_price float
-    total_amount float
-    total_amount_no_tax float
-    final_amount float
-    final_amount_no_tax float
-    purchase_price_with_tax float
-    purchase_price_without_tax float
-    customer_gender str
-    transaction_type str
-    delivery_status str
-""")
+LIVE_FACT = {
+    "transaction_id": "str",
+    "product_id": "str",
+    "report_date": "day",
+    "transaction_time": "date",
+    "sale_bill_time": "date",
+    "posting_time": "date",
+    "store_id": "str",
+    "store_name": "str",
+    "staff_id": "str",
+    "staff_name": "str",
+    "payment_method_id": "int",
+    "product_name": "str",
+    "product_uom": "str",
+    "product_uom_id": "int",
+    "product_group_id": "int",
+    "product_group_name": "str",
+    "product_sub_category_id": "int",
+    "product_sub_category_name": "str",
+    "product_category_id": "int",
+    "product_category_name": "str",
+    "retail_business_type": "str",
+    "supplier_id": "str",
+    "supplier_name": "str",
+    "product_uom_size": "int",
+    "quantity": "int",
+    "product_price": "float",
+    "total_amount": "float",
+    "total_amount_no_tax": "float",
+    "final_amount": "float",
+    "final_amount_no_tax": "float",
+    "purchase_price_with_tax": "float",
+    "purchase_price_without_tax": "float",
+    "customer_gender": "str",
+    "transaction_type": "str",
+    "delivery_status": "str",
+}
 
 LIVE_KEY = ("transaction_id", "product_id", "product_uom_id")
 

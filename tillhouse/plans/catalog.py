@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -390,6 +390,29 @@ def backfill_equals_daily(lake):
     return read_slices(lake.spark, path, daily.schema).select("report_date", "bills", "customers", "amount")
 
 
+@query
+def daily_run_fact(lake):
+    """The product run over every day of the data, then one of its days again; the fact as its slices hold it.
+
+    Some bills have no items and so no amount, which these runs let pass.
+    """
+    run = runs.ProductRun(lake, scratch_path(lake.spark, "daily-run"), runs.BLOCKING_CHECKS[:3])
+    lo, hi = (moment.date() for moment in lake.span)
+    days = [lo + timedelta(days=n) for n in range(-1, (hi - lo).days + 2)]
+    for part in (days, days[100:101]):
+        run.run(part)
+    return run.fact().select(*PRODUCT_FACT)
+
+
+@query
+def bad_documents(lake):
+    """Bills with a cash amount that is no number, from a collection without one of the tenders."""
+    docs = lake.landing.bill_heads().drop("cashAtBank").withColumn(
+        "cash", F.when(F.col("customerGender") == 1, "n/a").otherwise(F.col("cash").cast("string")))
+    return lines.bill_header(docs, is_return=False).select("transaction_id", "cash", "voucher", "receivable_amount",
+                                                           "cash_at_bank", "bill_amount")
+
+
 def _run_log(lake):
     """A run log in the shape runs write it: one step per order, failed where the order is pending."""
     k = F.col("o_orderkey")

@@ -37,12 +37,16 @@ class Lakehouse:
         lo, hi = self.span
         return [f"{n // 12:04d}-{n % 12 + 1:02d}" for n in range(lo.year * 12 + lo.month - 1, hi.year * 12 + hi.month)]
 
-    def stored(self, name: str, build, partition: str) -> DataFrame:
-        """A mart as a table in the shared folder: readers scan it instead of repeating the joins behind it."""
+    def stored(self, name: str, build, partition: str | None = None) -> DataFrame:
+        """A table in the shared folder, written once per application and complete once Spark has marked it so:
+        readers scan it instead of repeating the joins behind it."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in _stored or not exists(self.spark, _stored[key][0]):
+        if key not in _stored or not exists(self.spark, f"{_stored[key][0]}/_SUCCESS"):
             frame, path = build(), scratch_path(self.spark, name)
-            frame.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
+            if partition:
+                frame.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
+            else:
+                frame.write.parquet(path)
             _stored[key] = path, frame.schema
         path, schema = _stored[key]
         return self.spark.read.schema(schema).parquet(path).select(*schema.names)
@@ -56,14 +60,14 @@ class Lakehouse:
 
     def deliveries(self) -> DataFrame:
         l = self.landing
-        return lines.deliveries(l.delivery_orders(), l.delivery_order_audits(), l.users(), l.partner_store(),
-                                l.partner_sources())
+        return self.stored("deliveries", lambda: lines.deliveries(
+            l.delivery_orders(), l.delivery_order_audits(), l.users(), l.partner_store(), l.partner_sources()))
 
     def transactions(self) -> DataFrame:
-        return lines.transactions(self.landing.sale_transactions(), self.landing.users())
+        return self.stored("transactions", lambda: lines.transactions(self.landing.sale_transactions(), self.landing.users()))
 
     def points(self) -> DataFrame:
-        return lines.point_histories(self.landing.point_histories(), self.landing.users())
+        return self.stored("points", lambda: lines.point_histories(self.landing.point_histories(), self.landing.users()))
 
     def products(self) -> DataFrame:
         return scd2_initial(lines.product_dim(self.landing.product_uom_upc()))
@@ -95,7 +99,8 @@ class Lakehouse:
         return facts.cart_positions(self.landing.delivery_orders(), self.landing.delivery_order_details())
 
     def canceled(self) -> DataFrame:
-        keys = self.bill_heads().select("transaction_id", "order_no")
+        returns = lines.bill_header(self.landing.return_heads(), is_return=True)
+        keys = self.bill_heads().select("transaction_id", "order_no").unionByName(returns.select("transaction_id", "order_no"))
         return facts.canceled_orders(self.deliveries(), keys, self.landing.delivery_order_details(), self.products(),
                                      self.span)
 

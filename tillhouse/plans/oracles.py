@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import re
 
+from tillhouse.functions.contracts import PRODUCT_FACT, SERVICE_FACT
+
 MONEY = "decimal(18,6)"
 
 
@@ -232,7 +234,6 @@ CTES["canceled"] = f"""SELECT d.*, CAST(d.dom_created_at AS DATE) AS report_date
     WHERE d.status IN (5, 13) AND NOT EXISTS (SELECT 1 FROM heads h WHERE h.transaction_id = d.transaction_id)
     AND NOT EXISTS (SELECT 1 FROM heads h WHERE h.order_no = d.order_no)"""
 
-_fact_types = """transaction_id str,product_id str,report_date day,transaction_time date,product_name str,product_uom str,product_group_id int,product_group_name str,product_sub_category_id int,product_sub_category_name str,product_category_id int,product_category_name str,product_price float,product_brand_name str,product_manufacturer_name str,retail_business_type str,store_id str,store_name str,store_type str,supplier_id str,supplier_name str,product_uom_size int,quantity int,total_amount_no_tax float,total_amount float,final_amount_no_tax float,final_amount float,row_num_transaction_id int,sale_bill_time date,posting_time date,staff_id str,staff_name str,payment_method_id int,payment_method_name str,payment_supplier_id int,payment_supplier_name str,is_passive_capture int,order_no str,bill_amount float,voucher_amount float,customer_id int,customer_phone str,external_order_id str,dom_created_at date,partner_store str,user_name str,customer_code str,channel_name str,rating int,comment str,problem_label_by_llm str,delivery_created_time date,delivery_driver_booked_time date,delivery_picked_time date,delivery_canceled_time date,delivery_completed_time date,delivery_status str,delivery_partial_completed_time date,delivery_store_delivered_time date,order_id int,purchase_price_without_tax float,purchase_price_with_tax float,order_cancel_reason str,promotion_id_arr str,promotion_name_arr str,voucher_code_arr str,voucher_name_arr str,number_of_line_item int,total_voucher_amount float,capture_method str,customer_gender str,customer_age_range str,customer_nationality str,synced_sap_time date,refund_transaction_id str,product_uom_id int,transaction_type str,delivery_note str,short_order_id str,output_vat_code str,transaction_7now_source str,put_in_cart_order int,feedback_at date"""
 _sql_type = {"str": "VARCHAR", "int": "BIGINT", "float": "DOUBLE", "date": "TIMESTAMP", "day": "DATE", "bool": "BOOLEAN"}
 
 
@@ -244,7 +245,8 @@ def _shape(tokens: list[tuple[str, str]], given: dict[str, str], doubles: set[st
     return ", ".join(one(n, t) for n, t in tokens)
 
 
-_fact = [tuple(x.split()) for x in _fact_types.split(",")]
+# The contract's names and order; in the compared output a day is a date and a list is joined text.
+_fact = [(name, "day" if name == "report_date" else "str" if token == "list" else token) for name, token in PRODUCT_FACT.items()]
 _nothing = {"problem_label_by_llm": "NULL", "feedback_at": "TIMESTAMP '1971-01-01'", "transaction_7now_source": "''"}
 _total_of = {n: "total_price_amount" for n in ("final_amount", "final_amount_no_tax", "total_amount", "total_amount_no_tax", "bill_amount")}
 _absent = {n: "NULL" for n in (
@@ -307,8 +309,7 @@ CTES["service"] = f"""SELECT 'S' || k || '-' || replace({_svc}, ' ', '') AS tran
     CASE WHEN NOT {_bill} THEN l_extendedprice * 0.63::DOUBLE END AS purchase_price_without_tax, l_extendedprice AS total_amount,
     'RBT' || (l_partkey % 3) AS retail_business_type, l_discount * 100 AS commission_on_vnd, l_extendedprice * l_discount AS total_commission
     FROM lineitem JOIN oc ON l_orderkey = k"""
-_svc_types = """report_date day,transaction_id str,transaction_time date,posting_time date,store_id str,store_name str,movement_type int,has_invoice bool,customer_age_range str,customer_nationality str,customer_gender str,edc_type int,cash int,store_type str,service_name str,amount_before_vat int,amount_vat int,total_amount_without_promotion int,staff_id str,staff_name str,pos_id str,payment_method int,payment_method_value int,transaction_record_start_time date,transaction_record_end_time date,promotion_total_amount int,total_product_promotion_amount_without_tax int,total_voucher_promotion_amount_without_tax int,total_bill_promotion_amount_without_tax int,service_fee int,customer_service_fee int,skip_validate_over_50_percent bool,skip_validate_over_50_percent_by_int int,receivable_amount int,pre_paid bool,synced_sap_status str,synced_sap_time date,order_no str,service_id str,provider_id str,customer_id str,order_type str,product_code str,product_name str,product_uom_id str,supplier_code str,supplier_name str,quantity int,purchase_price_with_tax int,purchase_price_without_tax int,total_amount int,retail_business_type str,commission_on_vnd int,total_commission int"""
-_svc_tokens = [tuple(x.split()) for x in _svc_types.split(",")]
+_svc_tokens = [(name, "day" if name == "report_date" else token) for name, token in SERVICE_FACT.items()]
 CTES["service_fact"] = f"SELECT {_shape(_svc_tokens, {}, {n for n, t in _svc_tokens if t == 'int'})} FROM service"
 _svc_mart = ("report_date, service_name, provider_id, order_type, store_id, store_name, staff_id, payment_method, transaction_id, "
              "product_code, product_name, quantity, total_amount, amount_before_vat, amount_vat, total_commission, commission_on_vnd, "
@@ -592,6 +593,11 @@ _q["dash_realtime"] = _live(["revenue", "transactions", "aov"], ["store_id", "st
 _q["dash_realtime_category"] = _live(["revenue", "units", "lines"], ["product_category_name"])
 _q["dash_realtime_hour"] = _live(["revenue", "transactions"], ["hour"], "(SELECT *, date_trunc('hour', transaction_time) AS hour FROM recent)")
 _q["stream_conform"] = "SELECT * FROM messages"
+_q["daily_run_fact"] = _q["fact_product"]
+_q["bad_documents"] = """SELECT transaction_id, cash, voucher, receivable_amount, 0::DOUBLE AS cash_at_bank, cash + receivable_amount AS bill_amount
+    FROM (SELECT 'T' || k AS transaction_id, CASE WHEN pay = 0 AND c_custkey % 3 <> 1 THEN o_totalprice ELSE 0 END AS cash,
+        coalesce(CASE WHEN pay = 2 THEN o_totalprice END, 0) AS voucher, coalesce(CASE WHEN pay = 1 THEN o_totalprice END, 0) AS receivable_amount
+        FROM billed)"""
 _q["stream_upsert"] = "SELECT * FROM live"
 _q["stream_restart"] = _q["stream_upsert"]
 # what arrived later is the corrected message; within one arrival the later event time wins

@@ -175,6 +175,11 @@ class Landing:
         """The bills without their items, for what needs bill-level fields only."""
         return self._bill_header().drop("o_orderkey")
 
+    def return_heads(self) -> DataFrame:
+        """The return bills without their items: orders with a returned line."""
+        returned = self.raw("lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+        return self._bill_header().selectExpr(*RETURN_HEADER).join(returned, "o_orderkey", "left_semi").drop("o_orderkey")
+
     def bill_promotions(self) -> DataFrame:
         """Ids and promotions of the bills; no line is read for it."""
         return self.billed_orders().selectExpr("concat('T', o_orderkey) as _id", f"{PROMOTIONS} as transactionPromotions")
