@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tillhouse.functions.calendar import RunWindow
-from tillhouse.plans import metrics
+from tillhouse.functions.contracts import PRODUCT_FACT
+from tillhouse.plans import metrics, runs
 from tillhouse.plans.catalog import registered
 from tillhouse.plans.lakehouse import Lakehouse
 from tillhouse.plans.oracles import ORACLES
@@ -95,6 +96,21 @@ def test_lines_fold_per_product_before_the_star_join(spark, name):
     assert re.search(r"Join.*HashAggregate\(keys=\[product_id", text, re.S)
 
 
+def test_product_run_writes_checked_slices_and_can_be_repeated(spark, tmp_path):
+    lake = Lakehouse(spark, SF)
+    fact = lake.product_fact()
+    days = [r.report_date for r in fact.select("report_date").distinct().orderBy("report_date").limit(3).collect()]
+    run = runs.ProductRun(lake, str(tmp_path), runs.BLOCKING_CHECKS[:3])
+    for part in (days, days[1:2]):
+        run.run(part)
+    key = lambda df: sorted(map(str, df.select(*PRODUCT_FACT).drop("feedback_at").collect()))
+    assert key(run.fact()) == key(fact.where(F.col("report_date").isin(days)))
+    assert run.fact().where("created_by <> 'eod_product' or created_at is null").count() == 0
+    assert run.daily_mart().count() > 0
+    assert sorted((r.step, r.status) for r in run.log().collect()) == sorted(
+        [(step, "Succeeded") for step in ("gold", "gate", "mart")] * 2)
+
+
 def test_slicers(spark):
     mart = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "channel string, n int")
     count = lambda where: metrics.slice_rows(mart, where).count()

@@ -593,7 +593,6 @@ _q["dash_realtime"] = _live(["revenue", "transactions", "aov"], ["store_id", "st
 _q["dash_realtime_category"] = _live(["revenue", "units", "lines"], ["product_category_name"])
 _q["dash_realtime_hour"] = _live(["revenue", "transactions"], ["hour"], "(SELECT *, date_trunc('hour', transaction_time) AS hour FROM recent)")
 _q["stream_conform"] = "SELECT * FROM messages"
-_q["daily_run_fact"] = _q["fact_product"]
 _q["bad_documents"] = """SELECT transaction_id, cash, voucher, receivable_amount, 0::DOUBLE AS cash_at_bank, cash + receivable_amount AS bill_amount
     FROM (SELECT 'T' || k AS transaction_id, CASE WHEN pay = 0 AND c_custkey % 3 <> 1 THEN o_totalprice ELSE 0 END AS cash,
         coalesce(CASE WHEN pay = 2 THEN o_totalprice END, 0) AS voucher, coalesce(CASE WHEN pay = 1 THEN o_totalprice END, 0) AS receivable_amount
