@@ -93,15 +93,16 @@ def fingerprint_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str
     halves = mine.groupBy("id").agg(F.max(half).alias("half"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     follow = stored(following(halves, parts), "follow-ids")
-    # texts and sketches are dealt by id once, for both of their uses
-    mine = with_sketch(mine, "body", "sketch").repartition("id")
+    # texts and sketches are dealt by id once, for both of their uses; a key that is never null lets plain equality do
+    key = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
+    mine = with_sketch(mine.withColumn("key", key("id")), "body", "sketch").repartition("key")
     # of the next text only the longest start that a text of the asking id needs travels on
-    given = (mine.groupBy("id").agg(F.max(F.struct("body", "sketch")).alias("given"))
-             .join(follow.select(F.col("id").alias("asker"), F.col("half").alias("most"), "next_id"),
-                   F.col("id").eqNullSafe(F.col("next_id")))
+    given = (mine.groupBy("key").agg(F.max(F.struct("body", "sketch")).alias("given"))
+             .join(follow.select(key("id").alias("asker"), F.col("half").alias("most"), key("next_id").alias("next_key")),
+                   F.col("key") == F.col("next_key"))
              .select("asker", F.substring("given.body", F.lit(1), F.col("most")).alias("next_body"),
                      F.col("given.sketch").alias("next_sketch")))
-    both = (mine.join(given, F.col("id").eqNullSafe(F.col("asker")))
+    both = (mine.join(given, F.col("key") == F.col("asker"))
             .select("id", F.length("body").cast("long").alias("n_chars"), "sketch", "next_sketch", F.concat(
                 F.substring("body", F.lit(1), F.length("body") - half),
                 F.substring("next_body", F.lit(1), half)).alias("edited")))
