@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillhouse.llm.common import documents
 from tillhouse.llm.fingerprints import fingerprint_documents
 from tillhouse.llm.licenses import scan_licenses
-from tillhouse.llm.linededup import dedup_lines
+from tillhouse.llm.linededup import dedup_lines, dedup_passages
 from tillhouse.llm.lm import score_texts
 from tillhouse.llm.mixing import mix
 from tillhouse.llm.packing import pack
@@ -44,6 +44,13 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         ",").alias("removed_spans")))
 
 
+def op5_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (dedup_passages(documents(spark, sf_dir))
+            .select("doc_id", "text", F.col("removed.lines").alias("n_removed_lines"), F.array_join(F.transform(
+                "removed.spans", lambda s: F.concat(s.line.cast("string"), F.lit("+"), s.n_lines.cast("string"))),
+                ",").alias("removed_spans")))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
@@ -70,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_document_fingerprints": op4_document_fingerprints,
     "op5_line_dedup": op5_line_dedup,
+    "op5_passage_dedup": op5_passage_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
