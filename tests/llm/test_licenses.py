@@ -53,3 +53,35 @@ def test_job(spark):
     got = scan_licenses(frame(spark, rows).selectExpr("*", "'z' as license")).collect()
     assert sorted(((r.doc_id or 0, r.license, r.start_char) for r in got)) == [(0, "MIT", 2), (50, "CC-BY-NC-4.0", 0), (51, "MIT", 18)]
     assert scan_licenses(frame(spark, rows).limit(0)).count() == 0
+
+
+def names(text):
+    return [m[0] for m in found(text)]
+
+
+def test_near_misses_are_not_another_license():
+    assert names("Licensed under CC BY 4.0.") == ["CC-BY-4.0-short"]
+    assert names("Licensed under CC BY-NC 4.0.") == ["CC-BY-NC-4.0"]
+    assert names("Licensed under CC BY-NC-SA 4.0.") == ["CC-BY-NC-SA-4.0"]
+    assert names("Licensed under CC BY 3.0.") == []
+    assert names("This work is licensed under the GNU General Public License, version 2.") == ["GPL-2.0"]
+    assert names("This work is licensed under the GNU General Public License, version 4.") == []
+    assert names("This work is licensed under the GNU Lesser General Public License, version 2.") == []
+    assert names("Licensed under the Apache License, Version 1.1.") == []
+    assert names("Released under the XYZ License.") == []
+    assert names("Distributed under the MIT License.") == ["MIT"]
+    sa = "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."
+    assert names(sa) == ["CC-BY-SA-4.0"] and names(sa.replace("-ShareAlike", "-NoDerivatives")) == []
+
+
+def test_each_template_stands_for_itself_alone_and_beside_others():
+    for name, template in TEMPLATES.items():
+        assert names("Some prose.\n" + template + "\nand more") == [name]
+    both = TEMPLATES["BSD-2-Clause"] + " and " + TEMPLATES["MIT"] + " " + TEMPLATES["GPL-2.0-header"]
+    assert names(both) == ["BSD-2-Clause", "MIT", "GPL-2.0-header"]
+
+
+def test_edited_headers_keep_their_version():
+    for name in ("GPL-2.0-header", "GPL-3.0-header", "LGPL-2.1-header", "LGPL-3.0-header", "AGPL-3.0-header", "BSD-3-Clause"):
+        edited = TEMPLATES[name].replace("distributed in the hope", "given in the hope").replace("this software", "the work")
+        assert names("x " + edited) == [name]

@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,11 @@ K = 3
 WINDOW = 2
 BAND = 8               # of long templates; short ones have a narrower band, so that repeats stay apart
 MIN_COVERAGE = 0.7
+SHORT = 16             # tokens; of templates up to here every naming token is needed
+FEW = 3                # as many tokens that tell a longer template from another are all needed
+# Words of short templates that name no license.
+GENERIC = frozenset("a an as code dedicated distributed domain file in international is it license licensed of "
+                    "released software source subject terms the this to under universal version work".split())
 
 # License notices and texts, as their publishers word them.
 TEMPLATES = {
@@ -33,15 +38,49 @@ TEMPLATES = {
         "required by applicable law or agreed to in writing, software distributed under the License is distributed on "
         'an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for '
         "the specific language governing permissions and limitations under the License."),
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "AGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT "
+        "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
+        "the GNU Affero General Public License for more details."),
     "BSD-2-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
         "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
         "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
         "other materials provided with the distribution."),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+        "other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of "
+        "its contributors may be used to endorse or promote products derived from this software without specific prior "
+        "written permission."),
+    "CC0-1.0": "This work is dedicated to the public domain under CC0 1.0 Universal.",
+    "CC0-1.0-short": "Licensed under CC0 1.0.",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-NC-4.0-long": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
+        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+        "GNU General Public License for more details."),
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0-header": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
@@ -52,6 +91,19 @@ TEMPLATES = {
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "LGPL-2.1-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version. This library is distributed in the hope that it will be useful, but "
+        "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+        "PURPOSE. See the GNU Lesser General Public License for more details."),
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT "
+        "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
+        "the GNU Lesser General Public License for more details."),
     "MIT": "Released under the MIT License.",
     "MIT-text": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -63,6 +115,10 @@ TEMPLATES = {
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means."),
 }
 
 SCHEMA = ("doc_id long, license string, coverage double, matched_tokens int, template_tokens int, start_char int, "
@@ -95,6 +151,31 @@ class Index:
                 postings[int(codes[at])].append((t, int(at)))
         self.postings = dict(postings)
         self.known = np.array(sorted(postings), dtype=np.int64)
+        # places of a short template's naming tokens; sets of places of a longer one that tell it from each like it
+        self.naming = [[i for i, w in enumerate(words[n]) if w.decode() not in GENERIC] if len(words[n]) <= SHORT else []
+                       for n in self.names]
+        self.telling = [[] if len(tokens) <= SHORT else self._telling(t) for t, tokens in enumerate(self.tokens)]
+
+    def _telling(self, t: int) -> list[set[int]]:
+        tokens, sets = self.tokens[t], []
+        for u, other in enumerate(self.tokens):
+            if u == t or len(other) <= SHORT:
+                continue
+            covered = {i for i, _ in align(tokens, other, 0, max(len(tokens), len(other)))}
+            missing = set(range(len(tokens))) - covered
+            if missing and len(covered) >= MIN_COVERAGE * len(tokens) / 2:
+                sets.append(missing)
+        return sets
+
+    def tells(self, t: int, pairs: list[tuple[int, int]]) -> bool:
+        """Whether a match has what names its template: in a short one all naming tokens, neighbours as neighbours; in a
+        longer one what each similar template lacks, all of few tokens or MIN_COVERAGE of more."""
+        at = dict(pairs)
+        naming = self.naming[t]
+        if any(i not in at for i in naming) or any(j == i + 1 and at[j] != at[i] + 1 for i, j in pairwise(naming)):
+            return False
+        return all(len(places & at.keys()) >= (1 if len(places) <= FEW else MIN_COVERAGE) * len(places)
+                   for places in self.telling[t])
 
     def codes(self, tokens: np.ndarray) -> np.ndarray:
         """One number per run of K known tokens, scrambled so that common words are not the least; else NEVER."""
@@ -181,20 +262,25 @@ def find_licenses(index: Index, text: bytes, min_coverage: float) -> list[tuple]
     found = []
     for t, diagonal in index.candidates(tokens):
         pairs = align(index.tokens[t], tokens, diagonal, index.bands[t])
-        if pairs and len(pairs) >= min_coverage * len(index.tokens[t]):
+        if pairs and len(pairs) >= min_coverage * len(index.tokens[t]) and index.tells(t, pairs):
             found.append((t, pairs))
     if not found:
         return []
-    # of overlapping matches with one template the longest stays
-    found.sort(key=lambda f: (-len(f[1]), f[0], f[1][0][1]))
-    taken: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    # of overlapping matches the one stays that has the most tokens, less those of template and text left unmatched
+    def worth(pairs: list[tuple[int, int]], t: int) -> int:
+        return 3 * len(pairs) - len(index.tokens[t]) - (pairs[-1][1] - pairs[0][1] + 1)
+
+    found.sort(key=lambda f: (-worth(f[1], f[0]), f[0], f[1][0][1]))
+    taken: list[tuple[int, int, int]] = []
     characters = [m.span() for m in TOKEN.finditer(text.decode())]
     out = []
     for t, pairs in found:
         first, last = pairs[0][1], pairs[-1][1]
-        if any(first <= b and a <= last for a, b in taken[t]):
+        # matches with different templates may touch: half of the shorter one must lie in the other
+        if any(first <= b and a <= last and (t == u or 2 * (min(b, last) - max(a, first) + 1) >= min(b - a, last - first) + 1)
+               for a, b, u in taken):
             continue
-        taken[t].append((first, last))
+        taken.append((first, last, t))
         spans: list[dict[str, int]] = []
         before = None
         for _, at in pairs:
@@ -213,7 +299,8 @@ def scan_licenses(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     """One row per match: doc_id, license, coverage (matched share of the template's tokens), matched_tokens,
     template_tokens, start_char, end_char, and spans of matched characters.
 
-    Null, empty and unlicensed texts give no rows. A text may match several templates, or one in several places.
+    Null, empty and unlicensed texts give no rows. A text may match several templates, or one in several places; of
+    matches that overlap the best one stays. A match must have the tokens that tell its license from others.
     Null ids and repeated rows give rows like any other; an empty table gives none. Other columns are ignored.
     """
     wanted = TEMPLATES if templates is None else templates
