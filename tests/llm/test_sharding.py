@@ -4,6 +4,7 @@ from collections import defaultdict
 
 from helpers import ODD, frame, sentences
 
+from tillhouse.llm import sharding
 from tillhouse.llm.sharding import best_fit_decreasing, least_capacity, shard
 
 
@@ -60,3 +61,22 @@ def test_fixed_capacity_and_empty(spark):
         fill[r.shard] += r.size
     assert sorted(fill.values()) == [8, 10, 10, 21] or max(v for v in fill.values() if v != 21) <= 10
     assert shard(docs.limit(0)).count() == 0
+
+
+def test_capacity_holds_for_many_small_groups_in_bundles(spark, monkeypatch):
+    # few bundles and a high share: as on large data, most groups are below the share and bundles above the capacity
+    monkeypatch.setattr(sharding, "BUNDLES", 4)
+    monkeypatch.setattr(sharding, "LARGE", 1 / 8)
+    rng = random.Random(7)
+    rows = [(i, f"{i} " + "x" * rng.randint(1, 60)) for i in range(1500)] + [(2000 + i, "copied text") for i in range(9)]
+    docs = frame(spark, rows)
+    for capacity in (150, 1_000, 20_000):
+        fill, places = defaultdict(int), defaultdict(set)
+        for r in shard(docs, shards=None, capacity=capacity).collect():
+            fill[r.shard] += r.size
+            places[r.text_crc32].add(r.shard)
+        total = sum(fill.values())
+        assert total == sum(len(t) + 1 for _, t in rows) and all(len(p) == 1 for p in places.values())
+        assert max(fill.values()) <= capacity and len(fill) <= 1.1 * total / capacity + 1
+    # a number of shards is packed as before
+    assert {r.shard for r in shard(docs).collect()} <= set(range(8))

@@ -4,9 +4,11 @@ A group is all documents of one text. Groups are sorted by size and each enters
 capacity is the least that still holds it, found in a balanced tree. With a fixed capacity the fewest shards are
 opened; with a fixed number of shards the least capacity that needs no more is searched.
 
-The packing itself is one driver pass over a bounded list: groups above a fixed share of all bytes one by one, at most
-1 / LARGE of them, and the others in BUNDLES bundles by text hash. So the list has the same length at any scale, and a
-bundle is as small a part of a shard at any scale.
+The packing itself is one driver pass: groups above a fixed share of all bytes one by one, at most 1 / LARGE of them,
+and the others in BUNDLES bundles by text hash. So for a number of shards the list has the same length at any scale, and
+a bundle is as small a part of a shard at any scale. With a capacity, groups above a share of it are packed one by one
+too, and bundles are made as many as keep them about such a share; one that comes out larger gives up its groups to be
+packed one by one. So no bundle is larger than that share, and the list grows with the number of shards.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from tillhouse.llm.common import numbered, stored
 
 LARGE = 1 / 16_384    # of all bytes: such groups are packed one by one
 BUNDLES = 16_384
+PART = 1 / 64         # of a given capacity: no bundle is larger
 SHARDS = 8
 LAW = "bytes"
 
@@ -77,9 +80,21 @@ def shard(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shards
     slim = stored(slim, "shard-docs")
     groups = stored(slim.groupBy("grp").agg(F.sum("size").alias("bytes")), "shard-groups")
     total = groups.agg(F.sum("bytes").alias("b")).first()["b"] or 0
-    large = F.col("bytes") > max(1, total * LARGE)
+    limit = max(1, total * LARGE)
+    n_bundles = BUNDLES
+    if capacity:
+        limit = min(limit, max(1, capacity * PART))
+        # half full on average, so that few exceed the share
+        n_bundles = max(BUNDLES, -(-2 * total // max(1, int(capacity * PART))))
+    in_bundle = F.pmod("grp", F.lit(n_bundles))
+    large = F.col("bytes") > limit
+    if capacity:
+        heavy = (groups.where(~large).groupBy(in_bundle.alias("h_item")).agg(F.sum("bytes").alias("h_bytes"))
+                 .where(F.col("h_bytes") > max(1, capacity * PART)).select("h_item"))
+        groups = groups.join(stored(heavy, "shard-heavy"), in_bundle == F.col("h_item"), "left")
+        large = large | F.col("h_item").isNotNull()
     # two texts of one hash stay together, which no law forbids
-    bundle = F.when(large, F.col("grp")).otherwise(F.pmod("grp", F.lit(BUNDLES)))
+    bundle = F.when(large, F.col("grp")).otherwise(in_bundle)
     items = (groups.groupBy(large.alias("large"), bundle.alias("item")).agg(F.sum("bytes").alias("bytes")).collect())
     items.sort(key=lambda r: (-r["bytes"], r["large"], r["item"]))
     sizes = [r["bytes"] for r in items]
@@ -91,7 +106,7 @@ def shard(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shards
     whole = plan.where("p_large").select(F.col("p_item").alias("w_item"), F.col("shard").alias("w_shard"))
     bundles = plan.where("not p_large").select("p_item", F.col("shard").alias("b_shard"))
     placed = (slim.join(whole, F.col("grp") == F.col("w_item"), "left")
-              .join(bundles, F.pmod("grp", F.lit(BUNDLES)) == F.col("p_item"), "left")
+              .join(bundles, in_bundle == F.col("p_item"), "left")
               .select("doc_id", "size", "text_crc32", F.coalesce("w_shard", "b_shard").alias("shard")))
     return numbered(stored(placed, "shard-placed"), ["shard"], "slot").select(
         "doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot",
