@@ -17,6 +17,7 @@ from tillhouse.llm.packing import pack
 from tillhouse.llm.quality import judge
 from tillhouse.llm.sharding import shard
 from tillhouse.llm.simhash import near_duplicates
+from tillhouse.llm.tokenalign import align_tokenizers
 from tillhouse.llm.toxicity import score_toxicity
 
 
@@ -71,6 +72,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir))
 
 
+def op11_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_lm_scoring": op2_lm_scoring,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
     "op10_license_scan": op10_license_scan,
+    "op11_align_tokenizers": op11_align_tokenizers,
 }
 
 ORACLES: dict[str, str] = {
