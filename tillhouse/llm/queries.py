@@ -15,6 +15,7 @@ from tillhouse.llm.lm import score_texts
 from tillhouse.llm.mixing import mix
 from tillhouse.llm.packing import pack
 from tillhouse.llm.quality import judge
+from tillhouse.llm.resampling import resample
 from tillhouse.llm.sharding import shard
 from tillhouse.llm.simhash import near_duplicates
 from tillhouse.llm.tokenalign import align_tokenizers
@@ -76,6 +77,10 @@ def op11_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokenizers(documents(spark, sf_dir))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_lm_scoring": op2_lm_scoring,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_license_scan": op10_license_scan,
     "op11_align_tokenizers": op11_align_tokenizers,
+    "op12_importance_resampling": op12_importance_resampling,
 }
 
 ORACLES: dict[str, str] = {
