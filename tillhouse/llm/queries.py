@@ -13,6 +13,7 @@ from tillhouse.llm.licenses import scan_licenses
 from tillhouse.llm.linededup import dedup_lines, dedup_passages
 from tillhouse.llm.lm import score_texts
 from tillhouse.llm.mixing import mix
+from tillhouse.llm.neighbours import nearest
 from tillhouse.llm.packing import pack
 from tillhouse.llm.quality import judge
 from tillhouse.llm.resampling import resample
@@ -81,6 +82,10 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_lm_scoring": op2_lm_scoring,
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_scan": op10_license_scan,
     "op11_align_tokenizers": op11_align_tokenizers,
     "op12_importance_resampling": op12_importance_resampling,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 ORACLES: dict[str, str] = {
@@ -162,4 +168,19 @@ ORACLES: dict[str, str] = {
                t.spans as removed_spans
         from documents d join t on d.doc_id is not distinct from t.doc_id
     """,
+    "op13_nearest_neighbours": r"""
+        with v as (
+          select row_number() over () as nth, vec_id, list_transform(embedding, lambda x: cast(x as double)) as e
+          from embeddings
+          where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+            and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        n as (select *, sqrt(list_dot_product(e, e)) as norm from v),
+        s as (
+          select q.nth, q.vec_id as query_id, c.vec_id, list_dot_product(q.e, c.e) / (q.norm * c.norm) as score
+          from n q join n c on q.vec_id % 50 = 0 and c.nth <> q.nth and len(c.e) = len(q.e)),
+        r as (
+          select *, cast(row_number() over (partition by nth order by score desc, vec_id nulls last) as integer) as rank
+          from s)
+        select query_id, rank, vec_id, score from r where rank <= 5
+    """,
 }
