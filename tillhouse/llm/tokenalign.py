@@ -5,7 +5,7 @@ each side holds the same bytes on both, so an array made beforehand from A-id to
 pair: such pairs are counted in vectors as long as the vocabulary, one per task. Only pairs of irregular groups, folded
 to the distinct ones of a block of documents, are counted by a shuffle and looked up by another.
 
-Texts are encoded once. The table that this writes holds, by block, the distinct pairs of each document with their links,
+Texts are encoded once, and each distinct word of a block once. The table that this writes holds, by block, the distinct pairs of each document with their links,
 and the pairs of the block with the number of its documents that hold them.
 """
 
@@ -14,7 +14,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+import re
 from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from tillhouse.llm.common import stored
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Bytes of text that are aligned, and looked up, together; a longer text is a block of its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 # Occurrence pairs that are written out at once; a group of more is folded to its distinct tokens first.
 EXPAND = 1 << 20
 # A pair that most blocks hold is looked up in this many places.
@@ -98,41 +100,85 @@ def _folded(keys: list[np.ndarray], numbers: list[np.ndarray]) -> tuple[np.ndarr
     return key[first], np.add.reduceat(number, first)
 
 
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places start, ..., start + size - 1 of every run, and which run each belongs to."""
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(sizes.sum()) - np.repeat(sizes.cumsum() - sizes, sizes) + starts[run], run
+
+
+class Words(NamedTuple):
+    """What distinct words give: by word whether both sides spell it, its counts, its groups as text; its links."""
+
+    whole: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    n_links: np.ndarray
+    groups: list[str]
+    fast: np.ndarray        # word * n_a + A-id, in order
+    fast_links: np.ndarray
+    pair: np.ndarray        # (word * n_a + A-id) * n_b + B-id, in order
+    pair_links: np.ndarray
+
+
+class Block(NamedTuple):
+    """The same by text."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    n_links: np.ndarray
+    groups_sha256: list[str]
+    fast: np.ndarray
+    fast_links: np.ndarray
+    pair: np.ndarray
+    pair_links: np.ndarray
+
+
 class Aligner:
-    """Tokens, groups and links of a block of texts, in arrays over the whole block."""
+    """Tokens, groups and links of a block of texts.
+
+    No token of either side holds a space after something that is no white space, so both sides cut there, and a text is
+    aligned word by word. A block encodes and aligns each of its distinct words once.
+    """
+
+    # a space between words: what stands before it is neither white space nor the sign that stands for a space
+    gap = re.compile(r"(?<=[^\s▁]) (?!\Z)")
+    odd = re.compile(r"(?:^|[\s▁]) | \Z")
 
     def __init__(self, a_path: str, b_path: str):
         self.encode_a, self.a_bytes = byte_level(a_path)
         self.encode_b, self.b_bytes = pieces(b_path)
+        if any(re.search(r"\S ", x.decode(errors="replace")) for x in self.a_bytes + self.b_bytes):
+            raise ValueError("a vocabulary whose tokens go on after a space is not aligned word by word")
         self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
         self.same = identity(self.a_bytes, self.b_bytes)
         self.n_a, self.n_b = len(self.a_bytes), len(self.b_bytes)
-        # what a token is written as, by what follows it: A inside and at the end of its side, then B likewise
-        self.written = np.array([f"{i}{end}" for n, ends in ((self.n_a, ",|"), (self.n_b, ",;")) for end in ends
-                                 for i in range(n)], dtype=object)
 
-    def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
+    def words_of(self, text: str | None) -> list[str]:
+        """Words of a text, each without the space before it."""
         if not text:
-            return [], []
-        a, b = self.encode_a(" " + text), self.encode_b(text)
-        raw = b" " + text.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
-            return [], []
-        return a, b
-
-    def block(self, texts: list[str | None]) -> dict[str, np.ndarray | list[str]]:
-        """n_a, n_b, n_groups, n_links, groups_sha256 by text; fast_* and pair_*: keys (text, id) with their links."""
-        both = [self.tokens(t) for t in texts]
-        n = len(texts)
-        n_a, n_b = (np.array([len(x[side]) for x in both], np.int64) for side in (0, 1))
-        a, b = (np.array([i for x in both for i in x[side]], np.int64) for side in (0, 1))
+            return []
+        return self.gap.split(text) if self.odd.search(text) else text.split(" ")
+
+    def words(self, words: list[str]) -> Words:
+        n = len(words)
+        sides = ([], [])
+        whole = np.ones(n, bool)
+        for i, word in enumerate(words):
+            a, b = self.encode_a(" " + word), self.encode_b(word)
+            raw = b" " + word.encode()
+            whole[i] = (b"".join(map(self.a_bytes.__getitem__, a)) == raw
+                        and b"".join(map(self.b_bytes.__getitem__, b)) == raw)
+            for side, ids in zip(sides, (a, b) if whole[i] else ((), ()), strict=True):
+                side.append(np.array(ids, np.int64))
+        n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in sides)
+        a, b = (np.concatenate(side or [np.empty(0, np.int64)]) for side in sides)
         if not len(a):
-            none = np.empty(0, np.int64)
-            zero = np.zeros(n, np.int64)
-            return {"n_a": zero, "n_b": zero, "n_groups": zero, "n_links": zero, "groups_sha256": [""] * n,
-                    "fast": none, "fast_links": none, "pair": none, "pair_links": none}
-        # offsets run on over the texts: both sides of a text have the same bytes
+            none, zero = np.empty(0, np.int64), np.zeros(n, np.int64)
+            return Words(whole, zero, zero, zero, zero, [""] * n, none, none, none, none)
+        # offsets run on over the words: both sides of a word have the same bytes
         a_end, b_end = self.a_length[a].cumsum(), self.b_length[b].cumsum()
         at = np.searchsorted(b_end, a_end)
         a_cut = b_end[at] == a_end
@@ -141,24 +187,22 @@ class Aligner:
         a_group, b_group = a_cut.cumsum() - a_cut, b_cut.cumsum() - b_cut
         a_size, b_size = np.bincount(a_group), np.bincount(b_group)
         a_first, b_first = a_size.cumsum() - a_size, b_size.cumsum() - b_size
-        of_text = np.repeat(np.arange(n), n_a)[a_first]
+        of_word = np.repeat(np.arange(n), n_a)[a_first]
         links = a_size * b_size
-        single = (links == 1)
+        single = links == 1
         single[single] = self.same[a[a_first[single]]] == b[b_first[single]]
-        fast_key = of_text[single] * self.n_a + a[a_first[single]]
-        pair, pair_links = self._pairs(a, b, np.flatnonzero(~single), a_first, b_first, a_size, b_size, of_text)
-        text_of, code = np.divmod(pair, self.n_a * self.n_b)
-        a_of, b_of = np.divmod(code, self.n_b)
-        known = self.same[a_of] == b_of
-        fast, fast_links = _folded([fast_key, text_of[known] * self.n_a + a_of[known]],
-                                   [np.ones(len(fast_key), np.int64), pair_links[known]])
-        return {"n_a": n_a, "n_b": n_b, "n_groups": np.bincount(of_text, minlength=n),
-                "n_links": np.add.reduceat(np.r_[links, 0], np.searchsorted(of_text, np.arange(n))) * (n_a > 0),
-                "groups_sha256": self._digests(a, b, a_group, b_group, a_cut, b_cut, a_size, b_size, n_a, n_b),
-                "fast": fast, "fast_links": fast_links, "pair": pair[~known], "pair_links": pair_links[~known]}
-
-    def _pairs(self, a, b, groups, a_first, b_first, a_size, b_size, of_text) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct (text, A, B) of some groups and the number of occurrence pairs of each."""
+        pair, pair_links = self._pairs(a, b, np.flatnonzero(~single), a_first, b_first, a_size, b_size, of_word)
+        head, b_of = np.divmod(pair, self.n_b)
+        known = self.same[head % self.n_a] == b_of
+        fast, fast_links = _folded([of_word[single] * self.n_a + a[a_first[single]], head[known]],
+                                   [np.ones(single.sum(), np.int64), pair_links[known]])
+        n_links = np.bincount(of_word, weights=links, minlength=n).astype(np.int64)
+        return Words(whole, n_a, n_b, np.bincount(of_word, minlength=n), n_links,
+                     self._written(a, b, a_group, b_group, a_cut, b_cut, a_size, b_size, n_a, n_b),
+                     fast, fast_links, pair[~known], pair_links[~known])
+
+    def _pairs(self, a, b, groups, a_first, b_first, a_size, b_size, of_word) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (word, A, B) of some groups and the number of occurrence pairs of each."""
         keys, numbers = [], []
         product = a_size[groups] * b_size[groups]
         huge = product > EXPAND
@@ -166,7 +210,7 @@ class Aligner:
             xs, x_n = np.unique(a[a_first[g]:a_first[g] + a_size[g]], return_counts=True)
             ys, y_n = np.unique(b[b_first[g]:b_first[g] + b_size[g]], return_counts=True)
             for x, times in zip(xs, x_n, strict=True):
-                keys.append((of_text[g] * self.n_a + x) * self.n_b + ys)
+                keys.append((of_word[g] * self.n_a + x) * self.n_b + ys)
                 numbers.append(times * y_n)
         groups, product = groups[~huge], product[~huge]
         upto = product.cumsum()
@@ -174,25 +218,48 @@ class Aligner:
         while start < len(groups):
             done = upto[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(upto, done + EXPAND, side="right")))
-            g, p = groups[start:stop], product[start:stop]
-            nth = np.arange(p.sum()) - np.repeat(p.cumsum() - p, p)
-            g = np.repeat(g, p)
+            nth, run = _spread(np.zeros(stop - start, np.int64), product[start:stop])
+            g = groups[start:stop][run]
             i, j = np.divmod(nth, b_size[g])
-            key, number = np.unique((of_text[g] * self.n_a + a[a_first[g] + i]) * self.n_b + b[b_first[g] + j],
+            key, number = np.unique((of_word[g] * self.n_a + a[a_first[g] + i]) * self.n_b + b[b_first[g] + j],
                                     return_counts=True)
             keys.append(key)
             numbers.append(number)
             start = stop
         return _folded(keys, numbers)
 
-    def _digests(self, a, b, a_group, b_group, a_cut, b_cut, a_size, b_size, n_a, n_b) -> list[str]:
-        """SHA-256 of `a1,a2|b1;a3|b2,b3` by text: each group's A tokens, then its B tokens."""
-        written = np.empty(len(a) + len(b), np.int64)
-        written[np.arange(len(a)) + (b_size.cumsum() - b_size)[a_group]] = a + a_cut * self.n_a
-        written[np.arange(len(b)) + a_size.cumsum()[b_group]] = 2 * self.n_a + b + b_cut * self.n_b
-        ends = (n_a + n_b).cumsum()
-        return [hashlib.sha256("".join(self.written[written[s:e]].tolist())[:-1].encode()).hexdigest() if e > s else ""
-                for s, e in zip(ends - n_a - n_b, ends, strict=True)]
+    def _written(self, a, b, a_group, b_group, a_cut, b_cut, a_size, b_size, n_a, n_b) -> list[str]:
+        """`a1,a2|b1;a3|b2,b3` by word: each group's A tokens, then its B tokens."""
+        ids, ends = np.empty(len(a) + len(b), np.int64), np.empty(len(a) + len(b), dtype="U1")
+        for tokens, before, group, cut, end in ((a, b_size.cumsum() - b_size, a_group, a_cut, "|"),
+                                                (b, a_size.cumsum(), b_group, b_cut, ";")):
+            place = np.arange(len(tokens)) + before[group]
+            ids[place], ends[place] = tokens, np.where(cut, end, ",")
+        parts = [f"{i}{end}" for i, end in zip(ids.tolist(), ends.tolist(), strict=True)]
+        stops = (n_a + n_b).cumsum().tolist()
+        return ["".join(parts[s:e])[:-1] for s, e in zip([0, *stops], stops, strict=False)]
+
+    def block(self, texts: list[str | None]) -> Block:
+        """Counts and digests by text, and its distinct links: fast by text * n_a + A, pair with B as well."""
+        index: dict[str, int] = {}
+        coded = [np.array([index.setdefault(w, len(index)) for w in self.words_of(t)], np.int64) for t in texts]
+        n, words = len(texts), self.words(list(index))
+        for i, codes in enumerate(coded):
+            if not words.whole[codes].all():
+                coded[i] = codes[:0]
+        of_text, code = np.repeat(np.arange(n), [len(c) for c in coded]), np.concatenate([*coded, np.empty(0, np.int64)])
+        count = lambda by_word: np.bincount(of_text, weights=by_word[code], minlength=n).astype(np.int64)
+        digests = [hashlib.sha256(";".join([words.groups[c] for c in codes.tolist()]).encode()).hexdigest()
+                   if len(codes) else "" for codes in coded]
+        held, times = np.unique(of_text * max(len(index), 1) + code, return_counts=True)
+        of_held, word = np.divmod(held, max(len(index), 1))
+        links = []
+        for keys, numbers, width in ((words.fast, words.fast_links, self.n_a),
+                                     (words.pair, words.pair_links, self.n_a * self.n_b)):
+            bounds = np.searchsorted(keys, np.arange(len(index) + 1) * width)
+            place, run = _spread(bounds[word], np.diff(bounds)[word])
+            links += _folded([of_held[run] * width + keys[place] % width], [times[run] * numbers[place]])
+        return Block(*(count(w) for w in words[1:5]), digests, *links)
 
 
 def _lists(keys: np.ndarray, numbers: np.ndarray, n: int, width: int) -> tuple[pa.Array, pa.Array]:
@@ -239,12 +306,12 @@ def encoded(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) -
             for start, stop in _blocks(batch):
                 n = stop - start
                 got = aligner.block(batch.column(1).slice(start, n).to_pylist())
-                vector += np.bincount(got["fast"] % aligner.n_a, minlength=aligner.n_a)
-                codes, in_docs = np.unique(got["pair"] % (aligner.n_a * aligner.n_b), return_counts=True)
+                vector += np.bincount(got.fast % aligner.n_a, minlength=aligner.n_a)
+                codes, in_docs = np.unique(got.pair % (aligner.n_a * aligner.n_b), return_counts=True)
                 columns = [pa.array([DOCUMENT] * n, pa.int32()), pa.array([block] * n, pa.int64()), ids.slice(start, n),
-                           *[pa.array(got[c], pa.int64()) for c in names[3:7]], pa.array(got["groups_sha256"], pa.string()),
-                           *_lists(got["fast"], got["fast_links"], n, aligner.n_a),
-                           *_lists(got["pair"], got["pair_links"], n, aligner.n_a * aligner.n_b)]
+                           *[pa.array(c, pa.int64()) for c in got[:4]], pa.array(got.groups_sha256, pa.string()),
+                           *_lists(got.fast, got.fast_links, n, aligner.n_a),
+                           *_lists(got.pair, got.pair_links, n, aligner.n_a * aligner.n_b)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
                 yield counts(block, id_type, codes=codes, in_docs=in_docs)
                 block += 1
