@@ -143,18 +143,19 @@ def _with_distance(rows: DataFrame, estimate: DataFrame, keys: Sequence[str]) ->
     return out.select(*rows.columns, d2.alias("d2"))
 
 
-def _nearest(rows: DataFrame, estimate: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of each group within the distance that holds SHARE of it."""
-    near = _with_distance(rows, estimate, keys).withColumn("bin", F.floor(F.log(F.col("d2") + 1e-9) * BINS).cast("int"))
-    bins = near.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("c"))
+def _nearest_moments(rows: DataFrame, estimate: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Moments of the rows of each group within the distance that holds SHARE of it.
+
+    Moments are summed by group and bin of the distance, where the rows lie; a group's few hundred bins are all that
+    meets afterwards, to be taken from the nearest on until they hold the share.
+    """
+    near = (_with_distance(rows, estimate, keys).where(F.col("d2").isNotNull())
+            .withColumn("bin", F.floor(F.log(F.col("d2") + 1e-9) * BINS).cast("int")))
+    bins = _moments(near, [*keys, "bin"])
     group = Window.partitionBy(*keys)
-    bins = (bins.withColumn("upto", F.sum("c").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("all", F.sum("c").over(group)).where(F.col("upto") >= F.col("all") * SHARE)
-            .groupBy(*[F.col(k).alias(f"b_{k}") for k in keys]).agg(F.min("bin").alias("last")))
-    same = F.col("bin") <= F.col("last")
-    for k in keys:
-        same = same & (F.col(k) == F.col(f"b_{k}"))
-    return near.join(bins, same).select(*rows.columns)
+    nearer = F.coalesce(F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    taken = bins.withColumn("nearer", nearer).withColumn("all", F.sum("n").over(group)).where(F.col("nearer") < F.col("all") * SHARE)
+    return taken.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in bins.columns if c not in (*keys, "bin")])
 
 
 def _spread_start(rows: DataFrame) -> DataFrame:
@@ -186,7 +187,7 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
     estimate = stored(_spread_start(rows).unionByName(plain), "quality-start")
     twice = rows.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
     for step in range(STEPS):
-        estimate = stored(_estimate(_moments(_nearest(twice, estimate, keys), keys), keys, scale), f"quality-step{step}")
+        estimate = stored(_estimate(_nearest_moments(twice, estimate, keys), keys, scale), f"quality-step{step}")
     columns = [c for c in estimate.columns if c not in ("grp", "spread")]
     best = (estimate.groupBy("grp").agg(F.min(F.struct("spread", *columns)).alias("b")).select("grp", "b.*"))
     best = stored(best.drop("start"), "quality-best")
