@@ -20,7 +20,7 @@ CHECKED = ["schema_conform", "json_roundtrip", "explode_outer", "channel_decode"
            "fact_product", "dq_product", "mart_sales_daily", "metric_base", "metric_wow", "metric_mom", "metric_7d_avg", "metric_customers",
            "dash_matrix", "dash_category", "dash_overview", "dash_store", "metric_ratios", "metric_identified", "top_products",
            "fact_service", "metric_service", "stream_upsert", "stream_restart", "stream_correction", "range_join_outside_span",
-           "as_of_outside_span", "lambda_union"]
+           "as_of_outside_span", "lambda_union", "stream_dedup", "stream_hourly"]
 
 
 @pytest.fixture(scope="module")

@@ -26,7 +26,7 @@ from tillhouse.session import scratch_path, tune
 from tillhouse.sources import landing as fixture
 from tillhouse.sources import tables
 from tillhouse.sources.sinks import read_slices, write_slices
-from tillhouse.streaming import live
+from tillhouse.streaming import eventtime, live
 
 AS_OF = datetime.fromisoformat(fixture.AS_OF)
 SCAN_WINDOW = cal.RunWindow.for_days("1996-03-01", 31)
@@ -662,6 +662,28 @@ def stream_correction(lake):
     return table.read()
 
 
+def _to_folder(lake, stream, name):
+    """What a run of a stream, to the end of its source, has written."""
+    path = scratch_path(lake.spark, name)
+    eventtime.run_to_folder(stream, path, scratch_path(lake.spark, f"{name}-checkpoint")).awaitTermination()
+    return lake.spark.read.schema(stream.schema).parquet(path)
+
+
+@query
+def stream_dedup(lake):
+    """Every event's messages delivered twice; each line is written once."""
+    events = lake.landing.event_stream()
+    twice = fixture.stream_values(events.unionAll(lake.landing.event_stream()))
+    return _to_folder(lake, eventtime.deduplicated(live.sale_messages(twice)), "stream-dedup")
+
+
+@query
+def stream_hourly(lake):
+    """Hours and stores that the watermark, an hour behind the newest sale, has closed."""
+    lines = live.sale_messages(fixture.stream_values(lake.landing.event_stream()))
+    return _to_folder(lake, eventtime.hourly(lines), "stream-hourly")
+
+
 @query
 def retention_filter(lake):
     return live.retained(lake.live_lines(), AS_OF).select("transaction_id", "product_id", "product_uom_id",
