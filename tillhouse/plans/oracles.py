@@ -599,9 +599,9 @@ _q["bad_documents"] = """SELECT transaction_id, cash, voucher, receivable_amount
         FROM billed)"""
 _q["stream_upsert"] = "SELECT * FROM live"
 _q["stream_dedup"] = "SELECT * FROM messages WHERE transaction_time IS NOT NULL"
-_q["stream_hourly"] = f"""SELECT date_trunc('hour', transaction_time) AS hour, store_id, count(*) AS lines, CAST(sum(quantity) AS BIGINT) AS units,
-    CAST(sum(CAST(final_amount AS {MONEY})) AS DOUBLE) AS revenue FROM messages GROUP BY ALL
-    HAVING date_trunc('hour', transaction_time) + INTERVAL 1 HOUR <= (SELECT max(transaction_time) - INTERVAL 1 HOUR FROM messages)"""
+_q["stream_hourly"] = f"""SELECT * FROM (SELECT date_trunc('hour', transaction_time) AS hour, store_id, count(*) AS lines,
+        CAST(sum(quantity) AS BIGINT) AS units, CAST(sum(CAST(final_amount AS {MONEY})) AS DOUBLE) AS revenue FROM messages GROUP BY 1, 2)
+    WHERE hour + INTERVAL 1 HOUR <= (SELECT max(transaction_time) - INTERVAL 1 HOUR FROM messages)"""
 _q["stream_restart"] = _q["stream_upsert"]
 # what arrived later is the corrected message; within one arrival the later event time wins
 _q["stream_correction"] = """SELECT * EXCLUDE (p) REPLACE (
