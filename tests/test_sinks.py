@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillhouse.plans import runs
+from tillhouse.sources import sinks
 from tillhouse.sources.sinks import SnapshotTable, advance_dimension, append, exists, read_slices, write_slices
 
 SCHEMA = "id int, note string, report_date date"
@@ -48,6 +49,45 @@ def test_a_row_outside_the_slices_fails_and_leaves_the_table(spark, tmp_path, fr
         write_slices(frame((1, D[0])), path, "report_date", [])
 
 
+@pytest.mark.parametrize("dies_at", range(5))
+def test_a_write_that_dies_while_publishing_is_finished_by_the_next(spark, tmp_path, frame, monkeypatch, dies_at):
+    """Two slices replaced and one cleared; the run stops before its n-th change to the table."""
+    path = str(tmp_path / "t")
+    write_slices(frame((1, D[0]), (2, D[1]), (3, D[2]), (4, D[3])), path, "report_date", D)
+    original, left = sinks._fs, [dies_at]
+
+    class Dying:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            def call(*args):
+                if name in ("delete", "rename") and "_intents" not in args[0].toString():
+                    if not left[0]:
+                        raise KeyboardInterrupt
+                    left[0] -= 1
+                return getattr(self.fs, name)(*args)
+            return call
+
+    monkeypatch.setattr(sinks, "_fs", lambda s, p: (Dying(original(s, p)[0]), original(s, p)[1]))
+    with pytest.raises(KeyboardInterrupt):
+        write_slices(frame((5, D[0]), (6, D[1]), (7, D[1])), path, "report_date", D[:3])
+    monkeypatch.setattr(sinks, "_fs", original)
+    write_slices(frame((8, D[3])), path, "report_date", [D[3]])
+    assert content(spark, path) == [(5, D[0]), (6, D[1]), (7, D[1]), (8, D[3])]
+    assert sinks.recover(spark, path) == [] and not list((tmp_path / "t" / "_staged").iterdir())
+
+
+def test_staged_rows_are_not_read_until_they_are_published(spark, tmp_path, frame):
+    path = str(tmp_path / "t")
+    write_slices(frame((1, D[0]), (2, D[1])), path, "report_date", D[:2])
+    run = sinks.new_run()
+    written = sinks.stage_slices(frame((3, D[0]), (4, D[2])), path, "report_date", D[:3], run)
+    assert written == {str(D[0]), str(D[2])} and content(spark, path) == [(1, D[0]), (2, D[1])]
+    sinks.publish_slices(spark, path, "report_date", run, [D[0], D[1]], written)  # the third slice is held back
+    assert content(spark, path) == [(3, D[0])]
+
+
 def test_snapshot_table_replaces_itself_and_may_change_schema(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "dim"))
     assert table.read() is None

@@ -1,10 +1,11 @@
-"""Writers: slice overwrite, whole-table snapshots, appends. All paths are on shared storage."""
+"""Writers: staged and published slices, whole-table snapshots, appends. All paths are on shared storage."""
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Sequence
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,13 +39,22 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return fs.exists(target) and fs.getFileStatus(target).isFile()
 
 
-def write_slices(df: DataFrame, path: str, column: str, slices: Iterable[date | str]) -> set[str]:
-    """Replace exactly the named slices of a partitioned table; safe to repeat. Returns the slices that got rows.
+def new_run() -> str:
+    """Name of a write; names sort in the order in which they were given out."""
+    return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
+def staged_path(path: str, run: str) -> str:
+    # folders that begin with an underscore are no part of the table to Spark
+    return f"{path}/_staged/{run}"
 
-    A named slice without rows is removed. A row outside the named slices fails the write instead of being
-    dropped. Rows are rebalanced by slice, so a large slice gets several files and small ones stay whole.
+
+def stage_slices(df: DataFrame, path: str, column: str, slices: Iterable[date | str], run: str) -> set[str]:
+    """Write the named slices beside the table, where no reader of it looks. Returns the slices that got rows.
+
+    A row outside the named slices fails the write instead of being dropped. Rows are rebalanced by slice, so a large
+    slice gets several files and small ones stay whole.
     """
-    spark = df.sparkSession
     names = sorted({str(s) for s in slices})
     if not names:
         raise ValueError("no slices named")
@@ -55,12 +65,80 @@ def write_slices(df: DataFrame, path: str, column: str, slices: Iterable[date |
                             .otherwise(outside.cast(df.schema[column].dataType)))
     seen = Observation(f"slices-{uuid.uuid4().hex}")
     (void_to_string(checked).observe(seen, F.collect_set(text).alias("written"))
-     .hint("rebalance", column)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
-    written = set(seen.get["written"] or [])
+     .hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(staged_path(path, run)))
+    return set(seen.get["written"] or [])
+
+
+def publish_slices(spark: SparkSession, path: str, column: str, run: str, slices: Iterable[date | str],
+                   written: Iterable[str]) -> None:
+    """Put the staged state of some slices in the table's place: their new rows, or none.
+
+    What is to be done is recorded first, in one atomic rename. A run that dies on the way leaves the record, and the
+    next one finishes it: each step may be repeated, and slices that are through are left alone.
+    """
+    fs, target = _fs(spark, f"{path}/_intents/{run}.json")
+    record = {"column": column, "run": run, "filled": sorted({str(s) for s in slices} & set(written)),
+              "cleared": sorted({str(s) for s in slices} - set(written))}
+    _, draft = _fs(spark, f"{path}/_intents/.{run}.tmp")
+    out = fs.create(draft, True)
+    out.write(json.dumps(record).encode())
+    out.close()
+    fs.rename(draft, target)
+    _carry_out(spark, path, record)
+
+
+def recover(spark: SparkSession, path: str) -> list[str]:
+    """Finish what earlier runs recorded and did not complete, in their order. Returns their names.
+
+    Writers of one table take turns; two at a time on the same slices are not told apart.
+    """
+    fs, root = _fs(spark, f"{path}/_intents")
+    if not fs.exists(root):
+        return []
+    records = sorted(f.getPath().getName() for f in fs.listStatus(root) if f.getPath().getName().endswith(".json"))
+    for name in records:
+        stream = fs.open(_fs(spark, f"{path}/_intents/{name}")[1])
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        _carry_out(spark, path, json.loads(text))
+    return [name.removesuffix(".json") for name in records]
+
+
+def _carry_out(spark: SparkSession, path: str, record: dict) -> None:
     fs, _ = _fs(spark, path)
-    for name in set(names) - written:
-        fs.delete(_fs(spark, f"{path}/{column}={name}")[1], True)
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    place = lambda root, name: _fs(spark, f"{root}/{record['column']}={escaped(name)}")[1]
+    staged = staged_path(path, record["run"])
+    for name in record["filled"]:
+        if fs.exists(place(staged, name)):
+            fs.delete(place(path, name), True)
+            fs.rename(place(staged, name), place(path, name))
+    for name in record["cleared"]:
+        fs.delete(place(path, name), True)
+    discard(spark, path, record["run"])
+    fs.delete(_fs(spark, f"{path}/_intents/{record['run']}.json")[1], False)
+
+
+def discard(spark: SparkSession, path: str, run: str) -> None:
+    """Drop what a run has staged and not published."""
+    fs, target = _fs(spark, staged_path(path, run))
+    fs.delete(target, True)
+
+
+def write_slices(df: DataFrame, path: str, column: str, slices: Iterable[date | str]) -> set[str]:
+    """Replace exactly the named slices of a partitioned table; safe to repeat. Returns the slices that got rows.
+
+    A named slice without rows is removed. Rows are staged, then published slice by slice behind a record of the
+    intent, so a write that fails changes nothing and one that dies while publishing is finished by the next.
+    """
+    spark, names, run = df.sparkSession, list(slices), new_run()
+    recover(spark, path)
+    try:
+        written = stage_slices(df, path, column, names, run)
+    except Exception:
+        discard(spark, path, run)
+        raise
+    publish_slices(spark, path, column, run, names, written)
     return written
 
 
