@@ -29,9 +29,11 @@ from tillhouse.llm.common import stored
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Bytes of text that are aligned, and looked up, together; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 # Occurrence pairs that are written out at once; a group of more is folded to its distinct tokens first.
 EXPAND = 1 << 20
+# Words that are encoded in one call.
+TOGETHER = 2048
 # A pair that most blocks hold is looked up in this many places.
 SALTS = 8
 DOCUMENT, COUNTS = 0, 1
@@ -155,6 +157,9 @@ class Aligner:
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
         self.same = identity(self.a_bytes, self.b_bytes)
         self.n_a, self.n_b = len(self.a_bytes), len(self.b_bytes)
+        # what a token is written as, by what follows it: A inside and at the end of its side, then B likewise
+        self.written = np.array([f"{i}{end}" for n, ends in ((self.n_a, ",|"), (self.n_b, ",;")) for end in ends
+                                 for i in range(n)], dtype=object)
 
     def words_of(self, text: str | None) -> list[str]:
         """Words of a text, each without the space before it."""
@@ -162,19 +167,43 @@ class Aligner:
             return []
         return self.gap.split(text) if self.odd.search(text) else text.split(" ")
 
+    def _tokens(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Whether both sides spell a word, tokens of either side by word, and the tokens, word after word.
+
+        Words are encoded many in one call, with a space between them, where both sides cut. A word that cannot stand
+        before a space is encoded by itself, and so is each word of a call that does not give back its bytes.
+        """
+        whole, counts, parts = np.ones(len(words), bool), np.zeros((2, len(words)), np.int64), ([], [])
+        spelled = self.a_bytes, self.b_bytes
+
+        def encode(text: str) -> tuple[list[int], list[int]] | None:
+            both, raw = (self.encode_a(" " + text), self.encode_b(text)), b" " + text.encode()
+            return both if all(b"".join(map(t.__getitem__, x)) == raw for t, x in zip(spelled, both, strict=True)) else None
+
+        def take(first: int, some: list[str]) -> None:
+            both = encode(" ".join(some)) if some else ((), ())
+            if both is None and len(some) > 1:
+                for i, word in enumerate(some, first):
+                    take(i, [word])
+                return
+            whole[first:first + len(some)] = both is not None
+            ends = np.cumsum([len(w.encode()) + 1 for w in some])
+            for k, length in enumerate((self.a_length, self.b_length)):
+                ids = np.array(both[k] if both else (), np.int64)
+                counts[k, first:first + len(some)] = np.bincount(np.searchsorted(ends, length[ids].cumsum()), minlength=len(some))
+                parts[k].append(ids)
+
+        alone = [i for i, w in enumerate(words) if not w or w[-1].isspace() or w[-1] == "▁"]
+        for start, stop in zip([0, *[i + 1 for i in alone]], [*alone, len(words)], strict=True):
+            for first in range(start, stop, TOGETHER):
+                take(first, words[first:min(stop, first + TOGETHER)])
+            if stop < len(words):
+                take(stop, [words[stop]])
+        return (whole, *counts, *(np.concatenate([*part, np.empty(0, np.int64)]) for part in parts))
+
     def words(self, words: list[str]) -> Words:
         n = len(words)
-        sides = ([], [])
-        whole = np.ones(n, bool)
-        for i, word in enumerate(words):
-            a, b = self.encode_a(" " + word), self.encode_b(word)
-            raw = b" " + word.encode()
-            whole[i] = (b"".join(map(self.a_bytes.__getitem__, a)) == raw
-                        and b"".join(map(self.b_bytes.__getitem__, b)) == raw)
-            for side, ids in zip(sides, (a, b) if whole[i] else ((), ()), strict=True):
-                side.append(np.array(ids, np.int64))
-        n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in sides)
-        a, b = (np.concatenate(side or [np.empty(0, np.int64)]) for side in sides)
+        whole, n_a, n_b, a, b = self._tokens(words)
         if not len(a):
             none, zero = np.empty(0, np.int64), np.zeros(n, np.int64)
             return Words(whole, zero, zero, zero, zero, [""] * n, none, none, none, none)
@@ -230,12 +259,10 @@ class Aligner:
 
     def _written(self, a, b, a_group, b_group, a_cut, b_cut, a_size, b_size, n_a, n_b) -> list[str]:
         """`a1,a2|b1;a3|b2,b3` by word: each group's A tokens, then its B tokens."""
-        ids, ends = np.empty(len(a) + len(b), np.int64), np.empty(len(a) + len(b), dtype="U1")
-        for tokens, before, group, cut, end in ((a, b_size.cumsum() - b_size, a_group, a_cut, "|"),
-                                                (b, a_size.cumsum(), b_group, b_cut, ";")):
-            place = np.arange(len(tokens)) + before[group]
-            ids[place], ends[place] = tokens, np.where(cut, end, ",")
-        parts = [f"{i}{end}" for i, end in zip(ids.tolist(), ends.tolist(), strict=True)]
+        place = np.empty(len(a) + len(b), np.int64)
+        place[np.arange(len(a)) + (b_size.cumsum() - b_size)[a_group]] = a + a_cut * self.n_a
+        place[np.arange(len(b)) + a_size.cumsum()[b_group]] = 2 * self.n_a + b + b_cut * self.n_b
+        parts = self.written[place].tolist()
         stops = (n_a + n_b).cumsum().tolist()
         return ["".join(parts[s:e])[:-1] for s, e in zip([0, *stops], stops, strict=False)]
 
