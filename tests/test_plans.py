@@ -1,4 +1,5 @@
 import re
+from datetime import date, timedelta
 
 import duckdb
 import pytest
@@ -20,7 +21,8 @@ CHECKED = ["schema_conform", "json_roundtrip", "explode_outer", "channel_decode"
            "fact_product", "dq_product", "mart_sales_daily", "metric_base", "metric_wow", "metric_mom", "metric_7d_avg", "metric_customers",
            "dash_matrix", "dash_category", "dash_overview", "dash_store", "metric_ratios", "metric_identified", "top_products",
            "fact_service", "metric_service", "stream_upsert", "stream_restart", "stream_correction", "range_join_outside_span",
-           "as_of_outside_span", "lambda_union", "stream_dedup", "stream_hourly"]
+           "as_of_outside_span", "lambda_union", "stream_dedup", "stream_hourly",
+           "daily_run_fact", "gated_publish", "gated_publish_mart", "published_runs", "published_failures"]
 
 
 @pytest.fixture(scope="module")
@@ -111,6 +113,37 @@ def test_product_run_writes_checked_slices_and_can_be_repeated(spark, tmp_path):
         [(step, "Succeeded") for step in ("gold", "gate", "mart")] * 2)
 
 
+def test_a_run_reads_its_window(spark):
+    """Every scan of orders is bounded by date, and lines, audits and details are read for orders in the window."""
+    lake = Lakehouse(spark, SF).during(date(1996, 3, 1), date(1996, 3, 1))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        text = plan(lake.product_fact()) + plan(lake.service_fact())
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [line for line in text.splitlines() if "FileScan" in line]
+    orders = [line for line in scans if "/orders.parquet" in line]
+    assert len(orders) > 10
+    assert all("GreaterThanOrEqual(o_orderdate" in line and "LessThan(o_orderdate" in line for line in orders)
+    children = [line for line in scans if "/lineitem.parquet" in line or "/events.parquet" in line]
+    assert children and text.count("LeftSemi") >= len(children)
+
+
+@pytest.mark.parametrize("day", [date(1997, 12, 29), date(2001, 7, 28)])
+def test_days_built_from_their_window_are_those_of_the_whole(spark, whole_facts, day):
+    lake = Lakehouse(spark, SF).during(day, day + timedelta(days=6))
+    chosen = F.col("report_date").between(F.lit(day), F.lit(day + timedelta(days=6)))
+    for whole, part in zip(whole_facts, (lake.product_fact(), lake.service_fact())):
+        key = lambda df: sorted(map(str, df.where(chosen).collect()))
+        assert key(part) == key(whole) and key(whole)
+
+
+@pytest.fixture(scope="module")
+def whole_facts(spark):
+    lake = Lakehouse(spark, SF)
+    return lake.product_fact(), lake.service_fact()
+
+
 def test_slicers(spark):
     mart = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "channel string, n int")
     count = lambda where: metrics.slice_rows(mart, where).count()

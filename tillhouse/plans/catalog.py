@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from tillhouse.operators.dedup import distinct_rows, one_per_key
 from tillhouse.operators.joins import as_of_join, range_join_effective
 from tillhouse.operators.pivot import status_times
 from tillhouse.operators.scd import current_slice, scd2_apply, scd2_initial
-from tillhouse.plans import dashboards, facts, lines, marts, metrics, runs
+from tillhouse.plans import dashboards, facts, lines, marts, metrics, runs, services
 from tillhouse.plans.lakehouse import Lakehouse
 from tillhouse.session import scratch_path, tune
 from tillhouse.sources import landing as fixture
@@ -390,6 +390,76 @@ def backfill_equals_daily(lake):
     return read_slices(lake.spark, path, daily.schema).select("report_date", "bills", "customers", "amount")
 
 
+def _halves(lake) -> tuple[list[date], list[date]]:
+    """First days of the months in the data, cut in two; the second half begins with the last month of the first."""
+    days = [date.fromisoformat(f"{month}-01") for month in lake.months()]
+    middle = len(days) // 2
+    return days[:middle + 1], days[middle:]
+
+
+@query
+def daily_run_fact(lake):
+    """The product run over all days of the data in two ranges, which share a month, each reading its own window."""
+    run = runs.ProductRun(lake, scratch_path(lake.spark, "product-run"), runs.BLOCKING_CHECKS[:3], unit=runs.MONTHS)
+    for days in _halves(lake):
+        run.run(days)
+    return run.fact().select(*PRODUCT_FACT, "created_by")
+
+
+BAD_MONTH = "1997-05"
+_service_runs: dict[tuple[str, str], runs.ServiceRun] = {}
+
+
+class FaultyServiceRun(runs.ServiceRun):
+    """The service run over a month that came with service names nobody knows."""
+
+    def build(self, lake):
+        unknown = F.when(cal.month_key(F.col("report_date")) == BAD_MONTH, F.lit("?")).otherwise(F.col("service_name"))
+        return super().build(lake).withColumn("service_name", unknown)
+
+
+def _years_of_services(lake) -> runs.ServiceRun:
+    """The service run year by year, after the bad month was run while it was still good; once per application."""
+    key = (lake.spark.sparkContext.applicationId, lake.sf_dir)
+    if key not in _service_runs:
+        path = scratch_path(lake.spark, "service-run")
+        good = runs.ServiceRun(lake, path, runs.SERVICE_CHECKS, unit=runs.MONTHS)
+        good.run([date.fromisoformat(f"{BAD_MONTH}-01")])
+        faulty = FaultyServiceRun(lake, path, runs.SERVICE_CHECKS, unit=runs.MONTHS)
+        days = [date.fromisoformat(f"{month}-01") for month in lake.months()]
+        for year in sorted({d.year for d in days}):
+            try:
+                faulty.run([d for d in days if d.year == year])
+            except runs.SlicesHeld:
+                pass
+        _service_runs[key] = good
+    return _service_runs[key]
+
+
+@query
+def gated_publish(lake):
+    """All years published but for the slice that failed its checks, which keeps what it had."""
+    return _years_of_services(lake).fact().select(*SERVICE_FACT, "created_by")
+
+
+@query
+def gated_publish_mart(lake):
+    return services.service_mart(_years_of_services(lake).mart_table()).groupBy("report_date", "service_name").agg(
+        F.count(F.lit(1)).alias("lines"), exact_sum(F.col("total_amount")).alias("revenue"))
+
+
+@query
+def published_runs(lake):
+    """What those runs logged, by step and status."""
+    return runs.run_summary(_years_of_services(lake).log()).select("pipeline", "step", "status", "runs")
+
+
+@query
+def published_failures(lake):
+    log = _years_of_services(lake).log()
+    return runs.failed_runs(log, datetime.now(timezone.utc).replace(tzinfo=None)).select("pipeline", "run_date", "step", "status", "error")
+
+
 @query
 def bad_documents(lake):
     """Bills with a cash amount that is no number, from a collection without one of the tenders."""

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tillhouse.functions.calendar import RunWindow
 from tillhouse.operators.joins import time_span
 from tillhouse.operators.scd import scd2_from_snapshots, scd2_initial
 from tillhouse.plans import facts, lines, marts, services
 from tillhouse.session import scratch_path
-from tillhouse.sources.landing import FLIP_DATE, STORE_PREFIX_OUT, STORES_OUT, Landing
+from tillhouse.sources.landing import COVER, FLIP_DATE, SAME_DAYS, STORE_PREFIX_OUT, STORES_OUT, Days, Landing
 from tillhouse.sources.sinks import exists
 from tillhouse.streaming.live import latest, sale_messages, serving_view
 from tillhouse.sources.landing import BATCH_BOUND, stream_values
@@ -23,13 +24,19 @@ _stored: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 class Lakehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-        self.landing = Landing(spark, sf_dir)
+    def __init__(self, spark: SparkSession, sf_dir: str, window: RunWindow | None = None):
+        self.spark, self.sf_dir, self.window = spark, sf_dir, window
+        self.landing = Landing(spark, sf_dir, window)
+
+    def during(self, first: date, last: date) -> Lakehouse:
+        """The same lakehouse as a run over some business days sees it."""
+        return Lakehouse(self.spark, self.sf_dir, RunWindow.for_days(first, (last - first).days + 1))
 
     @cached_property
     def span(self) -> tuple[datetime, datetime]:
         """Bounds of every business moment in the data: order dates plus the days returns trail them."""
+        if self.window is not None:
+            return self.window.cover_lo, self.window.cover_hi
         lo, hi = time_span(self.landing.raw("orders"), "o_orderdate")
         return lo, hi + timedelta(days=5)
 
@@ -40,6 +47,8 @@ class Lakehouse:
     def stored(self, name: str, build, partition: str | None = None) -> DataFrame:
         """A table in the shared folder, written once per application and complete once Spark has marked it so:
         readers scan it instead of repeating the joins behind it."""
+        if self.window is not None:
+            name = f"{name}-{self.window.utc_lo:%Y%m%d}-{self.window.utc_hi:%Y%m%d}"
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _stored or not exists(self.spark, f"{_stored[key][0]}/_SUCCESS"):
             frame, path = build(), scratch_path(self.spark, name)
@@ -82,8 +91,8 @@ class Lakehouse:
         return lines.price_dim(self.landing.purchase_price_timeline())
 
     # ---- facts ------------------------------------------------------------------------------------
-    def bill_heads(self) -> DataFrame:
-        return lines.bill_header(self.landing.bill_heads(), is_return=False)
+    def bill_heads(self, days: Days = SAME_DAYS) -> DataFrame:
+        return lines.bill_header(self.landing.bill_heads(days), is_return=False)
 
     def gathered(self, bills: DataFrame) -> DataFrame:
         return facts.gather_sources(bills, self.promotions(), self.deliveries(), self.transactions(), self.points())
@@ -99,8 +108,9 @@ class Lakehouse:
         return facts.cart_positions(self.landing.delivery_orders(), self.landing.delivery_order_details())
 
     def canceled(self) -> DataFrame:
-        returns = lines.bill_header(self.landing.return_heads(), is_return=True)
-        keys = self.bill_heads().select("transaction_id", "order_no").unionByName(returns.select("transaction_id", "order_no"))
+        # an order is looked for among the bills of the cover window, as its delivery may be dated a day later
+        returns = lines.bill_header(self.landing.return_heads(COVER), is_return=True)
+        keys = self.bill_heads(COVER).select("transaction_id", "order_no").unionByName(returns.select("transaction_id", "order_no"))
         return facts.canceled_orders(self.deliveries(), keys, self.landing.delivery_order_details(), self.products(),
                                      self.span)
 

@@ -435,6 +435,15 @@ _q["canceled_orders"] = """SELECT order_id, transaction_id, order_no, product_id
 _q["fact_product"] = "SELECT * FROM fact"
 _q["service_line"] = "SELECT * FROM service"
 _q["fact_service"] = "SELECT * FROM service_fact"
+_q["daily_run_fact"] = "SELECT *, 'eod_product' AS created_by FROM fact"
+_q["gated_publish"] = "SELECT *, 'eod_service' AS created_by FROM service_fact"
+_q["gated_publish_mart"] = f"""SELECT report_date, service_name, count(*) AS lines, {_total('total_amount')} AS revenue
+    FROM service_fact GROUP BY ALL"""
+_service_years = "(SELECT count(DISTINCT year(CAST(o_orderdate AS DATE))) AS years FROM orders)"
+_q["published_runs"] = f"""SELECT 'eod_service' AS pipeline, step, status, runs FROM {_service_years}, LATERAL (VALUES
+    ('gold', 'Succeeded', years + 1), ('gate', 'Succeeded', years), ('gate', 'Failed', 1), ('mart', 'Succeeded', years + 1)) v(step, status, runs)"""
+_q["published_failures"] = f"""SELECT 'eod_service' AS pipeline, '1997-01-01' AS run_date, 'gate' AS step, 'Failed' AS status,
+    'held back: 1997-05: service_name in known set (' || count(*) || ')' AS error FROM service_fact WHERE strftime(report_date, '%Y-%m') = '1997-05'"""
 _daily = f"""SELECT CAST(o_orderdate AS DATE) AS report_date, count(*) AS orders, {_total('o_totalprice')} AS amount FROM orders GROUP BY 1"""
 _q["idempotent_rerun"] = f"SELECT report_date, strftime(report_date, '%Y-%m') AS month_key, orders, amount FROM ({_daily})"
 _q["backfill_equals_daily"] = f"""SELECT report_date, count(DISTINCT transaction_id) AS bills, count(DISTINCT customer_id) AS customers,

@@ -6,12 +6,16 @@ for business constants outside the data's range are listed first.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillhouse.functions.calendar import RunWindow
 from tillhouse.operators.skew import running_sums
 from tillhouse.sources.sinks import is_file
+from tillhouse.sources.tables import between
 
 # Fixed values of the fixture.
 FLIP_DATE = "1998-01-01"
@@ -21,6 +25,10 @@ AS_OF = "2024-01-31 00:00:00"
 BATCH_BOUND = "2024-01-20"
 SNAPSHOT_DAYS = ("1996-01-01", "1997-01-01", "1998-07-01", "2000-01-01")
 PRICE_YEARS = (1995, 2001)
+# Order dates that a run of some business days needs: days before its first moment, days after its last one. A return
+# is dated three days after its order, a delivery and a service document within a day, points a day.
+Days = tuple[int, int]
+SAME_DAYS, COVER, RETURNED, DELIVERED, POINTS, SERVED = (0, 0), (1, 1), (3, -3), (2, 1), (2, 0), (1, 1)
 # Lines per document page; a longer bill spans several documents with the same id.
 PAGE_LINES = 500
 
@@ -121,10 +129,15 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 class Landing:
-    """Bronze-shaped frames over one folder of given tables."""
+    """Bronze-shaped frames over one folder of given tables: all of them, or what a run's window may need.
+
+    In a run every dated source is read between two moments, given by how far its own timestamp lies from the business
+    days of what depends on it, on the bare column, so that the bound reaches the scan. What has no date of its own is
+    read for the parents that are in the window. Masters are read whole.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, window: RunWindow | None = None):
+        self.spark, self.sf_dir, self.window = spark, sf_dir, window
         self._read: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
@@ -137,16 +150,34 @@ class Landing:
             _schemas[key] = self._read[name].schema
         return self._read[name]
 
+    def covered(self, df: DataFrame, ts: str) -> DataFrame:
+        """What was written in the run's cover window, by a derived timestamp."""
+        return df if self.window is None else between(df, ts, self.window.cover_lo, self.window.cover_hi)
+
+    def of_parents(self, child: DataFrame, key: str, parents: DataFrame, parent_key: str) -> DataFrame:
+        """Children of the parents in the window."""
+        if self.window is None:
+            return child
+        return child.join(parents.select(F.col(parent_key).alias("_parent")), F.col(key) == F.col("_parent"), "left_semi")
+
     # ---- bills ------------------------------------------------------------------------------------
-    def orders(self) -> DataFrame:
-        return self.raw("orders").selectExpr(
+    def dated_orders(self, days: Days = SAME_DAYS) -> DataFrame:
+        """Orders as given, dated from so many days before the run's first moment to so many after its last."""
+        raw = self.raw("orders")
+        if self.window is None:
+            return raw
+        before, after = (timedelta(days=n) for n in days)
+        return between(raw, "o_orderdate", self.window.utc_lo - before, self.window.utc_hi + after)
+
+    def orders(self, days: Days = SAME_DAYS) -> DataFrame:
+        return self.dated_orders(days).selectExpr(
             "*", "cast(substr(o_orderpriority, 1, 1) as int) - 1 as pay_code", "o_orderkey % 4 = 0 as is_delivery",
             """case when o_orderkey % 16 = 0 then concat('SAVYU-', o_orderkey)
                     when o_orderkey % 8 = 0 then concat('DO-', o_orderkey) end as delivery_no""")
 
-    def billed_orders(self) -> DataFrame:
+    def billed_orders(self, days: Days = SAME_DAYS) -> DataFrame:
         """Every order except deliveries still open, which surface as canceled orders."""
-        return self.orders().where("not (is_delivery and o_orderstatus = 'O')")
+        return self.orders(days).where("not (is_delivery and o_orderstatus = 'O')")
 
     def _with_store(self, orders: DataFrame) -> DataFrame:
         stores = self.raw("customer").join(self.raw("nation"), F.expr("c_nationkey = n_nationkey"), "left")
@@ -168,40 +199,43 @@ class Landing:
         known = placed.join(self.raw("part"), F.expr("l_partkey = p_partkey"), "left")
         return self._gather_pages(known, ["l_orderkey"], ITEM, "saleNormalItems").withColumnRenamed("l_orderkey", "o_orderkey")
 
-    def _bill_header(self) -> DataFrame:
-        return self._with_store(self.billed_orders()).selectExpr(*HEADER)
+    def _bill_header(self, days: Days = SAME_DAYS) -> DataFrame:
+        return self._with_store(self.billed_orders(days)).selectExpr(*HEADER)
+
+    def _lines(self, days: Days = SAME_DAYS) -> DataFrame:
+        return self.of_parents(self.raw("lineitem"), "l_orderkey", self.dated_orders(days), "o_orderkey")
 
-    def bill_heads(self) -> DataFrame:
+    def bill_heads(self, days: Days = SAME_DAYS) -> DataFrame:
         """The bills without their items, for what needs bill-level fields only."""
-        return self._bill_header().drop("o_orderkey")
+        return self._bill_header(days).drop("o_orderkey")
 
-    def return_heads(self) -> DataFrame:
+    def return_heads(self, days: Days = RETURNED) -> DataFrame:
         """The return bills without their items: orders with a returned line."""
-        returned = self.raw("lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
-        return self._bill_header().selectExpr(*RETURN_HEADER).join(returned, "o_orderkey", "left_semi").drop("o_orderkey")
+        returned = self._lines(days).where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+        return self._bill_header(days).selectExpr(*RETURN_HEADER).join(returned, "o_orderkey", "left_semi").drop("o_orderkey")
 
     def bill_promotions(self) -> DataFrame:
         """Ids and promotions of the bills; no line is read for it."""
         return self.billed_orders().selectExpr("concat('T', o_orderkey) as _id", f"{PROMOTIONS} as transactionPromotions")
 
     def sale_bill(self) -> DataFrame:
-        bills = self._bill_header().join(self._sale_items(self.raw("lineitem")), "o_orderkey", "left")
+        bills = self._bill_header().join(self._sale_items(self._lines()), "o_orderkey", "left")
         keep = [c for c in bills.columns if c not in ("o_orderkey", "doc_page")]
         return bills.selectExpr(*keep, "coalesce(doc_page, 0L) as doc_page",
                                 f"case when coalesce(doc_page, 0L) = 0 then {PROMOTIONS} end as transactionPromotions")
 
     def sale_return_bill(self) -> DataFrame:
-        returned = self._sale_items(self.raw("lineitem").where("l_returnflag = 'R'"))
-        return self._bill_header().selectExpr(*RETURN_HEADER).join(returned, "o_orderkey").drop("o_orderkey")
+        returned = self._sale_items(self._lines(RETURNED).where("l_returnflag = 'R'"))
+        return self._bill_header(RETURNED).selectExpr(*RETURN_HEADER).join(returned, "o_orderkey").drop("o_orderkey")
 
     # ---- relational sources -----------------------------------------------------------------------
     def delivery_orders(self) -> DataFrame:
         """A tenth of the deliveries has a second row under its own order id; a third is anonymous."""
-        orders = self.orders().where("is_delivery").join(
+        orders = self.orders(DELIVERED).where("is_delivery").join(
             self.raw("customer").select("c_custkey", "c_nationkey"), F.expr("o_custkey = c_custkey"), "left")
         copies = orders.selectExpr(
             "*", "explode(case when o_orderkey % 40 = 0 then array(0L, 1000000000L) else array(0L) end) as shift")
-        return copies.selectExpr(
+        return self.covered(copies.selectExpr(
             "o_orderkey + shift as order_id", "concat('T', o_orderkey) as transaction_no",
             "case when o_orderkey % 12 <> 0 then o_custkey end as user_id",
             "case o_orderkey % 5 when 0 then 'GrabFood' when 1 then '' end as external_source",
@@ -210,15 +244,17 @@ class Landing:
             "concat('X', o_orderkey) as external_order_id", "concat('note ', o_orderkey % 9) as delivery_note",
             "delivery_no as order_no", "cast(case o_orderstatus when 'F' then 8 when 'P' then 7 else 5 end as bigint) as status",
             "o_totalprice as total_price_amount", "cast(pay_code as bigint) as payment_method",
-            "case when o_orderstatus = 'O' then concat('reason ', o_orderkey % 3) else '' end as canceled_reason")
+            "case when o_orderstatus = 'O' then concat('reason ', o_orderkey % 3) else '' end as canceled_reason"), "created_at")
 
     def delivery_order_details(self) -> DataFrame:
-        return self.raw("lineitem").where("l_orderkey % 4 = 0").selectExpr(
+        details = self.of_parents(self.raw("lineitem"), "l_orderkey", self.dated_orders(DELIVERED), "o_orderkey")
+        return details.where("l_orderkey % 4 = 0").selectExpr(
             "l_orderkey as order_id", "cast(l_partkey as string) as product_id",
             "case when l_orderkey % 5 <> 0 then l_linenumber % 2 end as put_in_cart_order")
 
     def delivery_order_audits(self) -> DataFrame:
-        return self.raw("events").selectExpr(
+        audits = self.of_parents(self.raw("events"), "user_id", self.dated_orders(DELIVERED), "o_orderkey")
+        return audits.selectExpr(
             "user_id as order_id", """cast(case event_type when 'signup' then 1 when 'error' then 5 when 'click' then 6
                                       when 'view' then 7 when 'purchase' then 8 end as bigint) as status""",
             "ts as created_at")
@@ -229,18 +265,18 @@ class Landing:
             "case when c_custkey % 4 <> 0 then concat('C', c_custkey) else '' end as customer_code")
 
     def sale_transactions(self) -> DataFrame:
-        return self.raw("orders").where("o_orderkey % 2 = 0").selectExpr(
+        return self.dated_orders(COVER).where("o_orderkey % 2 = 0").selectExpr(
             "concat('T', o_orderkey) as transaction_id", "o_custkey + 1 as user_id", "o_orderdate as created_at",
             "cast(1 + o_orderkey % 5 as int) as rating", "concat('comment ', o_orderkey % 11) as comment")
 
     def point_histories(self) -> DataFrame:
         audit = lambda captured, who: f"struct('{captured}' as is_captured, '{who}' as user_type)"
-        return self.raw("orders").where("o_orderkey % 3 = 0").selectExpr(
+        return self.covered(self.dated_orders(POINTS).where("o_orderkey % 3 = 0").selectExpr(
             "concat('T', o_orderkey) as reference_id", "o_custkey + 2 as user_id", "o_orderdate + interval 1 day as created_at",
             f"""case when o_orderkey % 15 = 0 then null
                      when o_orderkey % 9 = 0 then cast(array() as array<struct<is_captured:string,user_type:string>>)
                      when o_orderkey % 2 = 0 then array({audit('true', 'CASHIER')}, {audit('false', 'APP')})
-                     else array({audit('false', 'CASHIER')}, {audit('true', 'APP')}) end as action_audits""")
+                     else array({audit('false', 'CASHIER')}, {audit('true', 'APP')}) end as action_audits"""), "created_at")
 
     def partner_store(self) -> DataFrame:
         return self.raw("nation").where("n_nationkey < 6").selectExpr(
@@ -271,7 +307,7 @@ class Landing:
             "cast(n_regionkey as int) as sale_area_id")
 
     def mapping_payment_method(self) -> DataFrame:
-        return self.orders().selectExpr("cast(pay_code as bigint) as payment_method_id",
+        return Landing(self.spark, self.sf_dir).orders().selectExpr("cast(pay_code as bigint) as payment_method_id",
                                         "concat('Pay supplier ', pay_code) as payment_supplier_name").distinct()
 
     def purchase_price_timeline(self) -> DataFrame:
@@ -298,9 +334,9 @@ class Landing:
 
     # ---- payment services -------------------------------------------------------------------------
     def _service_docs(self, status: str, kind: str, item: str, order: str, items_field: str) -> DataFrame:
-        sold = self.raw("lineitem").where(F.col("l_linestatus") == status).selectExpr("*", f"{kind} as serviceName")
+        sold = self._lines(SERVED).where(F.col("l_linestatus") == status).selectExpr("*", f"{kind} as serviceName")
         docs = self._pages(sold, ["l_orderkey", "serviceName"], f"struct({item})", items_field)
-        whole = docs.join(self.orders(), F.expr("l_orderkey = o_orderkey"))
+        whole = docs.join(self.orders(SERVED), F.expr("l_orderkey = o_orderkey"))
         return self._with_store(whole).selectExpr(*SERVICE_HEADER, f"struct({order}) as orderInfo", items_field)
 
     def pay_bill_transaction(self) -> DataFrame:

@@ -125,6 +125,12 @@ def discard(spark: SparkSession, path: str, run: str) -> None:
     fs.delete(target, True)
 
 
+def discard_unrecorded(spark: SparkSession, path: str, run: str) -> None:
+    """Drop what a run has staged, unless a recorded intent still needs it."""
+    if not exists(spark, f"{path}/_intents/{run}.json"):
+        discard(spark, path, run)
+
+
 def write_slices(df: DataFrame, path: str, column: str, slices: Iterable[date | str]) -> set[str]:
     """Replace exactly the named slices of a partitioned table; safe to repeat. Returns the slices that got rows.
 
