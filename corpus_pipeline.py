@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillhouse.llm.common import documents, stored
-from tillhouse.llm.linededup import dedup_lines
+from tillhouse.llm.common import documents, drop_scratch, scratch_paths, stored
+from tillhouse.llm.linededup import dedup_passages
 from tillhouse.llm.mixing import mixed_documents
 from tillhouse.llm.packing import pack
 from tillhouse.llm.quality import kept_documents
@@ -18,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose the multi-line chunks that another document, or an earlier place, has too."""
-    return dedup_lines(docs).select(*docs.columns)
+    """Texts lose the multi-line chunks, and passages of over 50 words, that stand in an earlier document or place."""
+    return dedup_passages(docs).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,10 +50,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over the whole documents table, each written to the shared folder and read again by the next."""
+    """The stages over the whole documents table, each written to the shared folder and read again by the next.
+
+    Once a stage's result is complete, its input and what it stored on the way are deleted.
+    """
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if name != STAGES[-1][0]:
-            docs = stored(docs, f"pipeline-{name}")
-    return docs
+    start = len(scratch_paths())
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_scratch(spark, scratch_paths()[start:-1])
+        start = len(scratch_paths()) - 1
+    return STAGES[-1][1](spark, docs, sf_dir)

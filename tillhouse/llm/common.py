@@ -20,6 +20,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+_written: list[str] = []
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: lineage ends there, and its size is known.
 
@@ -27,9 +30,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scratch_paths() -> list[str]:
+    """What `stored` has written so far, in order."""
+    return list(_written)
+
+
+def drop_scratch(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete stored tables that no frame in use reads any more."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def words_of(text: Column) -> Column:
     """Array of words; null and blank texts have none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
