@@ -149,9 +149,10 @@ def _nearest_moments(rows: DataFrame, estimate: DataFrame, keys: Sequence[str])
     Moments are summed by group and bin of the distance, where the rows lie; a group's few hundred bins are all that
     meets afterwards, to be taken from the nearest on until they hold the share.
     """
-    near = (_with_distance(rows, estimate, keys).where(F.col("d2").isNotNull())
-            .withColumn("bin", F.floor(F.log(F.col("d2") + 1e-9) * BINS).cast("int")))
-    bins = _moments(near, [*keys, "bin"])
+    near = _with_distance(rows, estimate, keys).withColumn(
+        "bin", F.coalesce(F.floor(F.log(F.col("d2") + 1e-9) * BINS).cast("int"), F.lit((1 << 31) - 1)))
+    # stored, so that it is dealt by bin as well: for the windows alone Spark would deal all of a group to one task
+    bins = stored(_moments(near, [*keys, "bin"]), "quality-bins")
     group = Window.partitionBy(*keys)
     nearer = F.coalesce(F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     taken = bins.withColumn("nearer", nearer).withColumn("all", F.sum("n").over(group)).where(F.col("nearer") < F.col("all") * SHARE)
