@@ -117,6 +117,58 @@ def test_retention_and_compaction(spark, tmp_path, messages):
     assert compact.read().count() == table.read().count()
 
 
+def test_a_run_rolls_generations_and_readers_keep_theirs(spark, tmp_path, messages):
+    as_of = datetime(2024, 1, 20)
+    whole = live.LiveTable(spark, str(tmp_path / "whole"))
+    rolled = live.LiveTable(spark, str(tmp_path / "rolled"))
+    source = lambda: spark.readStream.option("maxFilesPerTrigger", "1").text(messages)
+    live.run_upserts(source(), whole, str(tmp_path / "check-w")).awaitTermination()
+    live.run_upserts(source(), rolled, str(tmp_path / "check-r"), clock=lambda: as_of).awaitTermination()
+    assert rolled.generation() == 3 and len(list((tmp_path / "rolled").iterdir())) == 2
+    assert snapshot(rolled.read()) == snapshot(whole.read(as_of)) == snapshot(live.retained(whole.read(), as_of))
+    days = {p.name for p in (tmp_path / "rolled" / "generation-000003").rglob("report_date=*")}
+    assert min(days) == "report_date=2024-01-17"
+    before = rolled.read()
+    kept = snapshot(before)
+    rolled.roll(datetime(2024, 1, 25))
+    assert snapshot(before) == kept and 0 < rolled.read().count() < len(kept)
+    live.run_upserts(source(), rolled, str(tmp_path / "check-again")).awaitTermination()
+    assert rolled.generation() == 4 and rolled.read().count() == whole.read().count()
+
+
+def test_a_correction_out_of_retention_deletes_the_line(spark, tmp_path):
+    """The newest version is dated before the days that are kept; the older one does not come back."""
+    day = 86_400_000
+    table = live.LiveTable(spark, str(tmp_path / "live"))
+    for n, rows in enumerate(([sale("A", 5, 19 * day), sale("B", 1, 19 * day)], [sale("A", 7, 2 * day)])):
+        table.upsert(spark.createDataFrame(rows, "value string"), n)
+    assert [r.transaction_id for r in table.read(datetime(1970, 1, 21)).collect()] == ["B"]
+
+
+def test_retention_reaches_the_scan(spark, tmp_path, messages):
+    table = live.LiveTable(spark, str(tmp_path / "live"))
+    table.upsert(spark.read.text(messages), 0)
+    plan = table.read(datetime(2024, 1, 20))._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    wide = [line for line in scans if "product_name" in line]
+    assert len(wide) == 1 and "report_date" in wide[0].split("PartitionFilters: [")[1].split("]")[0]
+    assert all("product_name" not in line for line in scans if line not in wide)
+
+
+def test_a_store_behind_keeps_its_live_lines(spark, messages):
+    lines = live.latest(live.sale_messages(spark.read.text(messages)))
+    stores = [r.store_id for r in lines.select("store_id").distinct().orderBy("store_id").limit(2).collect()]
+    batch = lines.where(F.col("report_date") <= F.when(F.col("store_id") == stores[0], F.lit("2024-01-05").cast("date"))
+                        .otherwise(F.lit("2024-01-20").cast("date"))).where(F.col("store_id") != stores[1])
+    view = live.frontier_view(batch, lines.withColumn("staff_name", F.lit("live")))
+    first = {r.store_id: r.d for r in view.where("source = 'rlt'").groupBy("store_id").agg(F.min("report_date").alias("d")).collect()}
+    alone = lines.where(F.col("store_id") == stores[1]).agg(F.min("report_date")).first()[0]
+    assert "2024-01-05" < str(first[stores[0]]) <= "2024-01-20" and first[stores[1]] == alone
+    assert all(str(d) > "2024-01-20" for s, d in first.items() if s not in stores)
+    assert view.where("source = 'eod'").count() == batch.count()
+    assert view.groupBy(*LIVE_KEY).count().where("count > 1").count() == 0
+
+
 def test_serving_view_hides_late_lines_of_batch_days(spark, messages):
     lines = live.latest(live.sale_messages(spark.read.text(messages)))
     batch = lines.where("report_date <= date'2024-01-10' and transaction_id <> 'E0'").where("product_uom_id is not null")

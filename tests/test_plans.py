@@ -22,7 +22,8 @@ CHECKED = ["schema_conform", "json_roundtrip", "explode_outer", "channel_decode"
            "dash_matrix", "dash_category", "dash_overview", "dash_store", "metric_ratios", "metric_identified", "top_products",
            "fact_service", "metric_service", "stream_upsert", "stream_restart", "stream_correction", "range_join_outside_span",
            "as_of_outside_span", "lambda_union", "stream_dedup", "stream_hourly",
-           "daily_run_fact", "gated_publish", "gated_publish_mart", "published_runs", "published_failures"]
+           "daily_run_fact", "gated_publish", "gated_publish_mart", "published_runs", "published_failures",
+           "stream_retention", "frontier_union"]
 
 
 @pytest.fixture(scope="module")

@@ -739,6 +739,27 @@ def _to_folder(lake, stream, name):
     return lake.spark.read.schema(stream.schema).parquet(path)
 
 
+@query
+def stream_retention(lake):
+    """Two halves of the events, with retention after each batch: a generation holds no day that has left it."""
+    table = live.LiveTable(lake.spark, scratch_path(lake.spark, "live-retained"))
+    for half in (0, 1):
+        events = lake.landing.event_stream().where(F.col("event_id") % 2 == half)
+        live.run_upserts(fixture.stream_values(events), table, scratch_path(lake.spark, "live-checkpoint"),
+                         clock=lambda: AS_OF).awaitTermination()
+    return table.read()
+
+
+@query
+def frontier_union(lake):
+    """The completed fact's lines, moved to the days of the live table, and live lines after their store's last day."""
+    moved = F.date_add("report_date", fixture.LIVE_SHIFT_DAYS)
+    day_of_store = F.date_sub(F.lit(fixture.BATCH_BOUND).cast("date"), F.pmod(F.col("store_id").cast("int"), F.lit(5)))
+    batch = conform(lake.completed().withColumn("report_date", moved), LIVE_FACT).where(F.col("report_date") <= day_of_store)
+    return live.frontier_view(batch, lake.live_lines()).select(
+        "transaction_id", "product_id", "store_id", "report_date", "quantity", "final_amount", "source")
+
+
 @query
 def stream_dedup(lake):
     """Every event's messages delivered twice; each line is written once."""

@@ -607,6 +607,14 @@ _q["bad_documents"] = """SELECT transaction_id, cash, voucher, receivable_amount
         coalesce(CASE WHEN pay = 2 THEN o_totalprice END, 0) AS voucher, coalesce(CASE WHEN pay = 1 THEN o_totalprice END, 0) AS receivable_amount
         FROM billed)"""
 _q["stream_upsert"] = "SELECT * FROM live"
+CTES["moved_batch"] = """SELECT transaction_id, product_id, store_id, CAST(report_date AS DATE) + 8220 AS report_date, quantity, final_amount
+    FROM fact WHERE delivery_status = 'completed'
+        AND CAST(report_date AS DATE) + 8220 <= DATE '2024-01-20' - CAST(CAST(store_id AS INT) % 5 AS INT)"""
+_q["stream_retention"] = "SELECT * FROM live WHERE transaction_time >= TIMESTAMP '2024-01-28'"
+_q["frontier_union"] = """SELECT *, 'eod' AS source FROM moved_batch UNION ALL
+    SELECT transaction_id, product_id, store_id, report_date, quantity, final_amount, 'rlt'
+    FROM live LEFT JOIN (SELECT store_id AS s, max(report_date) AS d FROM moved_batch GROUP BY 1) ON store_id = s
+    WHERE d IS NULL OR report_date > d"""
 _q["stream_dedup"] = "SELECT * FROM messages WHERE transaction_time IS NOT NULL"
 _q["stream_hourly"] = f"""SELECT * FROM (SELECT date_trunc('hour', transaction_time) AS hour, store_id, count(*) AS lines,
         CAST(sum(quantity) AS BIGINT) AS units, CAST(sum(CAST(final_amount AS {MONEY})) AS DOUBLE) AS revenue FROM messages GROUP BY 1, 2)

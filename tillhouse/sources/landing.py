@@ -23,6 +23,7 @@ STORES_OUT = ("3", "7")
 STORE_PREFIX_OUT = "2"
 AS_OF = "2024-01-31 00:00:00"
 BATCH_BOUND = "2024-01-20"
+LIVE_SHIFT_DAYS = 8220  # from the last orders to the events
 SNAPSHOT_DAYS = ("1996-01-01", "1997-01-01", "1998-07-01", "2000-01-01")
 PRICE_YEARS = (1995, 2001)
 # Order dates that a run of some business days needs: days before its first moment, days after its last one. A return

@@ -34,6 +34,11 @@ def folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
     return [name.removeprefix(prefix) for name in names if name.startswith(prefix)]
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
+
+
 def is_file(spark: SparkSession, path: str) -> bool:
     fs, target = _fs(spark, path)
     return fs.exists(target) and fs.getFileStatus(target).isFile()
