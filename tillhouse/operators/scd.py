@@ -38,9 +38,17 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str], eff
     new one only; new key -> a new one; key gone -> the open one closed, or nothing if it was opened that day.
     Closed history passes through. A day older than the newest version changes nothing; `strict` also counts
     days that only closed versions.
+
+    Columns may come and go. One that the state lacks is no change of a row: open versions get its value, closed ones
+    null. One that the source no longer has stays, null in versions opened from then on, and is not compared.
     """
-    business = [c for c in incoming.columns if c not in VERSION_COLUMNS]
-    tracked = [c for c in (tracked or business) if c not in keys]
+    given = [c for c in incoming.columns if c not in VERSION_COLUMNS]
+    known = [c for c in current.columns if c not in VERSION_COLUMNS]
+    added, gone = [c for c in given if c not in known], [c for c in known if c not in given]
+    current = current.withColumns({c: F.lit(None).cast(incoming.schema[c].dataType) for c in added})
+    incoming = incoming.withColumns({c: F.lit(None).cast(current.schema[c].dataType) for c in gone})
+    business = given + gone
+    tracked = [c for c in (tracked or business) if c not in keys and c not in added and c not in gone]
     eff = ntz(str(effective)[:10] + " 00:00:00")
 
     newest = F.max("valid_from")
@@ -62,8 +70,8 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str], eff
     skip = F.coalesce(eff < newest, F.lit(False))
     open_end = ntz(END_OF_TIME).cast(version)
 
-    def row(source: str, since: Column, until: Column, is_open: bool) -> Column:
-        return F.struct(*[F.col(f"{source}.{c}").alias(c) for c in business], since.cast(version).alias("valid_from"),
+    def row(source: str, since: Column, until: Column, is_open: bool, filled: Sequence[str] = ()) -> Column:
+        return F.struct(*[F.col(f"{'_new' if c in filled else source}.{c}").alias(c) for c in business], since.cast(version).alias("valid_from"),
                         until.cast(version).alias("valid_to"), F.lit(is_open).alias("is_current"))
 
     stays = row("_old", F.col("_since"), open_end, True)
@@ -71,7 +79,7 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str], eff
     opened = row("_new", eff, open_end, True)
     closes = had & (F.col("_since") < eff)
     result = (F.when(skip, F.when(had, F.array(stays)).otherwise(F.array()))
-              .when(unchanged, F.array(stays))
+              .when(unchanged, F.array(row("_old", F.col("_since"), open_end, True, added)))
               .otherwise(F.concat(F.when(closes, F.array(closed)).otherwise(F.array()),
                                   F.when(has, F.array(opened)).otherwise(F.array()))))
     next_open = met.select(F.explode(result).alias("_v")).select("_v.*")

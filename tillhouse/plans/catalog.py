@@ -22,10 +22,11 @@ from tillhouse.operators.pivot import status_times
 from tillhouse.operators.scd import current_slice, scd2_apply, scd2_initial
 from tillhouse.plans import dashboards, facts, lines, marts, metrics, runs, services
 from tillhouse.plans.lakehouse import Lakehouse
+from tillhouse.plans.refresh import refresh_mart
 from tillhouse.session import scratch_path, tune
 from tillhouse.sources import landing as fixture
 from tillhouse.sources import tables
-from tillhouse.sources.sinks import read_slices, write_slices
+from tillhouse.sources.sinks import append, read_slices, write_slices
 from tillhouse.streaming import eventtime, live
 
 AS_OF = datetime.fromisoformat(fixture.AS_OF)
@@ -64,6 +65,31 @@ def schema_conform(lake):
         "c_name": "list_from_str", "missing_amount": "float", "missing_list": "list", "missing_text": "anything"})
 
 
+BILL_DOCUMENT = "_id string, documentDate string, paymentMethod bigint, storeCode string, cash double, saleNormalItems " + SALE_ITEMS
+
+
+@query
+def landed_documents(lake):
+    """Bills and returns as files of JSON texts, some broken; a third collection never came. Broken texts are kept aside."""
+    root = scratch_path(lake.spark, "landed")
+    for name, docs in (("sale_bill", lake.landing.sale_bill()), ("sale_return_bill", lake.landing.sale_return_bill())):
+        text = F.when(F.substring("_id", -1, 1) == "7", F.concat(F.lit('{"_id": "'), "_id")).otherwise(
+            F.to_json(F.struct("_id", F.col("documentDate").cast("string").alias("documentDate"), "paymentMethod", "storeCode",
+                               "cash", "saleNormalItems")))
+        docs.select(text.alias("value")).write.text(f"{root}/{name}")
+    read = lambda name: lambda: tables.parsed_documents(lake.spark, f"{root}/{name}", BILL_DOCUMENT)
+    parsed = tables.union_present({n: read(n) for n in ("sale_bill", "sale_return_bill", "transfer_bill")}, "bills")
+    append(tables.quarantined(parsed), f"{root}/quarantine")
+    kept = lake.spark.read.parquet(f"{root}/quarantine")
+    good = tables.good_documents(parsed).select(
+        F.col("_id").alias("transaction_id"), F.to_date("documentDate").alias("document_day"), F.col("storeCode").alias("store_id"),
+        F.coalesce(F.size("saleNormalItems"), F.lit(0)).alias("items"), "cash", F.lit(None).cast("string").alias("broken"))
+    bad = kept.select(F.lit(None).cast("string").alias("transaction_id"), F.lit(None).cast("date").alias("document_day"),
+                      F.lit(None).cast("string").alias("store_id"), F.lit(None).cast("int").alias("items"),
+                      F.lit(None).cast("double").alias("cash"), F.col("text").alias("broken"))
+    return good.unionByName(bad)
+
+
 @query
 def void_cast(lake):
     return void_to_string(lake.landing.raw("customer").select("c_custkey", F.lit(None).alias("note")))
@@ -324,6 +350,21 @@ def scd2_current(lake):
     return current_slice(lake.stores())
 
 
+@query
+def product_history(lake):
+    """Three masters of all products, the second with a column more, as one versioned dimension."""
+    return lake.product_history().select("product_id", "product_name", "product_group_name", "product_category_name", "shelf",
+                                         "valid_from", "valid_to", "is_current")
+
+
+@query
+def canceled_history(lake):
+    """Canceled orders with the product as it was when they were placed."""
+    return lake.canceled(lake.product_history()).select(
+        "order_id", "transaction_id", "product_id", "product_name", "product_group_name", "report_date", "final_amount",
+        "row_num_transaction_id", "number_of_line_item")
+
+
 # ---- facts ----------------------------------------------------------------------------------------
 @query
 def fact_merge(lake):
@@ -526,6 +567,25 @@ def mart_sales_daily(lake):
     return marts.sales_daily(lake.sales_mart())
 
 
+CHANGED_DAYS = ("1996-03-01", "1998-07-04")
+
+
+@query
+def mart_refresh(lake):
+    """The daily mart built from the whole fact, then refreshed after two days of the fact have changed."""
+    fact, mart = scratch_path(lake.spark, "refresh-fact"), scratch_path(lake.spark, "refresh-mart")
+    first = lake.sales_mart()
+    write_slices(first, fact, "month_key", lake.months())
+    read = lambda: read_slices(lake.spark, fact, first.schema)
+    refresh_mart(read(), mart, "month_key", marts.sales_daily)
+    months = sorted({day[:7] for day in CHANGED_DAYS})
+    doubled = F.when(F.col("report_date").isin([date.fromisoformat(d) for d in CHANGED_DAYS]), 2.0).otherwise(1.0)
+    write_slices(read().where(F.col("month_key").isin(months)).withColumn("revenue_net", F.col("revenue_net") * doubled),
+                 fact, "month_key", months)
+    refresh_mart(read(), mart, "month_key", marts.sales_daily)
+    return read_slices(lake.spark, mart, marts.sales_daily(first).schema)
+
+
 @query
 def mart_dim_product(lake):
     return lake.product_dim_mart()

@@ -13,14 +13,16 @@ from tillhouse.functions.calendar import RunWindow
 from tillhouse.operators.joins import time_span
 from tillhouse.operators.scd import scd2_from_snapshots, scd2_initial
 from tillhouse.plans import facts, lines, marts, services
+from tillhouse.plans.dims import Dimensions
 from tillhouse.session import scratch_path
-from tillhouse.sources.landing import COVER, FLIP_DATE, SAME_DAYS, STORE_PREFIX_OUT, STORES_OUT, Days, Landing
+from tillhouse.sources.landing import COVER, FLIP_DATE, PRODUCT_DAYS, SAME_DAYS, STORE_PREFIX_OUT, STORES_OUT, Days, Landing
 from tillhouse.sources.sinks import exists
 from tillhouse.streaming.live import latest, sale_messages, serving_view
 from tillhouse.sources.landing import BATCH_BOUND, stream_values
 
 # Marts other queries read, written once per application and input folder.
 _stored: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+_dimensions: dict[tuple[str, str], Dimensions] = {}
 
 
 class Lakehouse:
@@ -107,12 +109,22 @@ class Lakehouse:
     def cart_positions(self) -> DataFrame:
         return facts.cart_positions(self.landing.delivery_orders(), self.landing.delivery_order_details())
 
-    def canceled(self) -> DataFrame:
+    def product_history(self) -> DataFrame:
+        """The product dimension as three days' masters leave it, advanced state by state; once per application."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _dimensions:
+            dims = Dimensions(self.spark, scratch_path(self.spark, "dimensions"))
+            for n, day in enumerate(PRODUCT_DAYS):
+                dims.advance("dim_product", lines.product_dim(self.landing.product_snapshot(n)), day)
+            _dimensions[key] = dims
+        return _dimensions[key].read("dim_product")
+
+    def canceled(self, products: DataFrame | None = None) -> DataFrame:
         # an order is looked for among the bills of the cover window, as its delivery may be dated a day later
         returns = lines.bill_header(self.landing.return_heads(COVER), is_return=True)
         keys = self.bill_heads(COVER).select("transaction_id", "order_no").unionByName(returns.select("transaction_id", "order_no"))
-        return facts.canceled_orders(self.deliveries(), keys, self.landing.delivery_order_details(), self.products(),
-                                     self.span)
+        return facts.canceled_orders(self.deliveries(), keys, self.landing.delivery_order_details(),
+                                     self.products() if products is None else products, self.span)
 
     def product_fact(self) -> DataFrame:
         return facts.product_fact(self.completed(), self.canceled())

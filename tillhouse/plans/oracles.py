@@ -432,6 +432,31 @@ _q["put_in_cart"] = "SELECT * FROM cart"
 _q["canceled_orders"] = """SELECT order_id, transaction_id, order_no, product_id, product_name, product_group_name, report_date, transaction_time,
     total_price_amount AS final_amount, total_price_amount AS bill_amount, payment_method_name, canceled_reason AS order_cancel_reason,
     channel_name, row_num_transaction_id, number_of_line_item, customer_id FROM canceled"""
+CTES["product_snaps"] = """SELECT p.* REPLACE (product_group_name || CASE WHEN k >= 1 AND CAST(product_id AS BIGINT) % 5 = 1 THEN ' new' ELSE '' END
+        || CASE WHEN k >= 2 AND CAST(product_id AS BIGINT) % 10 = 1 THEN ' newer' ELSE '' END AS product_group_name), k, day
+    FROM products p CROSS JOIN (VALUES (0, DATE '1996-01-01'), (1, DATE '1997-07-01'), (2, DATE '1999-01-01')) s(k, day)
+    WHERE NOT (k = 0 AND CAST(product_id AS BIGINT) % 13 = 0) AND NOT (k = 2 AND CAST(product_id AS BIGINT) % 19 = 0)"""
+CTES["product_starts"] = """SELECT * FROM (SELECT *, lag(product_group_name) OVER (PARTITION BY product_id ORDER BY k) AS earlier FROM product_snaps)
+    WHERE earlier IS DISTINCT FROM product_group_name"""
+CTES["product_versions"] = """SELECT * EXCLUDE (k, day, earlier), CASE WHEN k = 1 OR (k = 0 AND valid_to > TIMESTAMP '1997-07-01') THEN product_uom_size % 7 END AS shelf,
+        valid_to = TIMESTAMP '9999-12-31' AS is_current
+    FROM (SELECT *, CASE WHEN k = 0 THEN TIMESTAMP '1970-01-01' ELSE CAST(day AS TIMESTAMP) END AS valid_from,
+        CAST(coalesce(lead(day) OVER (PARTITION BY product_id ORDER BY k), CASE WHEN CAST(product_id AS BIGINT) % 19 = 0 THEN DATE '1999-01-01' END,
+            DATE '9999-12-31') AS TIMESTAMP) AS valid_to FROM product_starts)"""
+_q["product_history"] = """SELECT product_id, product_name, product_group_name, product_category_name, shelf, valid_from, valid_to, is_current
+    FROM product_versions"""
+CTES["canceled_versions"] = CTES["canceled"].replace("LEFT JOIN products p ON p.product_id = l.product_id", """LEFT JOIN product_versions p
+    ON p.product_id = l.product_id AND p.valid_from <= d.dom_created_at AND d.dom_created_at < p.valid_to""")
+_q["canceled_history"] = """SELECT order_id, transaction_id, product_id, product_name, product_group_name, report_date,
+    total_price_amount AS final_amount, row_num_transaction_id, number_of_line_item FROM canceled_versions"""
+_q["landed_documents"] = """SELECT * FROM (
+    SELECT transaction_id, day AS document_day, store_id, items, cash, NULL AS broken FROM landed_bills WHERE transaction_id NOT LIKE '%7'
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, '{"_id": "' || transaction_id FROM landed_bills WHERE transaction_id LIKE '%7')"""
+CTES["landed_bills"] = """SELECT 'T' || k AS transaction_id, CAST(o_orderdate AS DATE) AS day, CAST(c_nationkey AS VARCHAR) AS store_id,
+        CAST((SELECT count(*) FROM lineitem WHERE l_orderkey = k) AS INT) AS items, CASE WHEN pay = 0 THEN o_totalprice END AS cash FROM billed
+    UNION ALL SELECT 'R' || k, CAST(o_orderdate AS DATE) + 3, CAST(c_nationkey AS VARCHAR),
+        CAST((SELECT count(*) FROM lineitem WHERE l_orderkey = k AND l_returnflag = 'R') AS INT), CASE WHEN pay = 0 THEN o_totalprice END FROM billed
+    WHERE k IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')"""
 _q["fact_product"] = "SELECT * FROM fact"
 _q["service_line"] = "SELECT * FROM service"
 _q["fact_service"] = "SELECT * FROM service_fact"
@@ -493,6 +518,9 @@ _q["mart_sales_daily"] = f"""SELECT report_date, year, month_key, week_start, is
     (SELECT report_date, year, month_key, week_start, is_weekend, channel, count(DISTINCT transaction_id) AS baskets,
      count(DISTINCT store_id) AS stores, {_units}, sum(CAST(revenue_net AS {MONEY})) AS net, sum(CAST(revenue_gross AS {MONEY})) AS gross
      FROM mart GROUP BY ALL)"""
+CTES["changed_mart"] = """SELECT * REPLACE (CASE WHEN report_date IN (DATE '1996-03-01', DATE '1998-07-04') THEN revenue_net * 2
+    ELSE revenue_net END AS revenue_net) FROM mart"""
+_q["mart_refresh"] = _q["mart_sales_daily"].replace("FROM mart ", "FROM changed_mart ")
 _q["mart_dim_product"] = "SELECT * FROM dim"
 _q["mart_dim_date"] = _calendar("mart", "report_date")
 _q["service_mart"] = f"SELECT {_svc_mart} FROM service_fact"

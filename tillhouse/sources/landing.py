@@ -25,6 +25,7 @@ AS_OF = "2024-01-31 00:00:00"
 BATCH_BOUND = "2024-01-20"
 LIVE_SHIFT_DAYS = 8220  # from the last orders to the events
 SNAPSHOT_DAYS = ("1996-01-01", "1997-01-01", "1998-07-01", "2000-01-01")
+PRODUCT_DAYS = ("1996-01-01", "1997-07-01", "1999-01-01")
 PRICE_YEARS = (1995, 2001)
 # Order dates that a run of some business days needs: days before its first moment, days after its last one. A return
 # is dated three days after its order, a delivery and a service document within a day, points a day.
@@ -292,6 +293,19 @@ class Landing:
         units = "explode(case when p_partkey % 3 = 0 then array(1, 0) else array(1) end) as is_base_unit"
         return self.raw("part").selectExpr("*", units).selectExpr(*PRODUCT)
 
+    def product_snapshot(self, nth: int) -> DataFrame:
+        """The product master as read on one of three days: groups move, products appear and disappear, and the
+        second one has a column that the others lack."""
+        master = self.raw("part").selectExpr("*", "explode(case when p_partkey % 3 = 0 then array(1, 0) else array(1) end) as is_base_unit")
+        if nth < 1:
+            master = master.where("p_partkey % 13 <> 0")
+        if nth == 2:
+            master = master.where("p_partkey % 19 <> 0")
+        renamed = (f"concat(product_group_name, if({nth} >= 1 and cast(product_id as long) % 5 = 1, ' new', ''), "
+                   f"if({nth} >= 2 and cast(product_id as long) % 10 = 1, ' newer', '')) as product_group_name")
+        shaped = master.selectExpr(*PRODUCT, *(["p_size % 7 as shelf"] if nth == 1 else []))
+        return shaped.selectExpr(*[renamed if c == "product_group_name" else c for c in shaped.columns])
+
     def oms_product(self) -> DataFrame:
         copies = "explode(case when p_partkey % 50 = 0 then array(1, 2) else array(1) end) as copy"
         return self.raw("part").selectExpr("*", copies).selectExpr(

@@ -107,6 +107,29 @@ def landed_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def parsed_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Landed documents, one JSON text a line, with the file and the text of those that do not parse.
+
+    A line that is no JSON, or that does not fit the declared schema, keeps its text in `_corrupt_record`.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    texts = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("_file"))
+    doc = F.from_json("value", f"{schema}, {CORRUPT} string", options)
+    return texts.select(doc.alias("_doc"), "_file").select("_doc.*", "_file")
+
+
+def good_documents(parsed: DataFrame) -> DataFrame:
+    return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file")
+
+
+def quarantined(parsed: DataFrame) -> DataFrame:
+    """The texts that did not parse, and where they lie."""
+    return parsed.where(F.col(CORRUPT).isNotNull()).select(F.col("_file").alias("file"), F.col(CORRUPT).alias("text"))
+
+
 def rows(spark: SparkSession, data: list[tuple], tokens: Mapping[str, str]) -> DataFrame:
     """Literal rows under a column contract; only for small fixed inputs."""
     return conform(spark.createDataFrame(data, list(tokens)), tokens)
