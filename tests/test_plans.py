@@ -77,7 +77,7 @@ def test_bill_joins_share_the_numbering_partitioning(spark):
         lake = Lakehouse(spark, SF)
         from tillhouse.plans import lines
         bills = lines.numbered_bills(lake.landing.sale_bill(), lake.landing.sale_return_bill())
-        text = plan(lake.gathered(bills).select("transaction_id", "promotion_id_arr", "txn_rating", "pph_flag", "dtx_order_id", "_items"))
+        text = plan(lake.gathered(bills).select("transaction_id", "promotion_id_arr", "rated.rating", "earned", "shipped.order_id", "_items"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # the items travel in one exchange by transaction id, and in one more for the order-number join

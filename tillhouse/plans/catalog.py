@@ -20,7 +20,8 @@ from tillhouse.operators.dedup import distinct_rows, one_per_key
 from tillhouse.operators.joins import as_of_join, range_join_effective
 from tillhouse.operators.pivot import status_times
 from tillhouse.operators.scd import current_slice, scd2_apply, scd2_initial
-from tillhouse.plans import dashboards, facts, lines, marts, metrics, runs, services
+from tillhouse.plans import dashboards, identity, lines, marts, metrics, runs, services
+from tillhouse.plans.dims import dimension, price_timeline
 from tillhouse.plans.lakehouse import Lakehouse
 from tillhouse.plans.refresh import refresh_mart
 from tillhouse.session import scratch_path, tune
@@ -226,32 +227,32 @@ def dedup_latest(lake):
 
 @query
 def dim_product(lake):
-    return lines.product_dim(lake.landing.product_uom_upc())
+    return dimension("dim_product", lake.landing)
 
 
 @query
 def dim_store(lake):
-    return lines.store_dim(lake.landing.oms_store(), lake.landing.dict_stores())
+    return dimension("dim_store", lake.landing)
 
 
 @query
 def dim_brand(lake):
-    return lines.brand_dim(lake.landing.oms_product())
+    return dimension("dim_brand", lake.landing)
 
 
 @query
 def dim_payment(lake):
-    return lines.payment_dim(lake.landing.mapping_payment_method())
+    return dimension("dim_payment", lake.landing)
 
 
 @query
 def dim_customer(lake):
-    return lines.customer_dim(lake.landing.users())
+    return dimension("dim_customer", lake.landing)
 
 
 @query
 def dim_partner_store(lake):
-    return lines.partner_stores(lake.landing.partner_store(), lake.landing.partner_sources())
+    return dimension("dim_partner_store", lake.landing)
 
 
 @query
@@ -318,8 +319,8 @@ def as_of_outside_span(lake):
 
 @query
 def identity_coalesce(lake):
-    found = facts.resolved(lake.gathered(lake.bill_heads()), fixture.FLIP_DATE)
-    return found.select("transaction_id", "report_date", *facts.identity(fixture.FLIP_DATE))
+    found = identity.resolved(lake.gathered(lake.bill_heads()), fixture.FLIP_DATE)
+    return found.select("transaction_id", "report_date", *identity.choices(fixture.FLIP_DATE))
 
 
 # ---- versioned dimensions -------------------------------------------------------------------------
@@ -422,7 +423,7 @@ def idempotent_rerun(lake):
 @query
 def backfill_equals_daily(lake):
     """Customers and sales per day for the whole range in one job, on both sides of the identity flip."""
-    bills = facts.resolved(lake.gathered(lake.bill_heads()), fixture.FLIP_DATE)
+    bills = identity.resolved(lake.gathered(lake.bill_heads()), fixture.FLIP_DATE)
     daily = bills.groupBy("report_date").agg(
         F.count_distinct("transaction_id").alias("bills"), F.count_distinct("customer_id").alias("customers"),
         exact_sum(F.col("bill_amount")).alias("amount")).withColumn("month_key", cal.month_key(F.col("report_date")))

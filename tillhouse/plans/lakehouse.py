@@ -12,8 +12,8 @@ from pyspark.sql.types import StructType
 from tillhouse.functions.calendar import RunWindow
 from tillhouse.operators.joins import time_span
 from tillhouse.operators.scd import scd2_from_snapshots, scd2_initial
-from tillhouse.plans import facts, lines, marts, services
-from tillhouse.plans.dims import Dimensions
+from tillhouse.plans import facts, identity, lines, marts, services
+from tillhouse.plans.dims import Dimensions, dimension, price_timeline
 from tillhouse.session import scratch_path
 from tillhouse.sources.landing import COVER, FLIP_DATE, PRODUCT_DAYS, SAME_DAYS, STORE_PREFIX_OUT, STORES_OUT, Days, Landing
 from tillhouse.sources.sinks import exists
@@ -72,7 +72,7 @@ class Lakehouse:
     def deliveries(self) -> DataFrame:
         l = self.landing
         return self.stored("deliveries", lambda: lines.deliveries(
-            l.delivery_orders(), l.delivery_order_audits(), l.users(), l.partner_store(), l.partner_sources()))
+            l.delivery_orders(), l.delivery_order_audits(), l.users(), dimension("dim_partner_store", l)))
 
     def transactions(self) -> DataFrame:
         return self.stored("transactions", lambda: lines.transactions(self.landing.sale_transactions(), self.landing.users()))
@@ -81,28 +81,30 @@ class Lakehouse:
         return self.stored("points", lambda: lines.point_histories(self.landing.point_histories(), self.landing.users()))
 
     def products(self) -> DataFrame:
-        return scd2_initial(lines.product_dim(self.landing.product_uom_upc()))
+        return scd2_initial(dimension("dim_product", self.landing))
 
     def brands(self) -> DataFrame:
-        return lines.brand_dim(self.landing.oms_product())
+        return dimension("dim_brand", self.landing)
 
     def stores(self) -> DataFrame:
         return scd2_from_snapshots(self.landing.store_snapshots(), ["store_id"], "snapshot_day")
 
     def prices(self) -> DataFrame:
-        return lines.price_dim(self.landing.purchase_price_timeline())
+        return price_timeline(self.landing)
 
     # ---- facts ------------------------------------------------------------------------------------
     def bill_heads(self, days: Days = SAME_DAYS) -> DataFrame:
         return lines.bill_header(self.landing.bill_heads(days), is_return=False)
 
     def gathered(self, bills: DataFrame) -> DataFrame:
-        return facts.gather_sources(bills, self.promotions(), self.deliveries(), self.transactions(), self.points())
+        """Bills with their promotions and every identity source's answer, before any line is unfolded."""
+        tables = {"transactions": self.transactions(), "points": self.points(), "deliveries": self.deliveries()}
+        return identity.asked(bills.join(self.promotions(), "transaction_id", "left"), tables)
 
     def completed(self) -> DataFrame:
         """Bill-level joins first, on one row per bill; only products and prices are joined per line."""
         bills = lines.numbered_bills(self.landing.sale_bill(), self.landing.sale_return_bill())
-        bills = facts.at_store(facts.resolved(self.gathered(bills), FLIP_DATE), self.stores(), self.span)
+        bills = facts.at_store(identity.resolved(self.gathered(bills), FLIP_DATE), self.stores(), self.span)
         rows = lines.unfold(bills).join(self.brands(), "product_id", "left")
         return facts.with_cart_positions(facts.priced(rows, self.prices(), self.span), self.cart_positions())
 
@@ -115,7 +117,7 @@ class Lakehouse:
         if key not in _dimensions:
             dims = Dimensions(self.spark, scratch_path(self.spark, "dimensions"))
             for n, day in enumerate(PRODUCT_DAYS):
-                dims.advance("dim_product", lines.product_dim(self.landing.product_snapshot(n)), day)
+                dims.advance("dim_product", dimension("dim_product", self.landing, self.landing.product_snapshot(n)), day)
             _dimensions[key] = dims
         return _dimensions[key].read("dim_product")
 
