@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillhouse.session import fits
+from tillhouse.session import fits, scratch_path
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 VERSION_COLUMNS = ("valid_from", "valid_to", "is_current")
@@ -20,6 +20,13 @@ def broadcast_if_small(dim: DataFrame, wanted: bool = True, limit: int = BROADCA
     return F.broadcast(dim) if wanted and fits(dim, limit) else dim
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The frame as a table in the shared folder: made once, and of a size that is known from its files."""
+    path = scratch_path(df.sparkSession, "pieces")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def first_of(*sources: str) -> Column:
     """First non-null source, in priority order."""
     return F.expr(f"coalesce({', '.join(sources)})")
@@ -68,16 +75,17 @@ def sliced(dim: DataFrame, start: str, end: str, span: tuple[datetime, datetime]
     return dim.where(first <= last).withColumn("_bucket", F.explode(F.sequence(first, last)))
 
 
-def _covering(left: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str, start: str, end: str,
-              span: tuple[datetime, datetime] | None, bucket_days: int, broadcast: bool,
-              always: Column) -> DataFrame:
+def _span_of(left: DataFrame, ts: str, span: tuple[datetime, datetime] | None) -> tuple[datetime, datetime]:
+    return span or time_span(left, ts) or (datetime(1970, 1, 1), datetime(1970, 1, 1))
+
+
+def _covering(left: DataFrame, pieces: DataFrame, keys: Sequence[str], ts: str, start: str, end: str,
+              span: tuple[datetime, datetime], bucket_days: int, always: Column) -> DataFrame:
     """Left join on keys, time bucket and start <= ts < end, or where `always` holds; dim columns are `_d_<name>`.
 
     The bucket in the key keeps a line from meeting every version of its key, and splits a hot key over time. Lines
     without a moment are in the last bucket.
     """
-    span = span or time_span(left, ts) or (datetime(1970, 1, 1), datetime(1970, 1, 1))
-    pieces = sliced(dim, start, end, span, bucket_days)
     pieces = pieces.selectExpr(*[f"{c} as _d_{c}" for c in pieces.columns])
     moment = F.col(ts)
     inside = ((F.col(f"_d_{start}") <= moment) & (moment < F.col(f"_d_{end}"))) | always
@@ -86,7 +94,7 @@ def _covering(left: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str, sta
     left = left.withColumn("_bucket", F.when(moment.isNull(), hi).otherwise(bucket))
     match = [F.col(k) == F.col(f"_d_{k}") for k in keys]
     match += [F.col("_bucket") == F.col("_d__bucket"), inside]
-    return left.join(broadcast_if_small(pieces, broadcast), reduce(lambda a, b: a & b, match), "left").drop("_bucket")
+    return left.join(pieces, reduce(lambda a, b: a & b, match), "left").drop("_bucket")
 
 
 FIRST_MOMENT, LAST_MOMENT = "0001-01-01 00:00:00", "9999-12-31 23:59:59.999999"
@@ -118,20 +126,33 @@ def with_gaps(dim: DataFrame, keys: Sequence[str], start: str, end: str) -> Data
     return dim.withColumn("_gap", F.lit(None).cast("int")).unionByName(shaped)
 
 
+def effective_pieces(dim: DataFrame, keys: Sequence[str], start: str, end: str, span: tuple[datetime, datetime],
+                     bucket_days: int) -> DataFrame:
+    """A timeline ready to be joined: its versions and its gaps, by time bucket. To be stored where many joins use it."""
+    return sliced(with_gaps(dim, keys, start, end), start, end, span, bucket_days)
+
+
 def range_join_effective(fact: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str, start: str, end: str, *,
                          span: tuple[datetime, datetime] | None = None, bucket_days: int = 90,
-                         broadcast: bool = True) -> DataFrame:
+                         broadcast: bool = True, pieces: DataFrame | None = None) -> DataFrame:
     """Attributes in force at `ts`, under the price-timeline rule:
 
     a line whose key has no timeline at all stays with null attributes, a line whose key has one but none of
     its ranges covers `ts` is dropped. The times a timeline leaves open are pieces of their own, so one join tells the
     two apart. `span` says where most of the fact's `ts` lie; without it one pass over the fact finds out.
+
+    The timeline's pieces are stored first, or given as `pieces` of the same span and buckets, so that they are made
+    once and Spark knows their size: it sends them to every task only where their files are below its threshold.
     """
     clash = (set(dim.columns) - set(keys)) & set(fact.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     always = F.col(f"_d_{start}").isNull() | ((F.col("_d__gap") == 2) & F.col(ts).isNull())
-    joined = _covering(fact, with_gaps(dim, keys, start, end), keys, ts, start, end, span, bucket_days, broadcast, always)
+    span = _span_of(fact, ts, span)
+    if pieces is None:
+        pieces = effective_pieces(dim, keys, start, end, span, bucket_days)
+        pieces = written(pieces) if broadcast else pieces.hint("merge")
+    joined = _covering(fact, pieces, keys, ts, start, end, span, bucket_days, always)
     return joined.where("_d__gap is null").selectExpr(*fact.columns, *[f"_d_{c} as {c}" for c in dim.columns if c not in keys])
 
 
@@ -144,7 +165,9 @@ def as_of_join(left: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str, *,
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     versions = dim.select(*keys, *attributes, "valid_from", "valid_to")
-    joined = _covering(left, versions, keys, ts, "valid_from", "valid_to", span, bucket_days, broadcast, F.lit(False))
+    span = _span_of(left, ts, span)
+    pieces = broadcast_if_small(sliced(versions, "valid_from", "valid_to", span, bucket_days), broadcast)
+    joined = _covering(left, pieces, keys, ts, "valid_from", "valid_to", span, bucket_days, F.lit(False))
     return joined.selectExpr(*left.columns, *[f"_d_{c} as {c}" for c in attributes])
 
 

@@ -106,7 +106,8 @@ class Lakehouse:
         bills = lines.numbered_bills(self.landing.sale_bill(), self.landing.sale_return_bill())
         bills = facts.at_store(identity.resolved(self.gathered(bills), FLIP_DATE), self.stores(), self.span)
         rows = lines.unfold(bills).join(self.brands(), "product_id", "left")
-        return facts.with_cart_positions(facts.priced(rows, self.prices(), self.span), self.cart_positions())
+        pieces = self.stored("price_pieces", lambda: facts.price_pieces(self.prices(), self.span))
+        return facts.with_cart_positions(facts.priced(rows, self.prices(), self.span, pieces), self.cart_positions())
 
     def cart_positions(self) -> DataFrame:
         return facts.cart_positions(self.landing.delivery_orders(), self.landing.delivery_order_details())
