@@ -23,7 +23,8 @@ CHECKED = ["schema_conform", "json_roundtrip", "explode_outer", "channel_decode"
            "fact_service", "metric_service", "stream_upsert", "stream_restart", "stream_correction", "range_join_outside_span",
            "as_of_outside_span", "lambda_union", "stream_dedup", "stream_hourly",
            "daily_run_fact", "gated_publish", "gated_publish_mart", "published_runs", "published_failures",
-           "stream_retention", "frontier_union", "mart_refresh", "product_history", "canceled_history", "landed_documents"]
+           "stream_retention", "frontier_union", "mart_refresh", "product_history", "canceled_history", "landed_documents", "dash_weekday",
+           "dash_weeks"]
 
 
 @pytest.fixture(scope="module")

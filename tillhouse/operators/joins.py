@@ -27,16 +27,6 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def first_of(*sources: str) -> Column:
-    """First non-null source, in priority order."""
-    return F.expr(f"coalesce({', '.join(sources)})")
-
-
-def prefixed(df: DataFrame, prefix: str, key: str, columns: Sequence[str]) -> DataFrame:
-    """Key plus the chosen columns under a source prefix, so several sources can meet in one row."""
-    return df.selectExpr(key, *[f"{c} as {prefix}_{c}" for c in columns])
-
-
 def left_join_spread(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
     """Left join whose null-key rows do not meet in one partition.
 

@@ -549,7 +549,7 @@ def baseline_diff(lake):
 
 @query
 def dq_product(lake):
-    return quality.product_checks(lake.product_fact(), by=["report_date"])
+    return quality.product_checks(lake.stored_fact(), by=["report_date"])
 
 
 @query
@@ -693,6 +693,16 @@ def dash_daypart(lake):
     return dashboards.by_daypart(lake.sales_mart())
 
 
+@query
+def dash_weekday(lake):
+    return dashboards.by_weekday(lake.sales_mart())
+
+
+@query
+def dash_weeks(lake):
+    return dashboards.chosen_weeks(lake.sales_mart(), [date(1996, 3, 4), date(1997, 12, 29), date(1998, 7, 6)])
+
+
 @query
 def dash_store(lake):
     """With slicers: a date range and a channel list."""

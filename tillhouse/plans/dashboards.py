@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.functions.calendar import is_weekend
+from tillhouse.functions.calendar import is_weekend, weekday_no
 from tillhouse.functions.money import EXACT
 from tillhouse.plans import metrics
 
@@ -31,6 +32,18 @@ def daily_series(mart: DataFrame, where: Mapping | None = None) -> DataFrame:
             .orderBy("report_date"))
 
 
+def by_weekday(mart: DataFrame, where: Mapping | None = None) -> DataFrame:
+    """Labels in the order of the week, which is that of their number and not of their letters."""
+    numbered = mart.withColumn("weekday_no", weekday_no(F.col("report_date")))
+    return metrics.sales(numbered, ("revenue", "baskets"), ["weekday_no", "day_name"], where).orderBy("weekday_no")
+
+
+def chosen_weeks(mart: DataFrame, weeks: Sequence[date], where: Mapping | None = None) -> DataFrame:
+    """Some weeks, each still compared with the one before it, which need not be among them: only those are read."""
+    near = sorted({day - timedelta(days=n) for day in weeks for n in (0, 7)})
+    return weekly(mart, {**(where or {}), "week_start": near}).where(F.col("week_start").isin(list(weeks)))
+
+
 def weekly(mart: DataFrame, where: Mapping | None = None) -> DataFrame:
     """Weeks with baskets and basket size next to the week-over-week change."""
     change = metrics.week_over_week(mart, where=where)

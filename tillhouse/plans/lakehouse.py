@@ -132,6 +132,10 @@ class Lakehouse:
     def product_fact(self) -> DataFrame:
         return facts.product_fact(self.completed(), self.canceled())
 
+    def stored_fact(self) -> DataFrame:
+        """The product fact as written, for the checks and marts behind it."""
+        return self.stored("product_fact", self.product_fact, "delivery_status")
+
     def service_lines(self) -> DataFrame:
         return services.service_lines({"pay_bill_transaction": self.landing.pay_bill_transaction(),
                                        "top_up_transaction": self.landing.top_up_transaction()})
@@ -141,9 +145,7 @@ class Lakehouse:
 
     # ---- marts ------------------------------------------------------------------------------------
     def build_sales_mart(self) -> DataFrame:
-        """Only completed rows can reach this mart, so the canceled branch is not built for it."""
-        completed = facts.product_fact_part(self.completed())
-        return marts.sales_mart(completed, STORES_OUT, STORE_PREFIX_OUT)
+        return marts.sales_mart(self.stored_fact(), STORES_OUT, STORE_PREFIX_OUT)
 
     def sales_mart(self) -> DataFrame:
         return self.stored("sales_mart", self.build_sales_mart, "month_key")

@@ -570,6 +570,8 @@ def _shifted(axis, name, step, by, base, change):
 _week = "CAST(date_trunc('week', {}) AS DATE)"
 _q["metric_wow"] = f"""SELECT w.*, baskets, basket_size FROM ({_shifted(_week, 'week_start', 'INTERVAL 7 DAY', (), 'revenue_lw', 'wow_pct')}) w
     LEFT JOIN ({_sales(['baskets', 'basket_size'], ['week_start'])}) b ON b.week_start = w.week_start"""
+_q["dash_weeks"] = f"""SELECT * FROM ({_q['metric_wow']}) WHERE week_start IN (DATE '1996-03-04', DATE '1997-12-29', DATE '1998-07-06')"""
+_q["dash_weekday"] = _sales(["revenue", "baskets"], ["weekday_no", "day_name"], "(SELECT *, CAST(isodow(report_date) AS INT) AS weekday_no FROM mart)")
 _q["metric_mom"] = _shifted("strftime({}, '%Y-%m')", "month_key", "INTERVAL 1 MONTH", ("channel",), "revenue_pm", "mom_pct")
 _q["metric_7d_avg"] = f"""SELECT date, CAST(sum(CAST(revenue AS decimal(28,6))) AS DOUBLE) / 7.0::DOUBLE AS revenue_avg_day FROM
     (SELECT CAST(report_date + to_days(CAST(i AS INT)) AS DATE) AS date, revenue FROM
