@@ -77,7 +77,7 @@ def landed_documents(lake):
         text = F.when(F.substring("_id", -1, 1) == "7", F.concat(F.lit('{"_id": "'), "_id")).otherwise(
             F.to_json(F.struct("_id", F.col("documentDate").cast("string").alias("documentDate"), "paymentMethod", "storeCode",
                                "cash", "saleNormalItems")))
-        docs.select(text.alias("value")).write.text(f"{root}/{name}")
+        docs.select(text.alias("value")).write.text(f"{root}/{name}", compression="gzip")
     read = lambda name: lambda: tables.parsed_documents(lake.spark, f"{root}/{name}", BILL_DOCUMENT)
     parsed = tables.union_present({n: read(n) for n in ("sale_bill", "sale_return_bill", "transfer_bill")}, "bills")
     append(tables.quarantined(parsed), f"{root}/quarantine")
