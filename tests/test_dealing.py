@@ -75,3 +75,59 @@ def test_bills_without_an_id_are_answered_by_their_order(spark):
     found = sorted((str(r["transaction_id"]), str(r["order_no"]), r["ordered"] is not None) for r in out.collect())
     # two deliveries of an order multiply its bills, also the one without an id
     assert found == [("None", "D1", True)] * 2 + [("None", "None", False)] + [("T1", "D1", True)] * 2 + [("T2", "None", False)]
+
+
+def small_lake(spark, path, orders, lines):
+    """A folder with a few orders (key, date, status) and lines (order, part, number) in it."""
+    spark.sql("select 1L as c_custkey, 'c' as c_name, 1 as c_nationkey, 0D as c_acctbal, 'm' as c_mktsegment").write.parquet(f"{path}/customer.parquet")
+    spark.sql("select 1 as n_nationkey, 'n' as n_name, 0 as n_regionkey").write.parquet(f"{path}/nation.parquet")
+    spark.sql("select id as p_partkey, concat('p', id) as p_name, 'Brand#12' as p_brand, 't' as p_type, 1 as p_size, 1D as p_retailprice "
+              "from range(1, 9)").write.parquet(f"{path}/part.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, day string, o_orderstatus string").selectExpr(
+        "o_orderkey", "1L as o_custkey", "o_orderstatus", "10D as o_totalprice", "cast(day as timestamp_ntz) as o_orderdate",
+        "'1-URGENT' as o_orderpriority").write.parquet(f"{path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int").selectExpr(
+        "l_orderkey", "l_partkey", "1L as l_suppkey", "l_linenumber", "1D as l_quantity", "2D as l_extendedprice", "0D as l_discount",
+        "0D as l_tax", "if(l_linenumber = 1, 'R', 'N') as l_returnflag", "if(l_linenumber = 2, 'O', 'F') as l_linestatus",
+        "timestamp_ntz'1996-01-01 00:00:00' as l_shipdate").write.parquet(f"{path}/lineitem.parquet")
+    return Lakehouse(spark, str(path))
+
+
+ORDERS = [(1, "1996-01-31", "F"), (2, "1996-02-01", "F"), (2, "1996-05-01", "F"), (3, "1997-03-01", "O"), (None, "1996-01-05", "F")]
+LINES = [(1, 1, 1), (1, 2, 2), (1, 2, 2), (2, 3, 1), (2, 99, 2), (3, 4, 1), (None, 5, 1), (7, 5, 1)]
+
+
+def test_lines_are_dealt_by_their_document_once(spark, tmp_path):
+    lake = small_lake(spark, tmp_path, ORDERS, LINES)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text, out = plan_of(lake.sale_lines()), lake.sale_lines().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "hashpartitioning(transaction_id" not in text and "hashpartitioning(l_orderkey" not in text
+    assert "_o0" not in text[text.rindex("Exchange hashpartitioning(l_partkey"):]
+    found = sorted((str(r["transaction_id"]), r["row_num_transaction_id"], str(r["product_id"]), r["number_of_line_item"]) for r in out)
+    assert found == [
+        ("None", 1, "None", 1), ("R1", 1, "1", 1), ("R2", 1, "3", 2), ("R2", 2, "3", 2), ("R3", 1, "4", 1),
+        ("T1", 1, "1", 3), ("T1", 2, "2", 3), ("T1", 3, "2", 3), ("T2", 1, "3", 4), ("T2", 2, "None", 4), ("T2", 3, "3", 4),
+        ("T2", 4, "None", 4), ("T3", 1, "4", 1)]
+
+
+def test_bills_without_an_order_number_have_no_id(spark, tmp_path):
+    lake = small_lake(spark, tmp_path, ORDERS, LINES)
+    ids = sorted(str(r["_id"]) for r in lake.landing.sale_bill().select("_id").collect())
+    assert ids == ["None", "T1", "T2", "T2", "T3"]
+
+
+def test_service_documents_meet_their_order_where_they_were_made(spark, tmp_path):
+    lake = small_lake(spark, tmp_path, ORDERS, LINES)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_of(lake.landing.top_up_transaction())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # the lines, their slices, their slices by order, the orders and twice their customer; no finished document
+    assert text.count("Exchange hashpartitioning(l_orderkey") == 3
+    assert lake.service_lines().count() == 9
