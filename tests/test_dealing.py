@@ -2,6 +2,7 @@
 
 import glob
 import os
+from datetime import date
 
 from pyspark.sql import functions as F
 
@@ -131,3 +132,15 @@ def test_service_documents_meet_their_order_where_they_were_made(spark, tmp_path
     # the lines, their slices, their slices by order, the orders and twice their customer; no finished document
     assert text.count("Exchange hashpartitioning(l_orderkey") == 3
     assert lake.service_lines().count() == 9
+
+
+def test_filed_children_are_those_of_the_window(spark, tmp_path):
+    lake = small_lake(spark, tmp_path, ORDERS, LINES)
+    for first, last in ((date(1996, 1, 31), date(1996, 2, 1)), (date(1996, 1, 1), date(1996, 12, 31)), (date(1997, 1, 1), date(1997, 12, 31))):
+        plain, filed = (some.during(first, last).landing for some in (lake, lake.for_many_runs()))
+        for days in ((0, 0), (1, 1), (3, -3)):
+            shown = [sorted(map(str, landing._lines(days).collect())) for landing in (plain, filed)]
+            assert shown[0] == shown[1]
+    read = lake.for_many_runs().during(date(1997, 1, 1), date(1997, 12, 31)).landing._lines().inputFiles()
+    assert "PartitionFilters: [isnotnull(_month" in plan_of(lake.for_many_runs().during(date(1997, 1, 1), date(1997, 12, 31)).landing._lines())
+    assert read
