@@ -2,13 +2,15 @@
 
 import glob
 import os
+import time
 from datetime import date
 
 from pyspark.sql import functions as F
 
 from tillhouse.operators.joins import as_of_join, with_gaps
 from tillhouse.operators.skew import running_sums
-from tillhouse.plans import identity
+from tillhouse.plans import facts, identity
+from tillhouse.plans.dims import price_timeline
 from tillhouse.plans.lakehouse import Lakehouse
 from tillhouse.sources import landing
 
@@ -143,3 +145,70 @@ def test_filed_children_are_those_of_the_window(spark, tmp_path):
             assert shown[0] == shown[1]
     year = lake.for_many_runs().during(date(1997, 1, 1), date(1997, 12, 31))
     assert "PartitionFilters: [isnotnull(_month" in plan_of(year.landing._lines())
+
+
+def test_price_pieces_read_and_deal_the_timeline_once(spark, tmp_path):
+    lake = small_lake(spark, tmp_path, ORDERS, LINES)
+    pieces = facts.price_pieces(price_timeline(lake.landing, facts.PRICE_KEY), lake.span)
+    text = plan_of(pieces)
+    assert text.count("Scan parquet") == 1 and text.count("Exchange hashpartitioning") == 1
+    # 8 parts in 5 areas: 7 years each, two of them not for part 7; a gap before the first and after the last
+    found = pieces.drop("_bucket").distinct().groupBy("_gap").count().collect()
+    assert sorted((str(r["_gap"]), r["count"]) for r in found) == [("1", 40), ("2", 40), ("None", 8 * 5 * 7 - 2 * 5)]
+
+
+def test_a_timeline_without_keys_or_rows_has_its_gaps(spark):
+    moment = lambda text: f"timestamp_ntz'{text} 00:00:00'"
+    rows = spark.sql(f"select * from values (cast(null as string), {moment('2000-01-01')}, {moment('2001-01-01')}, 1D), "
+                     f"('a', {moment('2001-01-01')}, {moment('2001-01-01')}, 2D), ('a', {moment('2001-01-01')}, {moment('2001-01-01')}, 2D) "
+                     "as t(k, since, until, price)")
+    out = with_gaps(rows, ["k"], "since", "until")
+    found = sorted((str(r["k"]), str(r["since"])[:4], str(r["until"])[:4], str(r["price"]), str(r["_gap"])) for r in out.collect())
+    assert found == [("None", "0001", "2000", "None", "1"), ("None", "2000", "2001", "1.0", "None"), ("None", "2001", "9999", "None", "2"),
+                     ("a", "0001", "2001", "None", "1"), ("a", "0001", "2001", "None", "1"), ("a", "0001", "9999", "None", "2"),
+                     ("a", "2001", "2001", "2.0", "None"), ("a", "2001", "2001", "2.0", "None")]
+    assert with_gaps(rows.where("false"), ["k"], "since", "until").count() == 0
+
+
+def test_canceled_orders_are_dealt_by_their_order_once(spark):
+    deliveries = spark.sql("""select * from values (4L, 'T4', 'D4'), (8L, 'T8', null), (cast(null as long), 'T0', null), (12L, 'T12', 'D12'),
+        (16L, 'T16', null) as t(order_id, transaction_id, order_no)""").selectExpr(
+        "*", "5L as status", "order_id * 1D as total_price_amount", "timestamp_ntz'2000-01-01 10:00:00' as dom_created_at",
+        "1L as payment_method", "'why' as canceled_reason")
+    keys = spark.sql("select * from values ('T16', null), ('T1', 'D12') as t(transaction_id, order_no)")
+    details = spark.sql("select * from values (4L, 'b'), (4L, 'a'), (4L, 'a'), (4L, null), (12L, 'a'), (null, 'c') as t(order_id, product_id)")
+    shape = ", ".join(f"'x' as {c}" for c in facts.CANCELED_PRODUCT_COLUMNS)
+    products = spark.sql(f"select 'a' as product_id, {shape}, timestamp_ntz'1999-01-01 00:00:00' as valid_from, "
+                         "timestamp_ntz'2009-01-01 00:00:00' as valid_to")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = facts.canceled_orders(deliveries, keys, details, products)
+        text, rows = plan_of(out), out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "hashpartitioning(coalesce(order_id" not in text and "hashpartitioning(order_id" not in text
+    assert "_order" not in out.columns
+    found = sorted((str(r["order_id"]), r["row_num_transaction_id"], str(r["product_id"]), r["number_of_line_item"], str(r["product_name"])) for r in rows)
+    assert found == [("4", 1, "None", 4, "None"), ("4", 2, "a", 4, "x"), ("4", 3, "a", 4, "x"), ("4", 4, "b", 4, "None"),
+                     ("8", 1, "None", 1, "None"), ("None", 1, "None", 1, "None")]
+
+
+def shuffled_files(spark):
+    """Shuffle files that lie in the session's local folders."""
+    kept = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {name for folder in kept for name in glob.glob(f"{folder}/*/shuffle_*.data")}
+
+
+def test_a_stored_table_leaves_no_shuffle_behind(spark, tmp_path):
+    lake, before = Lakehouse(spark, str(tmp_path)), shuffled_files(spark)
+    table = lake.stored("cleaned", lambda: spark.range(20_000).repartition(7).groupBy((F.col("id") % 5000).alias("k")).count())
+    assert table.count() == 5000
+    until = time.time() + 20
+    while (left := shuffled_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert all(name.endswith(".zstd.parquet") for name in table.inputFiles())
+    # what has been returned may be asked again, though its shuffle is gone
+    twice = spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count()
+    assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, twice.collect()))

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillhouse.session import fits, scratch_path
+from tillhouse.session import PACKED, fits, scratch_path
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 VERSION_COLUMNS = ("valid_from", "valid_to", "is_current")
@@ -29,7 +29,7 @@ def broadcast_if_small(dim: DataFrame, wanted: bool = True, limit: int = BROADCA
 def written(df: DataFrame) -> DataFrame:
     """The frame as a table in the shared folder: made once, and of a size that is known from its files."""
     path = scratch_path(df.sparkSession, "pieces")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=PACKED)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -103,27 +103,27 @@ def with_gaps(dim: DataFrame, keys: Sequence[str], start: str, end: str) -> Data
     no gap.
     """
     edge = lambda moment: F.lit(moment).cast("timestamp_ntz")
-    known = dim.select(*keys, F.col(start).cast("timestamp_ntz").alias("_from"), F.col(end).cast("timestamp_ntz").alias("_to"),
-                       F.col(start).isNull().alias("_always"))
-    marks = known.withColumn("_upto", F.when(F.col("_to") > F.col("_from"), F.col("_to")))
+    since, until = (F.col(name).cast("timestamp_ntz") for name in (start, end))
+    marks = dim.withColumn("_upto", F.when(until > since, until))
     group = Window.partitionBy(*keys)
-    ordered = group.orderBy("_from", "_upto")
+    ordered = group.orderBy(since, "_upto")
     reached = lambda last: F.greatest(edge(FIRST_MOMENT), F.max("_upto").over(
         ordered.rowsBetween(Window.unboundedPreceding, last)))
-    marks = marks.select(*keys, "_from", F.max("_always").over(group).alias("_covered"), reached(-1).alias("_before"),
+    marks = marks.select(*dim.columns, F.max(F.col(start).isNull()).over(group).alias("_covered"), reached(-1).alias("_before"),
                          reached(Window.currentRow).alias("_end"), F.lead(F.lit(1)).over(ordered).isNull().alias("_last"))
-    # what lies open before a version, and what lies open after the last one
-    gap = lambda wanted, since, until, kind: F.when(wanted, F.struct(
-        F.col(since).alias("_from"), until.alias("_to"), kind.alias("_gap")))
-    gaps = marks.where(~F.col("_covered")).select(*keys, F.explode(F.array_compact(F.array(
-        gap(F.col("_from") > F.col("_before"), "_before", F.col("_from"),
-            F.when(F.col("_from") == edge(LAST_MOMENT), 2).otherwise(1)),
-        gap(F.col("_last") & (F.col("_end") < edge(LAST_MOMENT)), "_end", edge(LAST_MOMENT), F.lit(2))))).alias("g")).select(*keys, "g.*")
+    # the version itself, what lies open before it, and what lies open after the last one: a row of the timeline is read once
+    gap = lambda wanted, first, last, kind: F.when(~F.col("_covered") & wanted, F.struct(
+        first.alias("_from"), last.alias("_to"), kind.cast("int").alias("_gap")))
+    nothing = F.lit(None).cast("timestamp_ntz")
+    pieces = marks.select(*dim.columns, F.explode(F.array_compact(F.array(
+        F.struct(nothing.alias("_from"), nothing.alias("_to"), F.lit(None).cast("int").alias("_gap")),
+        gap(since > F.col("_before"), F.col("_before"), since, F.when(since == edge(LAST_MOMENT), 2).otherwise(1)),
+        gap(F.col("_last") & (F.col("_end") < edge(LAST_MOMENT)), F.col("_end"), edge(LAST_MOMENT), F.lit(2))))).alias("_g"))
     kinds = {f.name: f.dataType for f in dim.schema.fields}
-    shaped = gaps.select(*[F.col(c) if c in keys else F.col("_from").cast(kinds[c]).alias(c) if c == start
-                           else F.col("_to").cast(kinds[c]).alias(c) if c == end
-                           else F.lit(None).cast(kinds[c]).alias(c) for c in dim.columns], "_gap")
-    return dim.withColumn("_gap", F.lit(None).cast("int")).unionByName(shaped)
+    version = F.col("_g._gap").isNull()
+    bound = lambda name, value: F.when(version, F.col(name)).otherwise(F.col(value).cast(kinds[name])).alias(name)
+    return pieces.select(*[F.col(c) if c in keys else bound(c, "_g._from") if c == start else bound(c, "_g._to") if c == end
+                           else F.when(version, F.col(c)).alias(c) for c in dim.columns], "_g._gap")
 
 
 def effective_pieces(dim: DataFrame, keys: Sequence[str], start: str, end: str, span: tuple[datetime, datetime],

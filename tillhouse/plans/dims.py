@@ -54,9 +54,13 @@ def dimension(name: str, landing, master: DataFrame | None = None) -> DataFrame:
     return DIMS[name].build(landing, master)
 
 
-def price_timeline(landing) -> DataFrame:
-    """Effective-dated prices, each range once; ranges of one product may repeat in the master."""
-    return distinct_rows(landing.purchase_price_timeline())
+def price_timeline(landing, deal_by: Sequence[str] = ()) -> DataFrame:
+    """Effective-dated prices, each range once; ranges of one product may repeat in the master.
+
+    Where each product's ranges are then put in order, they are dealt by its key (`deal_by`) once, for both.
+    """
+    ranges = landing.purchase_price_timeline()
+    return distinct_rows(ranges.repartition(*deal_by) if deal_by else ranges)
 
 
 class Dimensions:

@@ -20,9 +20,14 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # rows dealt by one key are not dealt again to be joined by that key and another; a hot key's partition is split
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # what an execution has shuffled goes when it ends; a query is several, as it stores tables on its way
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Codec of tables stored on the way.
+PACKED = "zstd"
+
 # Bytes a fixed-width value takes in a row at most, when rows are measured.
 FIXED_WIDTH = 16
 
