@@ -7,9 +7,10 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from tillhouse.functions.contracts import PRODUCT_FACT
 from tillhouse.operators.joins import as_of_join, with_gaps
 from tillhouse.operators.skew import running_sums
-from tillhouse.plans import facts, identity
+from tillhouse.plans import facts, identity, lakehouse
 from tillhouse.plans.dims import price_timeline
 from tillhouse.plans.lakehouse import Lakehouse
 from tillhouse.sources import landing
@@ -212,3 +213,41 @@ def test_a_stored_table_leaves_no_shuffle_behind(spark, tmp_path):
     # what has been returned may be asked again, though its shuffle is gone
     twice = spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count()
     assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, twice.collect()))
+
+
+def test_a_part_of_a_stored_table_begins_without_the_shuffles_of_the_last(spark, tmp_path):
+    before, left = shuffled_files(spark), []
+
+    def parts():
+        for n in range(3):
+            until = time.time() + 20
+            while (found := shuffled_files(spark) - before) and time.time() < until:
+                time.sleep(0.2)
+            left.append(found)
+            yield spark.range(n * 1000, n * 1000 + 1000).repartition(7).groupBy((F.col("id") % 10).alias("k"), "id").count()
+
+    table = Lakehouse(spark, str(tmp_path)).stored("parts", parts, "k", rebalance=False)
+    assert left == [set()] * 3
+    assert table.count() == 3000 and table.select("id").distinct().count() == 3000
+
+
+def test_the_fact_made_share_by_share_has_the_same_rows(spark, tmp_path, monkeypatch):
+    orders = [*ORDERS, (4, "1996-03-01", "F"), (8, "1996-03-02", "O"), (16, "1998-03-03", "F"), (40, "1996-03-04", "F"), (6, None, "F")]
+    lines = [*LINES, (4, 1, 1), (8, 2, 1), (16, 3, 1), (16, 3, 1), (40, 4, 2), (40, None, 3), (6, 1, 1)]
+    lake = small_lake(spark, tmp_path, orders, lines)
+    spark.sql("select 0 as r_regionkey, 'r' as r_name").write.parquet(f"{tmp_path}/region.parquet")
+    spark.sql("select 1L as event_id, timestamp_ntz'1996-03-02 00:00:00' as ts, 4L as user_id, 'purchase' as event_type, 1D as value"
+              ).write.parquet(f"{tmp_path}/events.parquet")
+    rows = lambda fact: sorted(str(r) for r in fact.select(*PRODUCT_FACT).collect())
+    assert len(list(lake.fact_parts())) == 1
+    whole = rows(lake.stored_fact())
+    monkeypatch.setattr(lakehouse, "SHARE_LINES", 1)
+    monkeypatch.setattr(lakehouse, "MOST_SHARES", 2)
+    monkeypatch.setattr(lakehouse, "_stored", {})
+    shared = Lakehouse(spark, str(tmp_path))
+    parts = list(shared.fact_parts())
+    assert len(parts) == 3
+    # the lines of other shares are left out before any is dealt
+    assert "xxhash64(concat(T" in plan_of(parts[0])[plan_of(parts[0]).rindex("Exchange hashpartitioning(l_partkey"):]
+    assert rows(shared.stored_fact()) == whole
+    assert len(whole) > 15 and any("canceled" in r for r in whole)

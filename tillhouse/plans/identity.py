@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions.contracts import IDENTITY_FLIP_DATE, NO_ID, STATUS_TIMES
 from tillhouse.operators.dedup import one_per_key
+from tillhouse.operators.shares import Share, of_share
 
 # What a user row tells, by the column it becomes.
 USER_FIELDS = {"customer_phone": "phone", "user_name": "full_name", "customer_code": "customer_code"}
@@ -67,7 +68,7 @@ def with_user(rows: DataFrame, users: DataFrame, columns: Mapping[str, str]) ->
 
 
 def asked(bills: DataFrame, tables: Mapping[str, DataFrame], one_delivery: bool = False,
-          heads: DataFrame | None = None) -> DataFrame:
+          heads: DataFrame | None = None, share: Share | None = None) -> DataFrame:
     """Bills with the answer of every source, null where it has none.
 
     Two deliveries on one transaction multiply its lines, as the grain check is there to report; with `one_delivery`
@@ -75,7 +76,8 @@ def asked(bills: DataFrame, tables: Mapping[str, DataFrame], one_delivery: bool
 
     A key that may be null is answered per transaction first, on the few bills that have it, so bills stay dealt by
     transaction and those without it meet nowhere. `heads` has every bill's transaction_id and such keys, for bills that
-    are costly to read twice.
+    are costly to read twice. Where the bills are a `share` of all by their transaction, the answers are cut down to it
+    before they are dealt.
     """
     who = F.coalesce("transaction_id", F.lit(NO_ID)).alias("_who")
     for name, source in SOURCES.items():
@@ -85,9 +87,10 @@ def asked(bills: DataFrame, tables: Mapping[str, DataFrame], one_delivery: bool
         answer = table.select(source.key, F.struct(*source.fields).alias(name))
         if source.key_may_be_null:
             pairs = (bills if heads is None else heads).where(F.col(source.key).isNotNull()).select(who, source.key).distinct()
+            pairs = of_share(pairs, "_who", share)
             bills = bills.select("*", who).join(pairs.join(answer, source.key), ["_who", source.key], "left").drop("_who")
         else:
-            bills = bills.join(answer, source.key, "left")
+            bills = bills.join(of_share(answer, source.key, share), source.key, "left")
     return bills
 
 

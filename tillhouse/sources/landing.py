@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tillhouse.functions.calendar import RunWindow
 from tillhouse.functions.contracts import NO_ID
+from tillhouse.operators.shares import Share, of_share
 from tillhouse.operators.skew import running_sums
 from tillhouse.session import scratch_path
 from tillhouse.sources.sinks import exists, is_file
@@ -239,19 +240,19 @@ class Landing:
         return (placed.selectExpr(*keys, f"line_no div {PAGE_LINES} as doc_page", f"struct(line_no, {item} as item) as entry")
                 .groupBy(*keys, "doc_page").agg(F.expr(f"array_sort(collect_list(entry)).item as {name}")))
 
-    def _sale_items(self, lines: DataFrame, document: str) -> DataFrame:
+    def _sale_items(self, lines: DataFrame, document: str, share: Share | None = None) -> DataFrame:
         """Items by document id. Their product is looked up first: after that lines are dealt by the document's id once,
         for their numbers, their pages, their header and the numbers of the bill's documents."""
         known = self._of_orders(lines).join(self.raw("part"), F.expr("l_partkey = p_partkey"), "left")
-        known = known.withColumn("_id", F.concat(F.lit(document), "l_orderkey")).drop("l_orderkey")
+        known = of_share(known.withColumn("_id", F.concat(F.lit(document), "l_orderkey")).drop("l_orderkey"), "_id", share)
         placed = running_sums(known, ["_id"], (*LINE_ORDER, *PRODUCT_ORDER), before="line_no")
         return self._gather_pages(placed, ["_id"], ITEM, "saleNormalItems")
 
-    def _documents(self, orders: DataFrame, items: DataFrame, document: str, how: str) -> DataFrame:
+    def _documents(self, orders: DataFrame, items: DataFrame, document: str, how: str, share: Share | None = None) -> DataFrame:
         """Orders, their stores and their items; header columns are made of them once they have met. Without an order
         number the id is NO_ID."""
         key = F.coalesce(F.concat(F.lit(document), "o_orderkey"), F.lit(NO_ID))
-        return self._with_store(orders).withColumn("_id", key).join(items, "_id", how)
+        return of_share(self._with_store(orders).withColumn("_id", key), "_id", share).join(items, "_id", how)
 
     def _bill_header(self, days: Days = SAME_DAYS) -> DataFrame:
         return self._with_store(self.billed_orders(days)).selectExpr(*HEADER)
@@ -272,16 +273,17 @@ class Landing:
         """Ids and promotions of the bills; no line is read for it."""
         return self.billed_orders().selectExpr("concat('T', o_orderkey) as _id", f"{PROMOTIONS} as transactionPromotions")
 
-    def sale_bill(self, keyed: bool = False) -> DataFrame:
-        """The bills; `keyed` ones have NO_ID for a missing id, so that what they were dealt by stays known."""
-        bills = self._documents(self.billed_orders(), self._sale_items(self._lines(), "T"), "T", "left")
+    def sale_bill(self, keyed: bool = False, share: Share | None = None) -> DataFrame:
+        """The bills; `keyed` ones have NO_ID for a missing id, so that what they were dealt by stays known. A `share` of
+        them are those whose keyed id is in it."""
+        bills = self._documents(self.billed_orders(), self._sale_items(self._lines(), "T", share), "T", "left", share)
         header = [_key(keyed) if c == BILL_ID else c for c in HEADER if c != "o_orderkey"]
         return bills.selectExpr(*header, "saleNormalItems", "coalesce(doc_page, 0L) as doc_page",
                                 f"case when coalesce(doc_page, 0L) = 0 then {PROMOTIONS} end as transactionPromotions")
 
-    def sale_return_bill(self, keyed: bool = False) -> DataFrame:
-        returned = self._sale_items(self._lines(RETURNED).where("l_returnflag = 'R'"), "R")
-        bills = self._documents(self.billed_orders(RETURNED), returned, "R", "inner")
+    def sale_return_bill(self, keyed: bool = False, share: Share | None = None) -> DataFrame:
+        returned = self._sale_items(self._lines(RETURNED).where("l_returnflag = 'R'"), "R", share)
+        bills = self._documents(self.billed_orders(RETURNED), returned, "R", "inner", share)
         bills = bills.withColumnRenamed("_id", "_key").selectExpr(*HEADER, "_key", "doc_page", "saleNormalItems")
         header = [_key(keyed, "_key") if c == RETURN_ID else c for c in RETURN_HEADER if c != "o_orderkey"]
         return bills.selectExpr(*header, "doc_page", "saleNormalItems")
