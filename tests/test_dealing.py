@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions.contracts import PRODUCT_FACT
 from tillhouse.operators.joins import as_of_join, with_gaps
+from tillhouse.operators.shares import Share
 from tillhouse.operators.skew import running_sums
 from tillhouse.plans import facts, identity, lakehouse
 from tillhouse.plans.dims import price_timeline
@@ -245,9 +246,18 @@ def test_the_fact_made_share_by_share_has_the_same_rows(spark, tmp_path, monkeyp
     monkeypatch.setattr(lakehouse, "MOST_SHARES", 2)
     monkeypatch.setattr(lakehouse, "_stored", {})
     shared = Lakehouse(spark, str(tmp_path))
-    parts = list(shared.fact_parts())
-    assert len(parts) == 3
-    # the lines of other shares are left out before any is dealt
-    assert "xxhash64(concat(T" in plan_of(parts[0])[plan_of(parts[0]).rindex("Exchange hashpartitioning(l_partkey"):]
+    assert len(list(shared.fact_parts())) == 3
     assert rows(shared.stored_fact()) == whole
     assert len(whole) > 15 and any("canceled" in r for r in whole)
+
+
+def test_a_share_leaves_out_other_lines_before_any_is_dealt(spark, tmp_path):
+    lake = small_lake(spark, tmp_path, ORDERS, LINES)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_of(lake.landing.sale_bill(keyed=True, share=Share(0, 2)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    dealt = text.split("Exchange hashpartitioning(l_partkey")[1:]
+    assert len(dealt) == 2 and all("xxhash64(concat(T" in part.partition("Exchange")[0] for part in dealt)
