@@ -11,9 +11,11 @@ from tillhouse.functions.contracts import PRODUCT_FACT
 from tillhouse.operators.joins import as_of_join, with_gaps
 from tillhouse.operators.shares import Share
 from tillhouse.operators.skew import running_sums
-from tillhouse.plans import facts, identity, lakehouse
+from tillhouse.plans import facts, identity, lakehouse, lines
+from tillhouse.plans.catalog import registered
 from tillhouse.plans.dims import price_timeline
 from tillhouse.plans.lakehouse import Lakehouse
+from tillhouse.session import tune
 from tillhouse.sources import landing
 
 
@@ -261,3 +263,67 @@ def test_a_share_leaves_out_other_lines_before_any_is_dealt(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     dealt = text.split("Exchange hashpartitioning(l_partkey")[1:]
     assert len(dealt) == 2 and all("xxhash64(concat(T" in part.partition("Exchange")[0] for part in dealt)
+
+
+def rich_lake(spark, path):
+    """A small lake with deliveries, returns, repeated and null keys, lines without a product, and events."""
+    orders = [*ORDERS, (4, "1996-03-01", "F"), (8, "1996-03-02", "O"), (16, "1998-03-03", "F"), (40, "1996-03-04", "F"), (6, None, "F")]
+    lines = [*LINES, (4, 1, 1), (8, 2, 1), (16, 3, 1), (16, 3, 1), (40, 4, 2), (40, None, 3), (6, 1, 1)]
+    lake = small_lake(spark, path, orders, lines)
+    spark.sql("select 0 as r_regionkey, 'r' as r_name").write.parquet(f"{path}/region.parquet")
+    spark.sql("select 1L as event_id, timestamp_ntz'1996-03-02 00:00:00' as ts, 4L as user_id, 'purchase' as event_type, 1D as value"
+              ).write.parquet(f"{path}/events.parquet")
+    return lake
+
+
+def test_lines_are_read_once_for_what_the_fact_is_made_of(spark, tmp_path):
+    lake = rich_lake(spark, tmp_path)
+    text = plan_of(lake.completed())
+    assert "lineitem.parquet" not in text and "part.parquet" not in text
+    # the stored documents: their numbers, their order numbers and themselves; what was found for their product codes once
+    assert text.count("/documents-") == 3 and text.count("/looked_up-") == 1
+
+
+def test_stored_documents_have_the_numbers_of_whole_ones_whatever_is_read(spark, tmp_path):
+    land = rich_lake(spark, tmp_path).landing
+    whole = lines.numbered_bills(land.sale_bill(keyed=True), land.sale_return_bill(keyed=True))
+    docs = lines.countable(lines.documents(land.sale_bill(keyed=True), False).unionByName(lines.documents(land.sale_return_bill(keyed=True), True)))
+    docs.write.parquet(f"{tmp_path}/documents")
+    stored = spark.read.parquet(f"{tmp_path}/documents")
+    places = lambda df: sorted(map(str, df.select("transaction_id", "_codes", "_before", "number_of_line_item").collect()))
+    assert places(lines.numbered(stored)) == places(lines.numbered(stored, "_codes")) == places(whole)
+
+
+def test_lines_found_by_document_are_those_found_line_by_line(spark):
+    item = "named_struct(" + ", ".join(f"'{f}', {{0}}" for f in (*lines.ITEM_FIELDS, "totalAmountByPromotion", "totalAmountWithoutTaxByPromotion")) + ", 'winPromotion', true)"
+    bills = spark.sql(f"""select * from values ('T1', 0L, array({item.format('1')}, {item.format('2')})), ('T1', 2L, array({item.format('3')})),
+        ('T1', 2L, array({item.format('3')})), ('T2', 0L, null), ('T3', 0L, array({item.format('4')})) as t(transaction_id, _before, _items)""")
+    bills = bills.withColumn("_codes", F.col("_items.productCode"))
+    # the second line of T1 was dropped, its third has two prices, T3 has none at all
+    found = spark.sql("select * from values ('T1', 0L, 1L, 'a'), ('T1', 2L, 3L, 'b'), ('T1', 2L, 3L, 'c'), ('T2', 0L, 1L, 'd') as "
+                      "t(transaction_id, _before, row_num_transaction_id, price)")
+    out = facts.with_looked_up(bills, found)
+    rows = sorted((r["transaction_id"], r["row_num_transaction_id"], r["product_id"], r["final_amount"], r["price"]) for r in out.collect())
+    assert rows == [("T1", 1, 1, 1, "a"), *[("T1", 3, 3, 3, "b")] * 2, *[("T1", 3, 3, 3, "c")] * 2, ("T2", 1, None, None, "d")]
+    text = plan_of(out)
+    assert "row_num_transaction_id" not in "".join(line for line in text.splitlines() if " Sort [" in line)
+
+
+def test_a_table_of_few_partitions_is_written_without_sorting_its_rows(spark, tmp_path):
+    # Spark sorts rows by partition before it writes them unless it may keep some files open
+    lake = Lakehouse(tune(spark), str(tmp_path))
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 2
+    table = lake.stored("kinds", lambda: spark.range(1000).selectExpr("id", "id % 9 as kind"), "kind", rebalance=False)
+    assert sorted(map(tuple, table.groupBy("kind").count().collect())) == [(0, 112), *[(k, 111) for k in range(1, 9)]]
+
+
+def test_large_merges_are_made_by_share_with_the_same_rows(spark, tmp_path, monkeypatch):
+    lake, names = rich_lake(spark, tmp_path), ("fact_merge", "frontier_union", "fact_product")
+    shown = lambda: [sorted(map(str, registered()[name](spark, lake.sf_dir).collect())) for name in names]
+    whole = shown()
+    monkeypatch.setattr(lakehouse, "SHARE_LINES", 1)
+    monkeypatch.setattr(lakehouse, "_stored", {})
+    assert shown() == whole and all(whole)
+    for name in ("fact_merge", "fact_product"):
+        text = plan_of(registered()[name](spark, lake.sf_dir))
+        assert "Exchange" not in text and text.count("Scan parquet") == 1
